@@ -13,6 +13,8 @@ of the cell by a hash of their id and the other side is repeated for each copy.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,6 +134,7 @@ def box_pairs(
     *,
     left_points: bool = False,
     right_points: bool = False,
+    by: Sequence[str] = (),
     test: str | None = None,
     strategy: str | None = None,
     fine: int = 2,
@@ -139,7 +142,8 @@ def box_pairs(
     """Every pair of rows whose boxes intersect, exactly once, with the columns of both sides.
 
     Boxes and ``test`` are SQL text; column names must differ between the sides, boxes must not be null and ``*_points`` promises boxes
-    without extent.  ``test`` is checked after the boxes.  ``strategy`` is ``broadcast_left``,
+    without extent.  ``by`` names columns of both sides that must be equal, nulls included; they are
+    returned once.  ``test`` is checked after the boxes.  ``strategy`` is ``broadcast_left``,
     ``broadcast_right`` or ``shuffle``; by default a side is broadcast when its estimated size,
     cells included, is below the session's broadcast limit.
     """
@@ -169,8 +173,8 @@ def box_pairs(
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    renamed = r_cells.withColumnsRenamed({k: f"{k}_r" for k in keys})
-    on = [F.col(k) == F.col(f"{k}_r") for k in keys]
+    renamed = r_cells.withColumnsRenamed({k: f"{k}_r" for k in [*keys, *by]})
+    on = [F.col(k) == F.col(f"{k}_r") for k in keys] + [F.col(k).eqNullSafe(F.col(f"{k}_r")) for k in by]
     lvl = "shiftright(_lvl, 1)"
     checks = f"""_lxmin <= _rxmax and _rxmin <= _lxmax and _lymin <= _rymax and _rymin <= _lymax
         and {_cell_index("greatest(_lxmin, _rxmin)", lvl)} = _cx
@@ -178,4 +182,6 @@ def box_pairs(
     if test is not None:
         checks = f"{checks} and {test}"
     # one filter after the join keeps the order: cheap box checks first, then the exact test
-    return l_cells.join(renamed, on).where(checks).select(*left.columns, *right.columns)
+    return l_cells.join(renamed, on).where(checks).select(
+        *left.columns, *[c for c in right.columns if c not in by]
+    )
