@@ -8,18 +8,22 @@ pointer doubling, so that no task ever holds the edges of a whole group.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import measures as M
 from ..functions import predicates as P
-from ..functions.layer import GEOM, describe, srid_of
-from ..functions.crs import is_geographic
-from ..functions.sql import each, let, num, struct
+from ..functions.crs import is_geographic, reproject
+from ..functions.layer import GEOM, describe, is_point_layer, replace_geom, srid_of
+from ..functions.sql import each, let, num, struct, total
+from .edit import CIRCLE_SIDES, circle
 from .gridjoin import box_pairs
 from .lineage import cut_lineage
 from .spatial import spatial_relate, tolerant
+from .stitch import stitch_rows
 
 # Vertices are identified after rounding to this step, in degrees and in metres.
 SNAP_DEGREES, SNAP_METRES = 1e-9, 1e-5
@@ -302,8 +306,12 @@ def dissolve_measures(df: DataFrame, by: list[str], id_: str, geom: str = GEOM)
 # --- overlay -------------------------------------------------------------------------------
 
 
-def overlay_pieces(left: DataFrame, right: DataFrame, left_id: str, right_id: str, apart: str = "true", geom: str = GEOM) -> DataFrame:
-    """Boundary edges of the intersection of every pair of areas: ``_lid, _rid, x1, y1, x2, y2``."""
+def overlay_rows(left: DataFrame, right: DataFrame, left_id: str, right_id: str, apart: str = "true", geom: str = GEOM) -> DataFrame:
+    """Every pair of areas that overlap, with the boundary edges of the intersection in ``_edges``.
+
+    The edges stay in the row of their pair, in vertex grid units; nothing is shuffled after the join.
+    """
+    step = num(snap_step(srid_of(left, geom)))
     areas = f"{G.family(geom)} = 2"
     lhs = left.where(areas).select(F.col(left_id).alias("_lid"), F.expr(M.orient(geom)).alias("_lg"))
     rhs = right.where(areas).select(F.col(right_id).alias("_rid"), F.expr(M.orient(geom)).alias("_rg"))
@@ -312,21 +320,49 @@ def overlay_pieces(left: DataFrame, right: DataFrame, left_id: str, right_id: st
     def located(own: str, other: str) -> str:
         return P.locate_pieces(P.cut(P.meet(own, other)), other, "2")
 
-    kept = (
+    def on_grid(c: str) -> str:
+        return f"cast(floor({c} / {step} + 0.5D) as bigint)"
+
+    rounded = each("transform", "_kept", lambda e: G.segment(*(on_grid(f"{e}.{c}") for c in _XY)))
+    return (
         pairs.selectExpr("_lid", "_rid", f"{G.segments('_lg')} _ls", f"{G.segments('_rg')} _rs")
         .selectExpr("_lid", "_rid", f"{located('_ls', '_rs')} _lp", f"{located('_rs', '_ls')} _rp")
-        .selectExpr("_lid", "_rid", "inline(concat(filter(_lp, p -> p.code in ('I', 'S')), filter(_rp, p -> p.code = 'I')))")
+        .selectExpr("_lid", "_rid", "concat(filter(_lp, p -> p.code in ('I', 'S')), filter(_rp, p -> p.code = 'I')) _kept")
+        # the generator keeps the filter below from being pushed into the steps above
+        .selectExpr("_lid", "_rid", f"explode(array(filter({rounded}, e -> e.x1 != e.x2 or e.y1 != e.y2))) _edges")
+        .where("size(_edges) >= 3")
     )
-    return kept.drop("code")
 
 
 def overlay_areas(left: DataFrame, right: DataFrame, left_id: str, right_id: str, apart: str = "true", geom: str = GEOM) -> DataFrame:
-    """Intersection of every overlapping pair: ids, geometry parts as rows."""
+    """Intersection of every pair of areas that overlap: ``_lid, _rid`` and the geometry."""
     srid = srid_of(left, geom)
-    step = snap_step(srid)
-    group = ["_lid", "_rid"]
-    edges = cut_lineage(cancel_opposites(snapped(overlay_pieces(left, right, left_id, right_id, apart, geom), step), group))
-    return assemble(stitch_rings(edges, group), group, step, geom, srid)
+    rows = overlay_rows(left, right, left_id, right_id, apart, geom)
+    shaped = rows.withColumn(geom, stitch_rows(snap_step(srid))("_edges")).drop("_edges")
+    return describe(shaped.where(f"{geom}.type is not null"), geom, srid=srid)
+
+
+def overlay_measures(left: DataFrame, right: DataFrame, left_id: str, right_id: str, apart: str = "true", geom: str = GEOM) -> DataFrame:
+    """Area and perimeter of the intersection of every overlapping pair, without building rings."""
+    step = num(snap_step(srid_of(left, geom)))
+    rows = overlay_rows(left, right, left_id, right_id, apart, geom)
+    cross = each(
+        "transform",
+        "_edges",
+        lambda e: f"(double({e}.x1 - _edges[0].x1) * double({e}.y2 - _edges[0].y1)"
+        f" - double({e}.x2 - _edges[0].x1) * double({e}.y1 - _edges[0].y1))",
+    )
+    sides = each("transform", "_edges", lambda e: f"hypot(double({e}.x2 - {e}.x1), double({e}.y2 - {e}.y1))")
+    return rows.selectExpr(
+        "_lid", "_rid", f"{total(cross)} / 2 * {step} * {step} area", f"{total(sides)} * {step} perimeter"
+    ).where("area > 0")
+
+
+def _stitched(edges: DataFrame, group: list[str], step: float, srid: int | None, geom: str) -> DataFrame:
+    """One geometry per group of boundary edges; each group is the outline of one feature."""
+    outlines = edges.groupBy(*group).agg(F.collect_list(F.struct(*_XY)).alias("_edges"))
+    shaped = outlines.withColumn(geom, stitch_rows(step)("_edges")).drop("_edges")
+    return describe(shaped.where(f"{geom}.type is not null"), geom, srid=srid)
 
 
 def overlay_measures(left: DataFrame, right: DataFrame, left_id: str, right_id: str, apart: str = "true", geom: str = GEOM) -> DataFrame:
@@ -409,18 +445,17 @@ def clip_measures(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom:
 def clip(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom: str = GEOM) -> DataFrame:
     """Features split at the mask: rows ``id, port, geom`` with ``port`` ``inside`` or ``outside``.
 
-    Areas come as one row per connected part, lines as one row per straight piece, points whole.
+    Areas stay one geometry per side of the mask, lines become their straight pieces, points stay whole.
     The mask features must not overlap each other (dissolve them first); common edges are fine.
     """
     srid = srid_of(df, geom)
     step = snap_step(srid)
-    pieces = cut_lineage(_clip_edges(df, mask, id_, mask_id, geom))
+    pieces = _clip_edges(df, mask, id_, mask_id, geom)
     group = ["fid", "port"]
-    edges = cut_lineage(cancel_opposites(snapped(pieces.where("fam = 2"), step), group))
-    areas = assemble(stitch_rings(edges, group), group, step, geom, srid)
-    lines = pieces.where("fam = 1").select(
-        *group, F.expr(G.line([G.xy("x1", "y1"), G.xy("x2", "y2")])).alias(geom)
-    )
+    areas = _stitched(cancel_opposites(snapped(pieces.where("fam = 2"), step), group), group, step, srid, geom)
+    lines = pieces.where("fam = 1").groupBy(*group).agg(
+        F.expr(f"collect_list(array(array({G.xy('x1', 'y1')}, {G.xy('x2', 'y2')})))").alias("_parts")
+    ).select(*group, F.expr(G.make_geom("'MultiLineString'", "_parts")).alias(geom))
     points = clip_points(df.where(f"{G.family(geom)} = 0"), mask, id_, mask_id, geom=geom).select(
         F.col(id_).alias("fid"), "port", geom
     )
@@ -435,6 +470,65 @@ def clip_points(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, **option
     return routed.withColumn("port", F.when(F.col("port") == "related", "inside").otherwise("outside"))
 
 
+# --- buffer --------------------------------------------------------------------------------
+
+
+def _capsule(s: str, radius: str) -> str:
+    """Ring around a segment: a half circle at each end."""
+    steps = CIRCLE_SIDES // 2
+
+    def arc(x: str, y: str, turn: float) -> str:
+        def corner(i: str) -> str:
+            angle = f"(atan2({s}.y2 - {s}.y1, {s}.x2 - {s}.x1) + {num(turn)} + {num(math.pi / steps)} * {i})"
+            return G.xy(f"{x} + {radius} * cos({angle})", f"{y} + {radius} * sin({angle})")
+
+        return each("transform", f"sequence(0, {steps})", corner)
+
+    ends = f"concat({arc(f'{s}.x2', f'{s}.y2', -math.pi / 2)}, {arc(f'{s}.x1', f'{s}.y1', math.pi / 2)})"
+    return let(ends, lambda r: f"concat({r}, slice({r}, 1, 1))")
+
+
+def buffer(
+    df: DataFrame, distance: float, id_: str, unit: str | None = None, metric_srid: int = 2154, geom: str = GEOM
+) -> DataFrame:
+    """Replace geometries by the area within a distance; circles are drawn with 64 corners.
+
+    ``unit`` ``m`` or ``km`` measures geographic layers in the plane of ``metric_srid``; without it
+    the distance is in the units of the layer.
+    """
+    units = {None: 1.0, "m": 1.0, "km": 1000.0}
+    if unit not in units:
+        raise ValueError(f"unknown unit {unit!r}; known: m, km")
+    if distance <= 0:
+        raise ValueError("the distance must be positive")
+    srid = srid_of(df, geom) or 4326
+    if unit and is_geographic(srid):
+        moved = reproject(df, metric_srid, geom=geom)
+        return reproject(buffer(moved, distance, id_, unit, metric_srid, geom), srid, geom=geom)
+    radius = num(distance * units[unit])
+    if is_point_layer(df, geom):
+        p = G.single_point(geom)
+        return replace_geom(df, F.expr(G.polygon(f"array({circle(f'{p}.x', f'{p}.y', radius)})")), geom)
+
+    # every vertex of a point geometry, every edge of the others, and areas themselves
+    spots = let(G.vertices(geom), lambda vs: each("transform", vs, lambda v: G.polygon(f"array({circle(f'{v}.x', f'{v}.y', radius)})")))
+    edges = each(
+        "transform",
+        f"filter({G.segments(geom)}, s -> s.x1 != s.x2 or s.y1 != s.y2)",
+        lambda s: G.polygon(f"array({_capsule(s, radius)})"),
+    )
+    solids = each("transform", f"{geom}.parts", lambda part: G.make_geom("'Polygon'", f"array({part})"))
+    pieces = f"case {G.family(geom)} when 0 then {spots} when 1 then {edges} else concat({edges}, {solids}) end"
+    covers = describe(
+        df.select(F.col(id_).alias("_owner"), F.expr(f"posexplode({pieces})").alias("_piece", geom)), geom, srid=srid
+    )
+    step = snap_step(srid)
+    outlines = _stitched(union_edges(covers, ["_owner"], "_piece", geom), ["_owner"], step, srid, geom)
+    return describe(
+        df.drop(geom).join(outlines, F.col(id_).eqNullSafe(F.col("_owner")), "left").select(*df.columns), geom, srid=srid, kind=None
+    )
+
+
 # --- lines ---------------------------------------------------------------------------------
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geometry as G
 from ..functions.crs import reproject_geom
@@ -94,8 +95,13 @@ def infer_crs(df: DataFrame, x: str, y: str) -> DataFrame:
     Medians and maxima within the degrees mean 4326; medians in the national range mean 2154; a
     median beyond a million means 3857; everything else 4326.
     """
-    parsed = df.select(parse_coord(x).alias("x"), parse_coord(y).alias("y")).where(
-        "x is not null and y is not null"
+
+    def number(name: str) -> Column:
+        numeric = isinstance(df.schema[name].dataType, T.NumericType)
+        return F.col(name).cast("double") if numeric else parse_coord(name)
+
+    parsed = df.select(number(x).alias("x"), number(y).alias("y")).where(
+        f"{G.is_finite('x')} and {G.is_finite('y')}"
     )
     mx = _MedianTest(F.col("x"), "x", [-WEB_LIMIT, -GEOGRAPHIC_X, GEOGRAPHIC_X, *LAMBERT_X, WEB_LIMIT])
     my = _MedianTest(F.col("y"), "y", [-WEB_LIMIT, -GEOGRAPHIC_Y, GEOGRAPHIC_Y, WEB_LIMIT, *LAMBERT_Y])

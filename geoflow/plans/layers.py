@@ -35,14 +35,21 @@ MOVES = f"""select user_id, event_id, value, {LON.format(id='event_id')} lon, {L
 STREETS = f"""select o_orderkey street_id, {LON.format(id='o_orderkey')} x1, {LAT.format(id='o_orderkey')} y1,
        {LON.format(id='o_orderkey')} + ((o_orderkey*31 % 81) - 40)/CAST(1000 AS DOUBLE) x2,
        {LAT.format(id='o_orderkey')} + ((o_orderkey*17 % 61) - 30)/CAST(1000 AS DOUBLE) y2 from orders"""
+# lattice squares that share edges and corners, from customer numbers
+PLOTS = """select c_custkey plot_id, c_mktsegment, c_nationkey,
+       (c_custkey % 60)*0.125e0 xmin, CAST(floor(c_custkey/60) AS INT)*0.125e0 ymin,
+       (c_custkey % 60 + 1)*0.125e0 xmax, (CAST(floor(c_custkey/60) AS INT) + 1)*0.125e0 ymax from customer"""
+# right triangles
+WEDGES = f"""select p_partkey wedge_id, p_size, {LON.format(id='p_partkey')} cx, {LAT.format(id='p_partkey')} cy,
+       p_size/CAST(1000 AS DOUBLE) leg from part"""
 
 _NEEDS = {
-    "sites": ["customer"], "depots": ["supplier"], "zones": ["nation"], "parcels": ["part"], "pixels": ["lineitem"],
+    "plots": ["customer"], "wedges": ["part"], "sites": ["customer"], "depots": ["supplier"], "zones": ["nation"], "parcels": ["part"], "pixels": ["lineitem"],
     "routes": ["orders", "customer", "supplier"], "moves": ["events"], "streets": ["orders"],
 }
 LAYER_SQL = {
     "sites": SITES, "depots": DEPOTS, "zones": ZONES, "parcels": PARCELS, "pixels": PIXELS, "routes": ROUTES,
-    "moves": MOVES, "streets": STREETS,
+    "moves": MOVES, "streets": STREETS, "plots": PLOTS, "wedges": WEDGES,
 }
 
 
@@ -98,3 +105,14 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raster cells with the coordinates of their centres over the extent of the zones."""
     df = layer_table(spark, sf_dir, "pixels")
     return point_layer(df, "(-4.5e0 + (c + 0.5e0)*0.02e0)", "(42.5e0 + (r + 0.5e0)*0.02e0)")
+
+
+def plots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = layer_table(spark, sf_dir, "plots")
+    return describe(df.withColumn("geom", F.expr(G.rectangle("xmin", "ymin", "xmax", "ymax"))), srid=4326)
+
+
+def wedges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = layer_table(spark, sf_dir, "wedges")
+    ring = ", ".join([G.xy("cx", "cy"), G.xy("cx + leg", "cy"), G.xy("cx", "cy + 2 * leg"), G.xy("cx", "cy")])
+    return describe(df.withColumn("geom", F.expr(G.polygon(f"array(array({ring}))"))), srid=4326)
