@@ -78,7 +78,7 @@ def cut_segments(left: DataFrame, right: DataFrame, key: list[str], apart: str =
         F.xxhash64(*right.columns).alias("_rid"),
     )
     meets = let(_segment("l_"), lambda s: P.meeting_params(s, f"array({_segment('r_')})"))
-    pairs = box_pairs(lhs, rhs, "_lid", "_rid", segment_box("l_"), segment_box("r_"), by=by, test=apart)
+    pairs = box_pairs(lhs, rhs, "_lid", "_rid", segment_box("l_"), segment_box("r_"), by=by, test=apart, fine=0)
     hits = pairs.select(
         *[F.col(c if c in by else f"l_{c}").alias(c) for c in left.columns], F.expr(f"explode({meets})").alias("t")
     )
@@ -519,13 +519,20 @@ def buffer(
     )
     solids = each("transform", f"{geom}.parts", lambda part: G.make_geom("'Polygon'", f"array({part})"))
     pieces = f"case {G.family(geom)} when 0 then {spots} when 1 then {edges} else concat({edges}, {solids}) end"
-    covers = describe(
-        df.select(F.col(id_).alias("_owner"), F.expr(f"posexplode({pieces})").alias("_piece", geom)), geom, srid=srid
+    covered = df.withColumn("_pieces", F.expr(pieces))
+    # one piece is the result; several pieces of a feature are united
+    single = covered.withColumn(geom, F.expr("if(size(_pieces) = 1, _pieces[0], null)")).where(
+        "_pieces is null or size(_pieces) <= 1"
+    )
+    several = covered.where("size(_pieces) > 1")
+    parts = describe(
+        several.select(F.col(id_).alias("_owner"), F.expr("posexplode(_pieces)").alias("_piece", geom)), geom, srid=srid
     )
     step = snap_step(srid)
-    outlines = _stitched(union_edges(covers, ["_owner"], "_piece", geom), ["_owner"], step, srid, geom)
+    outlines = _stitched(union_edges(parts, ["_owner"], "_piece", geom), ["_owner"], step, srid, geom)
+    united = several.drop(geom).join(outlines, F.col(id_).eqNullSafe(F.col("_owner")), "left")
     return describe(
-        df.drop(geom).join(outlines, F.col(id_).eqNullSafe(F.col("_owner")), "left").select(*df.columns), geom, srid=srid, kind=None
+        single.select(*df.columns).unionByName(united.select(*df.columns)), geom, srid=srid, kind=None
     )
 
 

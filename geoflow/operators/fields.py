@@ -91,12 +91,18 @@ def add_counter(
         .collect()
     )
     cuts = sorted({row.v for row in sampled})
-    holder = T.StructType([T.StructField("cuts", T.ArrayType(df.schema[order_by].dataType))])
-    limits = df.sparkSession.createDataFrame([(cuts,)], holder).scalar()
+    # two steps of about sqrt(ranges) comparisons find the range of a value
+    width = max(1, round(len(cuts) ** 0.5))
+    chunks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    kind = T.ArrayType(df.schema[order_by].dataType)
+    holder = T.StructType([T.StructField("c", T.StructType([T.StructField("heads", kind), T.StructField("chunks", T.ArrayType(kind))]))])
+    limits = df.sparkSession.createDataFrame([(([c[0] for c in chunks], chunks),)], holder).scalar()
     ranged = (
         df.withColumn("_cuts", limits)
-        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c <= F.col(order_by))))
-        .drop("_cuts")
+        .withColumn("_chunk", F.size(F.filter("_cuts.heads", lambda c: c <= F.col(order_by))))
+        .withColumn("_row", F.get("_cuts.chunks", F.col("_chunk") - 1))
+        .withColumn("_range", F.expr(f"_chunk * {width + 1} + coalesce(size(filter(_row, c -> c <= `{order_by}`)), 0)"))
+        .drop("_cuts", "_chunk", "_row")
     )
     sizes = ranged.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"))
     # at most COUNTER_RANGES + 1 rows per group

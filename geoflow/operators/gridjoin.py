@@ -44,6 +44,20 @@ def is_small(df: DataFrame, fan_out: int = _FAN_OUT) -> bool:
     return estimated_bytes(df) * fan_out <= broadcast_limit(df)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for expensive work on rows that come from inputs too small to be split.
+
+    Inputs with at least one split per core stay where they are.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if max(sizes, default=0) >= cores * conf.filesMaxPartitionBytes():
+        return df
+    return df.repartition(cores, *keys)
+
+
 def _with_box(df: DataFrame, box: str, side: str, fine: int, points: bool) -> DataFrame:
     """Add the box and the feature's own level."""
     names = ("xmin", "ymin", "xmax", "ymax")

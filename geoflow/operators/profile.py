@@ -63,30 +63,30 @@ class _MedianTest:
     of values below, and the two values around the constant when it falls between the middle two.
     """
 
-    def __init__(self, value: Column, prefix: str, limits: list[float]) -> None:
-        self.prefix, self.limits = prefix, limits
+    def __init__(self, value: Column, prefix: str, less: list[float], at_most: list[float]) -> None:
+        self.prefix = prefix
+        self.tests = [("lt", t) for t in less] + [("le", t) for t in at_most]
         self.aggregates = []
-        for i, t in enumerate(limits):
-            for op, below in (("lt", value < t), ("le", value <= t)):
-                n = f"{prefix}{i}{op}"
-                self.aggregates += [
-                    F.count(F.when(below, 1)).alias(f"{n}_n"),
-                    F.max(F.when(below, value)).alias(f"{n}_lo"),
-                    F.min(F.when(~below, value)).alias(f"{n}_hi"),
-                ]
-
-    def _below(self, t: float, op: str) -> Column:
-        n = f"{self.prefix}{self.limits.index(t)}{op}"
+        for i, (op, t) in enumerate(self.tests):
+            below = value < t if op == "lt" else value <= t
+            self.aggregates += [
+                F.count(F.when(below, 1)).alias(f"{prefix}{i}_n"),
+                F.max(F.when(below, value)).alias(f"{prefix}{i}_lo"),
+                F.min(F.when(~below, value)).alias(f"{prefix}{i}_hi"),
+            ]
+
+    def _below(self, op: str, t: float) -> Column:
+        n = f"{self.prefix}{self.tests.index((op, t))}"
         middle = (F.col(f"{n}_lo") + F.col(f"{n}_hi")) / 2
         between = middle < t if op == "lt" else middle <= t
         twice = 2 * F.col(f"{n}_n")
         return F.when(twice > F.col("n"), True).when(twice == F.col("n"), between).otherwise(False)
 
     def less(self, t: float) -> Column:
-        return self._below(t, "lt")
+        return self._below("lt", t)
 
     def at_most(self, t: float) -> Column:
-        return self._below(t, "le")
+        return self._below("le", t)
 
 
 def infer_crs(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -103,8 +103,12 @@ def infer_crs(df: DataFrame, x: str, y: str) -> DataFrame:
     parsed = df.select(number(x).alias("x"), number(y).alias("y")).where(
         f"{G.is_finite('x')} and {G.is_finite('y')}"
     )
-    mx = _MedianTest(F.col("x"), "x", [-WEB_LIMIT, -GEOGRAPHIC_X, GEOGRAPHIC_X, *LAMBERT_X, WEB_LIMIT])
-    my = _MedianTest(F.col("y"), "y", [-WEB_LIMIT, -GEOGRAPHIC_Y, GEOGRAPHIC_Y, WEB_LIMIT, *LAMBERT_Y])
+    mx = _MedianTest(
+        F.col("x"), "x", [-WEB_LIMIT, -GEOGRAPHIC_X, LAMBERT_X[1]], [GEOGRAPHIC_X, LAMBERT_X[0], WEB_LIMIT]
+    )
+    my = _MedianTest(
+        F.col("y"), "y", [-WEB_LIMIT, -GEOGRAPHIC_Y, LAMBERT_Y[1]], [GEOGRAPHIC_Y, LAMBERT_Y[0], WEB_LIMIT]
+    )
     seen = parsed.agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.abs("x")).alias("far_x"),

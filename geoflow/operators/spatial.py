@@ -10,7 +10,7 @@ from ..functions.crs import reproject
 from ..functions.geometry import bbox, is_finite, point, point_box, single_point
 from ..functions.layer import GEOM, describe, is_point_layer, srid_of
 from ..functions.sql import let, num, struct
-from .gridjoin import box_pairs, choose_strategy
+from .gridjoin import box_pairs, choose_strategy, spread
 
 _SWAPPED = {"contains": "within", "covers": "covered_by", "intersects": "intersects", "touches": "touches"}
 JOIN_TYPES = {
@@ -90,7 +90,7 @@ def matched(
     )
     if test is not None:
         return pairs
-    related = P.relation(pairs, "_lg", "_rg")
+    related = P.relation(spread(pairs, "_lid", "_rid"), "_lg", "_rg")
     if predicate == "dwithin":
         held = f"{P.HOLDS['intersects']} or {P.gap('_lg', '_rg')} <= {num(distance)}"
     else:

@@ -216,14 +216,20 @@ def scan_excel(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scan_kml", _SITES_BACK, layers=("sites",))
 def scan_kml(spark: SparkSession, sf: str) -> DataFrame:
-    """Placemarks written as text, one per line, and read through the XML reader."""
+    """Documents of at most ``FILE_ROWS`` placemarks, one file each, read through the XML reader."""
     placemark = F.format_string(
         "<Placemark><name>%s</name><description>%s</description><ExtendedData><Data name=\"balance\"><value>%s</value></Data>"
         "</ExtendedData><Point><coordinates>%s,%s,0</coordinates></Point></Placemark>",
         F.col("site_id"), F.col("c_mktsegment"), F.col("c_acctbal").cast("string"), F.col("lon").cast("string"), F.col("lat").cast("string"),
     )
     path = scratch_path(spark, "sites")
-    L.layer_table(spark, sf, "sites").select(placemark.alias("value")).write.text(path)
+    head = '<?xml version="1.0" encoding="UTF-8"?><kml xmlns="http://www.opengis.net/kml/2.2"><Document>'
+    documents = (
+        L.layer_table(spark, sf, "sites")
+        .groupBy(F.expr(f"site_id div {FILE_ROWS}").alias("doc"))
+        .agg(F.concat(F.lit(head), F.array_join(F.collect_list(placemark), ""), F.lit("</Document></kml>")).alias("value"))
+    )
+    documents.write.partitionBy("doc").text(path)
     return _back(
         kml.read_kml(spark, path).selectExpr(
             "bigint(name) site_id", "description c_mktsegment", "double(data['balance']) c_acctbal", "geom"
@@ -259,7 +265,7 @@ def scan_dxf(spark: SparkSession, sf: str) -> DataFrame:
     drawings = squares.union(roads).groupBy("path").agg(
         F.concat(F.lit(head), F.array_join(F.collect_list("entity"), "\n"), F.lit(foot)).cast("binary").alias("content")
     )
-    brands = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6) if (i, j) != (1, 3)]
+    brands = [f"Brand#{i}" for i in range(1, 26) if i != 13]
     layer = edit.add_measures(dxf.parse_dxf_files(drawings, layers=",".join([*brands, "ROAD"])))
     return layer.select("handle", "layer", "entity", F.round("area", 9).alias("area"), F.round("length", 7).alias("length"))
 

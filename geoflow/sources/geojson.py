@@ -14,7 +14,12 @@ _GEOMETRY = "struct<type:string,coordinates:string,geometries:array<struct<type:
 
 
 def _feature_ddl(properties: str) -> str:
-    return f"type:string,properties:struct<{properties}>,geometry:{_GEOMETRY}"
+    return f"type string, properties struct<{properties}>, geometry {_GEOMETRY}"
+
+
+def _nested(ddl: str) -> str:
+    """Struct type with the fields of a table DDL."""
+    return "struct<" + ", ".join(f.replace(" ", ":", 1) for f in re.split(r", (?=properties |geometry )", ddl)) + ">"
 
 
 def _srid(name: str | None) -> int:
@@ -73,14 +78,14 @@ def read_geojson(
     ddl = _feature_ddl(fields)
     if multiline:
         documents = spark.read.option("multiLine", True).schema(
-            f"type string, features array<struct<{ddl}>>, crs struct<properties:struct<name:string>>"
+            f"type string, features array<{_nested(ddl)}>, crs struct<properties:struct<name:string>>"
         ).json(path)
         features = documents.where("type = 'FeatureCollection'").selectExpr("inline(features)")
         named = None if srid else documents.select(F.col("crs.properties.name").alias("n")).where("n is not null").first()
         srid = srid or _srid(named and named.n)
     else:
         # lines of the surrounding document do not parse as features and drop out
-        features = spark.read.schema(ddl.replace(":", " ", 1)).json(path)
+        features = spark.read.schema(ddl).json(path)
         if srid is None:
             head = spark.read.text(path).where("value like '%\"crs\"%' and value not like '%\"Feature\"%'").first()
             srid = _srid(head and head.value)
@@ -95,7 +100,7 @@ def parse_documents(
 
     Documents that do not parse stay as one row with a ``reject_reason``.
     """
-    ddl = f"type string, features array<struct<{_feature_ddl(properties)}>>"
+    ddl = f"type string, features array<{_nested(_feature_ddl(properties))}>"
     parsed = df.select(*keep, F.from_json(column, ddl).alias("_doc"))
     good = F.expr("_doc.type = 'FeatureCollection' and _doc.features is not null")
     features = parsed.where(good).select(*keep, F.expr("inline(_doc.features)"))

@@ -20,10 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition
 
-from ..functions.geometry import GEOM_DDL
 from ..functions.layer import GEOM, describe
 from . import wkb
-from .columnar import GEOM_ARROW
+from .columnar import GEOM_ARROW, geometry_type
 from .shapefile import WrittenFiles, local_path
 
 ROWS_PER_TASK = 100_000
@@ -241,7 +240,7 @@ class GeoPackageSource(DataSource):
             for _, name, kind, _, _, _ in columns
             if name != shape and name != "_fid"
         ]
-        return T.StructType([*fields, T.StructField(GEOM, T.StructType.fromDDL(f"g {GEOM_DDL}")["g"].dataType)])
+        return T.StructType([*fields, T.StructField(GEOM, geometry_type())])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _Reader(schema, {k.lower(): v for k, v in self.options.items()})

@@ -30,9 +30,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from ..functions.geometry import GEOM_DDL
 from ..functions.layer import GEOM, describe
-from .columnar import GeometryColumn, contains_point, rings_of, signed_area
+from .columnar import GeometryColumn, contains_point, geometry_type, rings_of, signed_area
 
 # Fixed values of the format.
 FILE_CODE, VERSION = 9994, 1000
@@ -474,7 +473,7 @@ class ShapefileSource(DataSource):
         with _Files(*found[0]).open(".dbf") as table:
             fields = read_fields(table)[0]
         columns = [T.StructField(f.name, f.spark_type()) for f in fields]
-        return T.StructType([*columns, T.StructField(GEOM, T.StructType.fromDDL(f"g {GEOM_DDL}")["g"].dataType)])
+        return T.StructType([*columns, T.StructField(GEOM, geometry_type())])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _Reader(schema, {k.lower(): v for k, v in self.options.items()})
