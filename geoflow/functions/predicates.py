@@ -18,6 +18,8 @@ from .sql import case, each, each_with_index, let, num, struct
 
 # Coordinates closer than this share of their magnitude count as equal.
 RELATIVE_TOLERANCE = 1e-12
+# Directions whose sine is below this count as parallel.
+PARALLEL = 1e-12
 
 PREDICATES = (
     "intersects", "within", "contains", "touches", "crosses", "overlaps", "covers", "covered_by",
@@ -30,18 +32,21 @@ def tolerance(x: str, y: str) -> str:
     return f"({num(RELATIVE_TOLERANCE)} * (abs({x}) + abs({y}) + 1.0D))"
 
 
-def on_segment(p: str, s: str) -> str:
-    """Is ``p`` on the segment, ends included?"""
+def norm(x: str, y: str) -> str:
+    return f"sqrt(({x}) * ({x}) + ({y}) * ({y}))"
 
-    def near(tol: str) -> str:
-        off = f"abs(({s}.x2 - {s}.x1) * ({p}.y - {s}.y1) - ({s}.y2 - {s}.y1) * ({p}.x - {s}.x1))"
-        return (
-            f"({p}.x >= least({s}.x1, {s}.x2) - {tol} and {p}.x <= greatest({s}.x1, {s}.x2) + {tol}"
-            f" and {p}.y >= least({s}.y1, {s}.y2) - {tol} and {p}.y <= greatest({s}.y1, {s}.y2) + {tol}"
-            f" and {off} <= {tol} * greatest(hypot({s}.x2 - {s}.x1, {s}.y2 - {s}.y1), {tol}))"
-        )
 
-    return near(tolerance(f"{p}.x", f"{p}.y"))
+def on_segment(p: str, s: str) -> str:
+    """Is ``p`` on the segment, ends included?"""
+    tol = tolerance(f"{p}.x", f"{p}.y")
+    dx, dy = f"({s}.x2 - {s}.x1)", f"({s}.y2 - {s}.y1)"
+    off = f"abs({dx} * ({p}.y - {s}.y1) - {dy} * ({p}.x - {s}.x1))"
+    # the box check is cheap and settles most cases
+    return (
+        f"({p}.x >= least({s}.x1, {s}.x2) - {tol} and {p}.x <= greatest({s}.x1, {s}.x2) + {tol}"
+        f" and {p}.y >= least({s}.y1, {s}.y2) - {tol} and {p}.y <= greatest({s}.y1, {s}.y2) + {tol}"
+        f" and {off} <= {tol} * greatest({norm(dx, dy)}, {tol}))"
+    )
 
 
 def inside_even_odd(p: str, segs: str) -> str:
@@ -86,53 +91,59 @@ def line_ends(g: str) -> str:
 
 def meeting_params(s: str, segs: str) -> str:
     """Sorted positions in [0, 1] along ``s`` where it meets the other segments."""
-    tx, ty = tolerance(f"{s}.x1", f"{s}.x2"), tolerance(f"{s}.y1", f"{s}.y2")
-    near = each(
-        "filter",
-        segs,
-        lambda r: f"(least({r}.x1, {r}.x2) <= greatest({s}.x1, {s}.x2) + {tx}"
-        f" and greatest({r}.x1, {r}.x2) >= least({s}.x1, {s}.x2) - {tx}"
-        f" and least({r}.y1, {r}.y2) <= greatest({s}.y1, {s}.y2) + {ty}"
-        f" and greatest({r}.y1, {r}.y2) >= least({s}.y1, {s}.y2) - {ty})",
+    frame = struct(
+        xlo=f"least({s}.x1, {s}.x2)", xhi=f"greatest({s}.x1, {s}.x2)",
+        ylo=f"least({s}.y1, {s}.y2)", yhi=f"greatest({s}.y1, {s}.y2)",
+        ux=f"{s}.x2 - {s}.x1", uy=f"{s}.y2 - {s}.y1",
+        lu=norm(f"{s}.x2 - {s}.x1", f"{s}.y2 - {s}.y1"),
+        tol=tolerance(f"greatest(abs({s}.x1), abs({s}.x2))", f"greatest(abs({s}.y1), abs({s}.y2))"),
     )
 
-    def deltas(r: str) -> str:
-        return struct(
-            ux=f"{s}.x2 - {s}.x1", uy=f"{s}.y2 - {s}.y1", vx=f"{r}.x2 - {r}.x1", vy=f"{r}.y2 - {r}.y1",
-            qx=f"{r}.x1 - {s}.x1", qy=f"{r}.y1 - {s}.y1",
+    def in_frame(f: str) -> str:
+        near = each(
+            "filter",
+            segs,
+            lambda r: f"(least({r}.x1, {r}.x2) <= {f}.xhi + {f}.tol and greatest({r}.x1, {r}.x2) >= {f}.xlo - {f}.tol"
+            f" and least({r}.y1, {r}.y2) <= {f}.yhi + {f}.tol and greatest({r}.y1, {r}.y2) >= {f}.ylo - {f}.tol)",
         )
 
-    def products(d: str) -> str:
-        return struct(
-            den=f"{d}.ux * {d}.vy - {d}.uy * {d}.vx",
-            tn=f"{d}.qx * {d}.vy - {d}.qy * {d}.vx",
-            wn=f"{d}.qx * {d}.uy - {d}.qy * {d}.ux",
-            lu=f"hypot({d}.ux, {d}.uy)",
-            lv=f"hypot({d}.vx, {d}.vy)",
-            t0=f"{d}.qx * {d}.ux + {d}.qy * {d}.uy",
-            t1=f"({d}.qx + {d}.vx) * {d}.ux + ({d}.qy + {d}.vy) * {d}.uy",
-            tol=tolerance(f"{s}.x1", f"{s}.y1"),
-        )
+        def against(r: str) -> str:
+            vx, vy = f"({r}.x2 - {r}.x1)", f"({r}.y2 - {r}.y1)"
+            qx, qy = f"({r}.x1 - {s}.x1)", f"({r}.y1 - {s}.y1)"
+            products = struct(
+                den=f"{f}.ux * {vy} - {f}.uy * {vx}",
+                tn=f"{qx} * {vy} - {qy} * {vx}",
+                wn=f"{qx} * {f}.uy - {qy} * {f}.ux",
+                lv=norm(vx, vy),
+            )
 
-    def params(m: str) -> str:
-        proper = (
-            f"{m}.tn / {m}.den between -{m}.tol / {m}.lu and 1 + {m}.tol / {m}.lu"
-            f" and {m}.wn / {m}.den between -{m}.tol / {m}.lv and 1 + {m}.tol / {m}.lv"
-        )
-        return case(
-            (f"{m}.lu = 0 or {m}.lv = 0", _NO_PARAMS),
-            (
-                f"abs({m}.den) > {num(RELATIVE_TOLERANCE)} * {m}.lu * {m}.lv",
-                f"if({proper}, array({m}.tn / {m}.den), {_NO_PARAMS})",
-            ),
-            (f"abs({m}.wn) <= {m}.tol * {m}.lu", f"array({m}.t0 / ({m}.lu * {m}.lu), {m}.t1 / ({m}.lu * {m}.lu))"),
-            default=_NO_PARAMS,
-        )
+            def params(m: str) -> str:
+                proper = (
+                    f"{m}.tn / {m}.den between -{f}.tol / {f}.lu and 1 + {f}.tol / {f}.lu"
+                    f" and {m}.wn / {m}.den between -{f}.tol / {m}.lv and 1 + {f}.tol / {m}.lv"
+                )
+                along = f"({f}.lu * {f}.lu)"
+                ends = (
+                    f"array(({qx} * {f}.ux + {qy} * {f}.uy) / {along},"
+                    f" (({qx} + {vx}) * {f}.ux + ({qy} + {vy}) * {f}.uy) / {along})"
+                )
+                return case(
+                    (f"{f}.lu = 0 or {m}.lv = 0", _NO_PARAMS),
+                    (
+                        f"abs({m}.den) > {num(PARALLEL)} * {f}.lu * {m}.lv",
+                        f"if({proper}, array({m}.tn / {m}.den), {_NO_PARAMS})",
+                    ),
+                    (f"abs({m}.wn) <= {f}.tol * {f}.lu", ends),
+                    default=_NO_PARAMS,
+                )
+
+            return let(products, params)
+
+        found = f"flatten({each('transform', near, against)})"
+        kept = each("filter", found, lambda t: f"({t} * {f}.lu >= -{f}.tol and ({t} - 1) * {f}.lu <= {f}.tol)")
+        return f"array_sort({each('transform', kept, lambda t: f'greatest(0.0D, least(1.0D, {t}))')})"
 
-    solved = each("transform", each("transform", each("transform", near, deltas), products), params)
-    slack = f"({tolerance(f'{s}.x1', f'{s}.y1')} / hypot({s}.x2 - {s}.x1, {s}.y2 - {s}.y1))"
-    kept = each("filter", f"flatten({solved})", lambda t: f"({t} >= -{slack} and {t} <= 1 + {slack})")
-    return f"array_sort({each('transform', kept, lambda t: f'greatest(0.0D, least(1.0D, {t}))')})"
+    return let(frame, in_frame)
 
 
 def meet(segs: str, others: str) -> str:
@@ -147,7 +158,7 @@ def meet(segs: str, others: str) -> str:
 def cut_one(s: str) -> str:
     """Pieces of one segment ``struct<x1,y1,x2,y2,ts>``, split at its positions, in order."""
     slack = (
-        f"({tolerance(f'{s}.x1', f'{s}.y1')} / greatest(hypot({s}.x2 - {s}.x1, {s}.y2 - {s}.y1), 1e-300D))"
+        f"({tolerance(f'{s}.x1', f'{s}.y1')} / greatest({norm(f'{s}.x2 - {s}.x1', f'{s}.y2 - {s}.y1')}, 1e-300D))"
     )
     inner = each("filter", f"{s}.ts", lambda t: f"({t} > {slack} and {t} < 1 - {slack})")
 

@@ -20,7 +20,7 @@ from ..functions.crs import is_geographic, reproject
 from ..functions.layer import GEOM, describe, is_point_layer, replace_geom, srid_of
 from ..functions.sql import each, let, num, struct, total
 from .edit import CIRCLE_SIDES, circle
-from .gridjoin import box_pairs
+from .gridjoin import box_pairs, spread
 from .lineage import cut_lineage
 from .spatial import spatial_relate, tolerant
 from .stitch import stitch_rows
@@ -89,7 +89,8 @@ def cut_segments(left: DataFrame, right: DataFrame, key: list[str], apart: str =
         hits.unionByName(ends)
         .withColumn("u", F.lead("t").over(stops))
         .withColumn("piece", F.row_number().over(stops))
-        .where("u > t")
+        # positions closer than the tolerance are one position
+        .where(f"(u - t) * {P.norm('x2 - x1', 'y2 - y1')} > {P.tolerance('x1', 'y1')}")
     )
 
     def at(t: str, a: str, b: str) -> Column:
@@ -267,7 +268,7 @@ def assemble(rings: DataFrame, group: list[str], step: float, geom: str = GEOM,
 def union_edges(df: DataFrame, by: list[str], id_: str, geom: str = GEOM) -> DataFrame:
     """Boundary edges (vertex grid units) of the union of the areas of each group."""
     step = snap_step(srid_of(df, geom))
-    areas = df.where(f"{G.family(geom)} = 2").select(*by, F.col(id_).alias("fid"), F.col(geom).alias("_g"))
+    areas = spread(df.where(f"{G.family(geom)} = 2").select(*by, F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
     segs = explode_segments(areas, [*[F.col(b) for b in by], F.col("fid")], "_g")
     key = ["fid", "seg"]
     pieces = cut_segments(segs, segs, [*by, *key], apart="l_fid != r_fid", by=by)
@@ -325,7 +326,8 @@ def overlay_rows(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
 
     rounded = each("transform", "_kept", lambda e: G.segment(*(on_grid(f"{e}.{c}") for c in _XY)))
     return (
-        pairs.selectExpr("_lid", "_rid", f"{G.segments('_lg')} _ls", f"{G.segments('_rg')} _rs")
+        spread(pairs, "_lid", "_rid")
+        .selectExpr("_lid", "_rid", f"{G.segments('_lg')} _ls", f"{G.segments('_rg')} _rs")
         .selectExpr("_lid", "_rid", f"{located('_ls', '_rs')} _lp", f"{located('_rs', '_ls')} _rp")
         .selectExpr("_lid", "_rid", "concat(filter(_lp, p -> p.code in ('I', 'S')), filter(_rp, p -> p.code = 'I')) _kept")
         # the generator keeps the filter below from being pushed into the steps above
@@ -378,7 +380,9 @@ def overlay_measures(left: DataFrame, right: DataFrame, left_id: str, right_id:
 def _clip_edges(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom: str = GEOM) -> DataFrame:
     """Pieces of lines and areas with their ``port``; for areas both sides of the mask's edges as well."""
     fam = G.family(geom)
-    feats = df.where(f"{fam} > 0").select(F.col(id_).alias("fid"), F.expr(f"{fam}").alias("fam"), F.expr(M.orient(geom)).alias("_g"))
+    feats = spread(
+        df.where(f"{fam} > 0").select(F.col(id_).alias("fid"), F.expr(fam).alias("fam"), F.expr(M.orient(geom)).alias("_g")), "fid"
+    )
     masks = mask.where(f"{fam} = 2").select(F.col(mask_id).alias("mid"), F.expr(M.orient(geom)).alias("_m"))
     segs = explode_segments(feats, [F.col("fid"), F.col("fam")], "_g")
     mask_segs = explode_segments(masks, [F.col("mid")], "_m")
@@ -541,7 +545,7 @@ def buffer(
 
 def split_lines(df: DataFrame, id_: str, geom: str = GEOM) -> DataFrame:
     """Break lines where they meet other lines: rows ``id, seg, piece, geom``, one per straight piece."""
-    lines = df.where(f"{G.family(geom)} = 1").select(F.col(id_).alias("fid"), F.col(geom).alias("_g"))
+    lines = spread(df.where(f"{G.family(geom)} = 1").select(F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
     segs = explode_segments(lines, [F.col("fid")], "_g")
     pieces = cut_segments(segs, segs, ["fid", "seg"], apart="l_fid != r_fid")
     shape = G.line([G.xy("x1", "y1"), G.xy("x2", "y2")])

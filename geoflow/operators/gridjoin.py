@@ -23,6 +23,8 @@ MIN_LEVEL, MAX_LEVEL = -30, 40
 HOT_SHARE = 1 / 1000
 # ... and never below this many rows, which one task handles easily.
 HOT_ROWS = 100_000
+# Cells are counted on one in this many ids.
+COUNT_ONE_IN = 64
 # Cells a feature may be listed under, at most, relative to its own row; used to size broadcasts.
 _FAN_OUT = 32
 
@@ -100,9 +102,13 @@ def _cells(df: DataFrame, side: str, meeting: str) -> DataFrame:
     )
 
 
-def _hot_cells(cells: DataFrame, copies: str) -> DataFrame:
-    """Cells with too many rows and the number of copies to spread them over."""
-    counts = cells.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n"))
+def _hot_cells(cells: DataFrame, id_: str, copies: str) -> DataFrame:
+    """Cells with too many rows and the number of copies to spread them over.
+
+    Counted on a fixed share of the ids, as the counts only steer the balance.
+    """
+    some = cells.where(F.pmod(F.xxhash64(F.lit("hot"), id_), F.lit(COUNT_ONE_IN)) == 0)
+    counts = some.groupBy(*_CELL).agg((F.count(F.lit(1)) * COUNT_ONE_IN).alias("_n"))
     quota = F.greatest(F.lit(HOT_ROWS), counts.agg(F.sum("_n") * HOT_SHARE).scalar())
     return (
         counts.withColumn("_quota", quota)
@@ -112,7 +118,7 @@ def _hot_cells(cells: DataFrame, copies: str) -> DataFrame:
 
 
 def _salted(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> tuple[DataFrame, DataFrame]:
-    hot_left, hot_right = _hot_cells(left, "_a"), _hot_cells(right, "_b")
+    hot_left, hot_right = _hot_cells(left, left_id, "_a"), _hot_cells(right, right_id, "_b")
     # at most 1/HOT_SHARE rows from each side
     hot = F.broadcast(
         hot_left.unionByName(hot_right, allowMissingColumns=True)

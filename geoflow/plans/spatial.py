@@ -157,17 +157,17 @@ _HALF_SIDE = 2 * 64 * math.sin(math.pi / 64)
     "buffer",
     f"""select 'site' kind, CAST(site_id AS BIGINT) id, round({_CIRCLE!r}::DOUBLE * 0.0025e0, 7) area,
           round({_HALF_SIDE!r}::DOUBLE * 0.05e0, 6) length from sites
-       union all select 'plot', plot_id, round(0.015625e0 + 0.5e0 * 0.05e0 + {_CIRCLE!r}::DOUBLE * 0.0025e0, 7),
-          round(0.5e0 + {_HALF_SIDE!r}::DOUBLE * 0.05e0, 6) from plots
+       union all select 'zone', zone_id, round(2.4e0 * 1.6e0 + 8e0 * 0.05e0 + {_CIRCLE!r}::DOUBLE * 0.0025e0, 7),
+          round(8e0 + {_HALF_SIDE!r}::DOUBLE * 0.05e0, 6) from zones
        union all select 'street', street_id, round(2 * 0.05e0 * sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) + {_CIRCLE!r}::DOUBLE * 0.0025e0, 7),
           round(2 * sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) + {_HALF_SIDE!r}::DOUBLE * 0.05e0, 6)
           from streets where x1 <> x2 or y1 <> y2""",
-    layers=("sites", "plots", "streets"),
+    layers=("sites", "zones", "streets"),
 )
 def buffer(spark: SparkSession, sf: str) -> DataFrame:
     layers = [
         ("site", "site_id", L.sites(spark, sf)),
-        ("plot", "plot_id", L.plots(spark, sf)),
+        ("zone", "zone_id", L.zones(spark, sf)),
         ("street", "street_id", L.streets(spark, sf).where("x1 <> x2 or y1 <> y2")),
     ]
     out = None
