@@ -7,8 +7,9 @@ import struct
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.geometry import GEOM_DDL
+from .columnar import geometry_type
 
 # OGC geometry type codes.
 CODES = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6}
@@ -91,7 +92,7 @@ def decode(data: bytes | None) -> dict | None:
     return {"type": name, "parts": parts}
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def to_wkb(geoms: pd.DataFrame) -> pd.Series:
     return pd.Series(
         [
@@ -101,7 +102,7 @@ def to_wkb(geoms: pd.DataFrame) -> pd.Series:
     )
 
 
-@F.pandas_udf(GEOM_DDL)
+@F.pandas_udf(geometry_type())
 def from_wkb(values: pd.Series) -> pd.DataFrame:
     decoded = [decode(v) for v in values]
     return pd.DataFrame(
