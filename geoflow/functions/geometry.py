@@ -148,6 +148,24 @@ def point_box(g: str) -> str:
     return struct(xmin=f"{p}.x", ymin=f"{p}.y", xmax=f"{p}.x", ymax=f"{p}.y")
 
 
+def is_box(g: str) -> str:
+    """Is the geometry a single axis-parallel rectangle?"""
+
+    def check(r: str) -> str:
+        p = [f"get({r}, {i})" for i in range(5)]
+
+        def same(axis: str, i: int, j: int) -> str:
+            return f"{p[i]}.{axis} = {p[j]}.{axis}"
+
+        upright = " and ".join([same("x", 0, 1), same("y", 1, 2), same("x", 2, 3), same("y", 3, 4)])
+        flat = " and ".join([same("y", 0, 1), same("x", 1, 2), same("y", 2, 3), same("x", 3, 4)])
+        closed = f"{same('x', 0, 4)} and {same('y', 0, 4)} and {p[0]}.x != {p[2]}.x and {p[0]}.y != {p[2]}.y"
+        return f"(size({r}) = 5 and {closed} and ({upright} or {flat}))"
+
+    ring = f"get(get({g}.parts, 0), 0)"
+    return f"({g}.type = '{POLYGON}' and size(get({g}.parts, 0)) = 1 and {let(ring, check)})"
+
+
 def vertex_count(g: str) -> str:
     return case((f"{g}.type is not null", f"size({vertices(g)})"))
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .geometry import POINT, family, segment, segments, single_point, vertices, xy
+from .geometry import POINT, bbox, family, is_box, segment, segments, single_point, vertices, xy
 from .measures import orient
 from .sql import case, each, each_with_index, let, num, struct
 
@@ -244,11 +244,71 @@ def point_code(p: str, other: str, other_segs: str, other_family: str | None = N
     )
 
 
+def segments_meet(s: str, r: str) -> str:
+    """Do two segments have a common point?"""
+    ux, uy = f"({s}.x2 - {s}.x1)", f"({s}.y2 - {s}.y1)"
+    vx, vy = f"({r}.x2 - {r}.x1)", f"({r}.y2 - {r}.y1)"
+    qx, qy = f"({r}.x1 - {s}.x1)", f"({r}.y1 - {s}.y1)"
+
+    def apart(axis: str) -> str:
+        a, b, c, d = f"{s}.{axis}1", f"{s}.{axis}2", f"{r}.{axis}1", f"{r}.{axis}2"
+        return (
+            f"(least({a}, {b}) > greatest({c}, {d}) + {tolerance(a, b)}"
+            f" or greatest({a}, {b}) < least({c}, {d}) - {tolerance(a, b)})"
+        )
+
+    products = struct(
+        den=f"{ux} * {vy} - {uy} * {vx}", tn=f"{qx} * {vy} - {qy} * {vx}", wn=f"{qx} * {uy} - {qy} * {ux}",
+        lu=norm(ux, uy), lv=norm(vx, vy), tol=tolerance(f"{s}.x1", f"{s}.y1"),
+    )
+
+    def decide(m: str) -> str:
+        crossing = (
+            f"({m}.tn / {m}.den between -{m}.tol / {m}.lu and 1 + {m}.tol / {m}.lu"
+            f" and {m}.wn / {m}.den between -{m}.tol / {m}.lv and 1 + {m}.tol / {m}.lv)"
+        )
+        return case(
+            (f"{m}.lu = 0 or {m}.lv = 0", "false"),
+            (f"abs({m}.den) > {num(PARALLEL)} * {m}.lu * {m}.lv", crossing),
+            # parallel segments on one line whose boxes meet have a common point
+            default=f"abs({m}.wn) <= {m}.tol * {m}.lu",
+        )
+
+    return f"(not {apart('x')} and not {apart('y')} and {let(products, decide)})"
+
+
+def _box_relation(a: str, b: str) -> str:
+    """Outcome for two axis-parallel rectangles from their boxes alone."""
+
+    def compare(t: str) -> str:
+        def both(x: str, y: str) -> str:
+            return f"({x} and {y})"
+
+        def along(axis: str) -> dict[str, str]:
+            a0, a1, b0, b1 = f"{a}.{axis}min", f"{a}.{axis}max", f"{b}.{axis}min", f"{b}.{axis}max"
+            return {
+                "ii": f"({a0} < {b1} - {t} and {b0} < {a1} - {t})",
+                "touch": f"({a0} <= {b1} + {t} and {b0} <= {a1} + {t})",
+                "a_in": f"({a0} >= {b0} - {t} and {a1} <= {b1} + {t})",
+                "b_in": f"({b0} >= {a0} - {t} and {b1} <= {a1} + {t})",
+                "deep": f"({b0} > {a0} + {t} and {b1} < {a1} - {t})",
+            }
+
+        x, y = along("x"), along("y")
+        m = {k: both(x[k], y[k]) for k in x}
+        return struct(
+            ii=m["ii"], ae=f"not {m['a_in']}", be=f"not {m['b_in']}", touch=m["touch"], shared="false", deep=m["deep"]
+        )
+
+    return let(tolerance(f"greatest(abs({a}.xmin), abs({a}.xmax))", f"greatest(abs({a}.ymin), abs({a}.ymax))"), compare)
+
+
 def relation(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Add ``_fa, _fb, _rel``: what the predicates need to know about each pair of geometries.
 
     ``ii`` interiors meet, ``ae``/``be`` a/b has a part outside the other, ``touch`` any common
-    point, ``shared`` common linework, ``deep`` b stays clear of the boundary of a.
+    point, ``shared`` common linework, ``deep`` b stays clear of the boundary of a.  Pairs of
+    axis-parallel rectangles are settled by their boxes.
     """
 
     def codes(g: str, pieces: str, other: str, other_segs: str, own_family: str, other_family: str) -> str:
@@ -275,7 +335,7 @@ def relation(pairs: DataFrame, a: str, b: str) -> DataFrame:
         ("_fa <= _fb", has("_ca", "I")),
         default=has("_cb", "I"),
     )
-    rel = struct(
+    general = struct(
         ii=ii,
         ae=case(
             (areas, f"({has('_ca', 'EO')} or {has('_cb', 'I')})"), ("_fa > _fb", "true"), default=has("_ca", "E")
@@ -291,8 +351,14 @@ def relation(pairs: DataFrame, a: str, b: str) -> DataFrame:
             default=f"not {has('_cb', 'BE')}",
         ),
     )
+    # null geometries make every later step null at no cost
     staged = (
-        pairs.selectExpr("*", f"{orient(a)} _ga", f"{orient(b)} _gb", f"{family(a)} _fa", f"{family(b)} _fb")
+        pairs.selectExpr("*", f"{is_box(a)} and {is_box(b)} _boxes", f"{family(a)} _fa", f"{family(b)} _fb")
+        .selectExpr(
+            "*",
+            f"if(_boxes, {bbox(a)}, null) _xa", f"if(_boxes, {bbox(b)}, null) _xb",
+            f"if(_boxes, null, {orient(a)}) _ga", f"if(_boxes, null, {orient(b)}) _gb",
+        )
         .selectExpr("*", f"{segments('_ga')} _sa", f"{segments('_gb')} _sb")
         .selectExpr("*", f"{meet('_sa', '_sb')} _ma", f"{meet('_sb', '_sa')} _mb")
         .selectExpr("*", f"{cut('_ma')} _pa", f"{cut('_mb')} _pb")
@@ -302,10 +368,34 @@ def relation(pairs: DataFrame, a: str, b: str) -> DataFrame:
             f"{codes('_gb', '_pb', '_ga', '_sa', '_fb', '_fa')} _cb",
         )
     )
+    rel = f"if(_boxes, {_box_relation('_xa', '_xb')}, {general})"
     # the generator keeps filters on the outcome from being pushed into the steps above
     return staged.select(*pairs.columns, "_fa", "_fb", F.expr(f"explode(array({rel}))").alias("_rel"))
 
 
+def intersection_test(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Add ``_hit``: do the geometries have a common point?  Stops at the first one found."""
+
+    def some_vertex_in(g: str, segs: str) -> str:
+        first = each("exists", f"{g}.parts", lambda part: inside_even_odd(f"get(get({part}, 0), 0)", segs))
+        return first
+
+    def points_on(g: str, other: str, segs: str, other_family: str) -> str:
+        return each("exists", vertices(g), lambda p: f"{point_code(p, other, segs, other_family)} != 'E'")
+
+    edges = each("exists", "_sa", lambda s: each("exists", "_sb", lambda r: segments_meet(s, r)))
+    hit = case(
+        ("_boxes", _box_relation(bbox(a), bbox(b)) + ".touch"),
+        ("_fa = 0", points_on(a, b, "_sb", "_fb")),
+        ("_fb = 0", points_on(b, a, "_sa", "_fa")),
+        default=f"({edges} or _fb = 2 and {some_vertex_in(a, '_sb')} or _fa = 2 and {some_vertex_in(b, '_sa')})",
+    )
+    staged = pairs.selectExpr(
+        "*", f"{is_box(a)} and {is_box(b)} _boxes", f"{family(a)} _fa", f"{family(b)} _fb"
+    ).selectExpr("*", f"if(_boxes, null, {segments(a)}) _sa", f"if(_boxes, null, {segments(b)}) _sb")
+    return staged.select(*pairs.columns, F.expr(f"explode(array({hit}))").alias("_hit"))
+
+
 # Predicates on the outcome of :func:`relation`.
 HOLDS = {
     "intersects": "_rel.touch",

@@ -325,11 +325,28 @@ def overlay_rows(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         return f"cast(floor({c} / {step} + 0.5D) as bigint)"
 
     rounded = each("transform", "_kept", lambda e: G.segment(*(on_grid(f"{e}.{c}") for c in _XY)))
+
+    # two axis-parallel rectangles overlap in a rectangle
+    def common_box(c: str) -> str:
+        ring = G.rectangle(f"{c}.xmin", f"{c}.ymin", f"{c}.xmax", f"{c}.ymax")
+        return f"if({c}.xmin < {c}.xmax and {c}.ymin < {c}.ymax, {let(ring, G.segments)}, null)"
+
+    common = struct(
+        xmin="greatest(_lx.xmin, _rx.xmin)", ymin="greatest(_lx.ymin, _rx.ymin)",
+        xmax="least(_lx.xmax, _rx.xmax)", ymax="least(_lx.ymax, _rx.ymax)",
+    )
+    general = "concat(filter(_lp, p -> p.code in ('I', 'S')), filter(_rp, p -> p.code = 'I'))"
+    plain = each("transform", general, lambda p: G.segment(*(f"{p}.{c}" for c in _XY)))
     return (
         spread(pairs, "_lid", "_rid")
-        .selectExpr("_lid", "_rid", f"{G.segments('_lg')} _ls", f"{G.segments('_rg')} _rs")
-        .selectExpr("_lid", "_rid", f"{located('_ls', '_rs')} _lp", f"{located('_rs', '_ls')} _rp")
-        .selectExpr("_lid", "_rid", "concat(filter(_lp, p -> p.code in ('I', 'S')), filter(_rp, p -> p.code = 'I')) _kept")
+        .selectExpr("*", f"{G.is_box('_lg')} and {G.is_box('_rg')} _boxes")
+        .selectExpr(
+            "_lid", "_rid", "_boxes",
+            f"if(_boxes, {G.bbox('_lg')}, null) _lx", f"if(_boxes, {G.bbox('_rg')}, null) _rx",
+            f"if(_boxes, null, {G.segments('_lg')}) _ls", f"if(_boxes, null, {G.segments('_rg')}) _rs",
+        )
+        .selectExpr("_lid", "_rid", "_boxes", "_lx", "_rx", f"{located('_ls', '_rs')} _lp", f"{located('_rs', '_ls')} _rp")
+        .selectExpr("_lid", "_rid", f"if(_boxes, {let(common, common_box)}, {plain}) _kept")
         # the generator keeps the filter below from being pushed into the steps above
         .selectExpr("_lid", "_rid", f"explode(array(filter({rounded}, e -> e.x1 != e.x2 or e.y1 != e.y2))) _edges")
         .where("size(_edges) >= 3")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import normalize_name
 from .gridjoin import is_small
@@ -94,9 +94,12 @@ def add_counter(
     # two steps of about sqrt(ranges) comparisons find the range of a value
     width = max(1, round(len(cuts) ** 0.5))
     chunks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-    kind = T.ArrayType(df.schema[order_by].dataType)
-    holder = T.StructType([T.StructField("c", T.StructType([T.StructField("heads", kind), T.StructField("chunks", T.ArrayType(kind))]))])
-    limits = df.sparkSession.createDataFrame([(([c[0] for c in chunks], chunks),)], holder).scalar()
+    kind = df.schema[order_by].dataType.simpleString()
+    # a constant, folded when the plan is made
+    limits = F.from_json(
+        F.lit(json.dumps({"heads": [c[0] for c in chunks], "chunks": chunks}, default=str)),
+        f"heads array<{kind}>, chunks array<array<{kind}>>",
+    )
     ranged = (
         df.withColumn("_cuts", limits)
         .withColumn("_chunk", F.size(F.filter("_cuts.heads", lambda c: c <= F.col(order_by))))

@@ -157,7 +157,7 @@ def box_pairs(
     by: Sequence[str] = (),
     test: str | None = None,
     strategy: str | None = None,
-    fine: int = 2,
+    fine: int = 1,
 ) -> DataFrame:
     """Every pair of rows whose boxes intersect, exactly once, with the columns of both sides.
 

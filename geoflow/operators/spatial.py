@@ -90,12 +90,13 @@ def matched(
     )
     if test is not None:
         return pairs
-    related = P.relation(spread(pairs, "_lid", "_rid"), "_lg", "_rg")
+    pairs = spread(pairs, "_lid", "_rid")
+    if predicate == "intersects":
+        return P.intersection_test(pairs, "_lg", "_rg").where("_hit").select(*pairs.columns)
     if predicate == "dwithin":
-        held = f"{P.HOLDS['intersects']} or {P.gap('_lg', '_rg')} <= {num(distance)}"
-    else:
-        held = P.HOLDS[predicate]
-    return related.where(held).select(*pairs.columns)
+        tested = P.intersection_test(pairs, "_lg", "_rg")
+        return tested.where(f"_hit or {P.gap('_lg', '_rg')} <= {num(distance)}").select(*pairs.columns)
+    return P.relation(pairs, "_lg", "_rg").where(P.HOLDS[predicate]).select(*pairs.columns)
 
 
 def matching_pairs(
