@@ -101,6 +101,11 @@ def segments(g: str) -> str:
     return f"flatten({each('transform', rings(g), ring_segments, 'r')})"
 
 
+def proper_segments(g: str) -> str:
+    """The edges that have a length."""
+    return each("filter", segments(g), lambda s: f"({s}.x1 != {s}.x2 or {s}.y1 != {s}.y2)")
+
+
 def map_rings(g: str, step: Callable[[str], str]) -> str:
     moved = each("transform", f"{g}.parts", lambda part: each("transform", part, step, "r"), "part")
     return case((f"{g}.type is not null", make_geom(f"{g}.type", moved)))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .geometry import POINT, bbox, family, is_box, segment, segments, single_point, vertices, xy
+from .geometry import POINT, bbox, family, is_box, proper_segments, segment, segments, single_point, vertices, xy
 from .measures import orient
 from .sql import case, each, each_with_index, let, num, struct
 
@@ -359,7 +359,7 @@ def relation(pairs: DataFrame, a: str, b: str) -> DataFrame:
             f"if(_boxes, {bbox(a)}, null) _xa", f"if(_boxes, {bbox(b)}, null) _xb",
             f"if(_boxes, null, {orient(a)}) _ga", f"if(_boxes, null, {orient(b)}) _gb",
         )
-        .selectExpr("*", f"{segments('_ga')} _sa", f"{segments('_gb')} _sb")
+        .selectExpr("*", f"{proper_segments('_ga')} _sa", f"{proper_segments('_gb')} _sb")
         .selectExpr("*", f"{meet('_sa', '_sb')} _ma", f"{meet('_sb', '_sa')} _mb")
         .selectExpr("*", f"{cut('_ma')} _pa", f"{cut('_mb')} _pb")
         .selectExpr(

@@ -343,7 +343,7 @@ def overlay_rows(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         .selectExpr(
             "_lid", "_rid", "_boxes",
             f"if(_boxes, {G.bbox('_lg')}, null) _lx", f"if(_boxes, {G.bbox('_rg')}, null) _rx",
-            f"if(_boxes, null, {G.segments('_lg')}) _ls", f"if(_boxes, null, {G.segments('_rg')}) _rs",
+            f"if(_boxes, null, {G.proper_segments('_lg')}) _ls", f"if(_boxes, null, {G.proper_segments('_rg')}) _rs",
         )
         .selectExpr("_lid", "_rid", "_boxes", "_lx", "_rx", f"{located('_ls', '_rs')} _lp", f"{located('_rs', '_ls')} _rp")
         .selectExpr("_lid", "_rid", f"if(_boxes, {let(common, common_box)}, {plain}) _kept")
@@ -384,13 +384,6 @@ def _stitched(edges: DataFrame, group: list[str], step: float, srid: int | None,
     return describe(shaped.where(f"{geom}.type is not null"), geom, srid=srid)
 
 
-def overlay_measures(left: DataFrame, right: DataFrame, left_id: str, right_id: str, apart: str = "true", geom: str = GEOM) -> DataFrame:
-    """Area and perimeter of the intersection of every overlapping pair."""
-    step = snap_step(srid_of(left, geom))
-    edges = snapped(overlay_pieces(left, right, left_id, right_id, apart, geom), step)
-    return edge_measures(edges, ["_lid", "_rid"], step).where("area > 0")
-
-
 # --- clip ----------------------------------------------------------------------------------
 
 
@@ -535,7 +528,7 @@ def buffer(
     spots = let(G.vertices(geom), lambda vs: each("transform", vs, lambda v: G.polygon(f"array({circle(f'{v}.x', f'{v}.y', radius)})")))
     edges = each(
         "transform",
-        f"filter({G.segments(geom)}, s -> s.x1 != s.x2 or s.y1 != s.y2)",
+        G.proper_segments(geom),
         lambda s: G.polygon(f"array({_capsule(s, radius)})"),
     )
     solids = each("transform", f"{geom}.parts", lambda part: G.make_geom("'Polygon'", f"array({part})"))

@@ -13,6 +13,7 @@ of the cell by a hash of their id and the other side is repeated for each copy.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -31,10 +32,18 @@ _FAN_OUT = 32
 _CELL = ["_lvl", "_cx", "_cy"]
 
 
-def estimated_bytes(df: DataFrame) -> int:
+_UNITS = {"B": 0, "KiB": 1, "MiB": 2, "GiB": 3, "TiB": 4, "PiB": 5, "EiB": 6}
+
+
+def _bytes(stats: object) -> float:
+    # read from the text form: the number of a deep plan can have thousands of digits
+    size, unit = re.search(r"sizeInBytes=([0-9.E+]+) ([KMGTPE]?i?B)", stats.simpleString()).groups()
+    return float(size) * 1024 ** _UNITS[unit]
+
+
+def estimated_bytes(df: DataFrame) -> float:
     """Catalyst's size estimate of the plan: file sizes for scans, unknown counts as enormous."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    return _bytes(df._jdf.queryExecution().optimizedPlan().stats())
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -52,7 +61,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     Inputs with at least one split per core stay where they are.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    sizes = [_bytes(leaves.apply(i).stats()) for i in range(leaves.size())]
     conf = df.sparkSession._jsparkSession.sessionState().conf()
     cores = df.sparkSession.sparkContext.defaultParallelism
     if max(sizes, default=0) >= cores * conf.filesMaxPartitionBytes():

@@ -5,11 +5,11 @@ from __future__ import annotations
 import struct
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .columnar import geometry_type
+from .columnar import GEOM_ARROW, geometry_type
 
 # OGC geometry type codes.
 CODES = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6}
@@ -92,22 +92,11 @@ def decode(data: bytes | None) -> dict | None:
     return {"type": name, "parts": parts}
 
 
-@F.pandas_udf(T.BinaryType())
-def to_wkb(geoms: pd.DataFrame) -> pd.Series:
-    return pd.Series(
-        [
-            encode({"type": t, "parts": p}) if t is not None else None
-            for t, p in zip(geoms["type"], geoms["parts"], strict=True)
-        ]
-    )
-
-
-@F.pandas_udf(geometry_type())
-def from_wkb(values: pd.Series) -> pd.DataFrame:
-    decoded = [decode(v) for v in values]
-    return pd.DataFrame(
-        {
-            "type": [d and d["type"] for d in decoded],
-            "parts": [d and d["parts"] for d in decoded],
-        }
-    )
+@F.arrow_udf(T.BinaryType())
+def to_wkb(geoms: pa.Array) -> pa.Array:
+    return pa.array([encode(g) for g in geoms.to_pylist()], pa.binary())
+
+
+@F.arrow_udf(geometry_type())
+def from_wkb(values: pa.Array) -> pa.Array:
+    return pa.array([decode(v) for v in values.to_pylist()], GEOM_ARROW)
