@@ -271,7 +271,8 @@ def union_edges(df: DataFrame, by: list[str], id_: str, geom: str = GEOM) -> Dat
     areas = spread(df.where(f"{G.family(geom)} = 2").select(*by, F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
     segs = explode_segments(areas, [*[F.col(b) for b in by], F.col("fid")], "_g")
     key = ["fid", "seg"]
-    pieces = cut_segments(segs, segs, [*by, *key], apart="l_fid != r_fid", by=by)
+    # the pieces are needed several times below
+    pieces = cut_lineage(cut_segments(segs, segs, [*by, *key], apart="l_fid != r_fid", by=by))
     middle = G.xy("(x1 + x2) / 2", "(y1 + y2) / 2")
     probes = pieces.select(
         *by, F.col("fid").alias("l_fid"), F.col("seg").alias("l_seg"), F.col("piece").alias("l_piece"),
@@ -396,7 +397,8 @@ def _clip_edges(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom: st
     masks = mask.where(f"{fam} = 2").select(F.col(mask_id).alias("mid"), F.expr(M.orient(geom)).alias("_m"))
     segs = explode_segments(feats, [F.col("fid"), F.col("fam")], "_g")
     mask_segs = explode_segments(masks, [F.col("mid")], "_m")
-    pieces = cut_segments(segs, mask_segs, ["fid", "seg"])
+    # the pieces are needed several times below
+    pieces = cut_lineage(cut_segments(segs, mask_segs, ["fid", "seg"]))
 
     # which pieces lie inside the mask, or along it with the interior on the same side
     probes = pieces.select(
@@ -447,7 +449,7 @@ def clip_measures(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom:
     The mask features must not overlap each other (dissolve them first); common edges are fine.
     """
     step = snap_step(srid_of(df, geom))
-    pieces = snapped(_clip_edges(df, mask, id_, mask_id, geom), step)
+    pieces = cut_lineage(snapped(_clip_edges(df, mask, id_, mask_id, geom), step))
     group = ["fid", "port"]
     areas = edge_measures(cancel_opposites(pieces.where("fam = 2"), group), group, step).where("area > 0")
     lines = pieces.where("fam = 1").groupBy(*group).agg(
@@ -464,7 +466,7 @@ def clip(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom: str = GEO
     """
     srid = srid_of(df, geom)
     step = snap_step(srid)
-    pieces = _clip_edges(df, mask, id_, mask_id, geom)
+    pieces = cut_lineage(_clip_edges(df, mask, id_, mask_id, geom))
     group = ["fid", "port"]
     areas = _stitched(cancel_opposites(snapped(pieces.where("fam = 2"), step), group), group, step, srid, geom)
     lines = pieces.where("fam = 1").groupBy(*group).agg(
@@ -543,6 +545,7 @@ def buffer(
         several.select(F.col(id_).alias("_owner"), F.expr("posexplode(_pieces)").alias("_piece", geom)), geom, srid=srid
     )
     step = snap_step(srid)
+    parts = describe(cut_lineage(parts), geom, srid=srid)
     outlines = _stitched(union_edges(parts, ["_owner"], "_piece", geom), ["_owner"], step, srid, geom)
     united = several.drop(geom).join(outlines, F.col(id_).eqNullSafe(F.col("_owner")), "left")
     return describe(

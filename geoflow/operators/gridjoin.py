@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_LEVEL, MAX_LEVEL = -30, 40
-# A cell is hot when it holds more than this share of a side's rows, so at most 1/HOT_SHARE cells are.
-HOT_SHARE = 1 / 1000
-# ... and never below this many rows, which one task handles easily.
+# A cell with more rows than this on one side is spread over several tasks ...
 HOT_ROWS = 100_000
+# ... if it is among this many fullest ones; no other cell then holds more than 1/HOT_CELLS of a side.
+HOT_CELLS = 1000
+MAX_COPIES = 1000
 # Cells are counted on one in this many ids.
 COUNT_ONE_IN = 64
 # Cells a feature may be listed under, at most, relative to its own row; used to size broadcasts.
@@ -112,23 +113,20 @@ def _cells(df: DataFrame, side: str, meeting: str) -> DataFrame:
 
 
 def _hot_cells(cells: DataFrame, id_: str, copies: str) -> DataFrame:
-    """Cells with too many rows and the number of copies to spread them over.
+    """The fullest cells, ``HOT_CELLS`` at most, and the number of copies to spread them over.
 
     Counted on a fixed share of the ids, as the counts only steer the balance.
     """
     some = cells.where(F.pmod(F.xxhash64(F.lit("hot"), id_), F.lit(COUNT_ONE_IN)) == 0)
     counts = some.groupBy(*_CELL).agg((F.count(F.lit(1)) * COUNT_ONE_IN).alias("_n"))
-    quota = F.greatest(F.lit(HOT_ROWS), counts.agg(F.sum("_n") * HOT_SHARE).scalar())
-    return (
-        counts.withColumn("_quota", quota)
-        .where(F.col("_n") > F.col("_quota"))
-        .select(*_CELL, F.ceil(F.col("_n") / F.col("_quota")).cast("int").alias(copies))
-    )
+    fullest = counts.where(F.col("_n") > HOT_ROWS).orderBy(F.desc("_n")).limit(HOT_CELLS)
+    spread_over = F.least(F.ceil(F.col("_n") / HOT_ROWS), F.lit(MAX_COPIES))
+    return fullest.select(*_CELL, spread_over.cast("int").alias(copies))
 
 
 def _salted(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> tuple[DataFrame, DataFrame]:
     hot_left, hot_right = _hot_cells(left, left_id, "_a"), _hot_cells(right, right_id, "_b")
-    # at most 1/HOT_SHARE rows from each side
+    # at most HOT_CELLS rows from each side
     hot = F.broadcast(
         hot_left.unionByName(hot_right, allowMissingColumns=True)
         .groupBy(*_CELL)

@@ -33,7 +33,6 @@ def test_boxes_of_all_sizes(spark, strategy, monkeypatch):
     left += [(0.0, 0.0, 0.0, 0.0)] * 60  # a hot place
     # tiny limits make nearly every cell a hot one
     monkeypatch.setattr(gridjoin, "HOT_ROWS", 3)
-    monkeypatch.setattr(gridjoin, "HOT_SHARE", 1e-6)
     monkeypatch.setattr(gridjoin, "COUNT_ONE_IN", 1)
     found = spatial.matching_pairs(
         S.layer(spark, [S.box(*b) for b in left]), S.layer(spark, [S.box(*b) for b in right]), "id", "id", strategy=strategy
