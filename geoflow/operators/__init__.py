@@ -1,0 +1 @@
+"""Operators on tables and layers."""

@@ -180,7 +180,9 @@ def _successors(edges: DataFrame, group: list[str]) -> DataFrame:
 
 
 def stitch_rings(edges: DataFrame, group: list[str]) -> DataFrame:
-    """Closed rings of directed boundary edges: rows ``group..., ring`` with an array of grid vertices.
+    """Closed rings of directed boundary edges: ``group..., ring_id, ring`` with an array of grid vertices.
+
+    ``ring_id`` is the smallest edge of the ring, unique within the group.
 
     Every edge learns the smallest edge of its ring and its distance to it by pointer doubling, in
     as many rounds as the longest ring has doublings; a ring is only collected as its own value.
@@ -221,6 +223,7 @@ def stitch_rings(edges: DataFrame, group: list[str]) -> DataFrame:
         .agg(F.array_sort(F.collect_list(corner)).alias("c"))
         .selectExpr(
             *[f"`{g}`" for g in group],
+            "lead ring_id",
             f"concat({each('transform', 'c', lambda v: struct(x=f'{v}.x', y=f'{v}.y'))},"
             " array(named_struct('x', c[0].x, 'y', c[0].y))) ring",
         )
@@ -231,13 +234,11 @@ def assemble(rings: DataFrame, group: list[str], step: float, geom: str = GEOM,
     """Polygons from rings: one row per group and shell, with the holes inside it."""
     s = num(step)
     scaled = each("transform", "ring", lambda v: G.xy(f"{v}.x * {s}", f"{v}.y * {s}"))
-    measured = rings.select(*group, F.expr(scaled).alias("ring")).withColumn("size", F.expr(M.ring_area("ring")))
+    measured = rings.select(*group, "ring_id", F.expr(scaled).alias("ring")).withColumn("size", F.expr(M.ring_area("ring")))
     shells = measured.where("size > 0").select(
-        *group, F.xxhash64(*group, "ring").alias("shell_id"), F.col("ring").alias("shell"), F.col("size").alias("shell_size")
-    )
-    holes = measured.where("size < 0").select(
-        *group, F.xxhash64(*group, "ring").alias("hole_id"), F.col("ring").alias("hole")
+        *group, F.col("ring_id").alias("shell_id"), F.col("ring").alias("shell"), F.col("size").alias("shell_size")
     )
+    holes = measured.where("size < 0").select(*group, F.col("ring_id").alias("hole_id"), F.col("ring").alias("hole"))
     # the middle of a hole's first edge is inside the shell that owns it
     probe = G.xy("(hole[0].x + hole[1].x) / 2", "(hole[0].y + hole[1].y) / 2")
     probes = holes.withColumn("p", F.expr(probe))
@@ -250,15 +251,14 @@ def assemble(rings: DataFrame, group: list[str], step: float, geom: str = GEOM,
             probes, targets, "hole_id", "owner", struct(xmin="p.x", ymin="p.y", xmax="p.x", ymax="p.y"),
             tolerant(G.bbox("_rg")), left_points=True, by=group, test=inside,
         )
-        .groupBy("hole_id")
+        .groupBy(*group, "hole_id")
         .agg(F.min_by("owner", "shell_size").alias("owner"), F.first("hole").alias("hole"))
-        .groupBy("owner")
+        .groupBy(*[F.col(g).alias(f"_{g}") for g in group], "owner")
         .agg(F.array_sort(F.collect_list("hole")).alias("holes"))
     )
     shape = G.polygon("concat(array(shell), coalesce(holes, cast(array() as array<array<struct<x:double,y:double>>>)))")
-    parts = shells.join(owned, F.col("shell_id") == F.col("owner"), "left").select(
-        *group, F.expr(shape).alias(geom)
-    )
+    on = [F.col("shell_id") == F.col("owner")] + [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
+    parts = shells.join(owned, on, "left").select(*group, F.expr(shape).alias(geom))
     return describe(parts, geom, srid=srid)
 
 

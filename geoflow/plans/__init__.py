@@ -1,0 +1 @@
+"""Registered queries and the layers they run on."""

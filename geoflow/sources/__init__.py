@@ -1,0 +1 @@
+"""File and database formats."""

@@ -1,0 +1 @@
+"""No streaming operators: the row-wise operators of this package take streaming DataFrames as they are."""

@@ -139,3 +139,16 @@ def test_pages(spark):
     assert preview.page_rows(df, "id", None).count() == 120
     assert [r.id for r in preview.page_rows(df, "id", 50, page=3).collect()] == list(range(100, 120))
     assert preview.preview_rows(df, "id").agg(F.max("total")).first()[0] == 120
+
+
+def test_row_wise_operators_take_streams(spark, tmp_path):
+    from geoflow.functions.crs import reproject
+    from geoflow.operators.spatial import point_layer
+
+    schema = "c_custkey bigint, c_mktsegment string"
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    spark.range(10).selectExpr("id c_custkey", "if(id < 4, 'A', 'B') c_mktsegment").write.parquet(source)
+    stream = filters.filter_rows(spark.readStream.schema(schema).parquet(source), "c_mktsegment", "equals", "A")
+    layer = reproject(point_layer(stream, "c_custkey", "45"), 2154)
+    layer.writeStream.format("parquet").option("path", target).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(target).count() == 4
