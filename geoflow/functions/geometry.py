@@ -76,6 +76,18 @@ def single_point(g: str) -> str:
     return f"get(get(get({g}.parts, 0), 0), 0)"
 
 
+def only_point(g: str) -> str:
+    """The coordinate in a layer marked as points; fails on other geometries, for instance after a union.
+
+    The check folds away where the points are built in the same plan.
+    """
+    return case(
+        (f"{g}.type = '{POINT}'", single_point(g)),
+        (f"{g}.type is null", "null"),
+        default="raise_error('the layer is marked as points but holds other geometries')",
+    )
+
+
 def rings(g: str) -> str:
     return f"flatten({g}.parts)"
 
@@ -118,10 +130,10 @@ def map_vertices(g: str, steps: list[Callable[[str], str]], points: bool = False
     generated code.
     """
     if points:
-        moved = single_point(g)
+        moved = only_point(g)
         for step in steps:
             moved = let(moved, step) if step is not steps[0] else step(moved)
-        return make_geom(text(POINT), f"array(array(array({moved})))")
+        return case((f"{g}.type is not null", make_geom(text(POINT), f"array(array(array({moved})))")))
 
     def on_ring(ring: str) -> str:
         for step in steps:
@@ -148,8 +160,8 @@ def bbox(g: str) -> str:
 
 
 def point_box(g: str) -> str:
-    """Box of a single point."""
-    p = single_point(g)
+    """Box of a single point, in a layer marked as points."""
+    p = only_point(g)
     return struct(xmin=f"{p}.x", ymin=f"{p}.y", xmax=f"{p}.x", ymax=f"{p}.y")
 
 

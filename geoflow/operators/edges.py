@@ -523,7 +523,7 @@ def buffer(
         return reproject(buffer(moved, distance, id_, unit, metric_srid, geom), srid, geom=geom)
     radius = num(distance * units[unit])
     if is_point_layer(df, geom):
-        p = G.single_point(geom)
+        p = G.only_point(geom)
         return replace_geom(df, F.expr(G.polygon(f"array({circle(f'{p}.x', f'{p}.y', radius)})")), geom)
 
     # every vertex of a point geometry, every edge of the others, and areas themselves

@@ -76,7 +76,7 @@ def snap_to_grid(df: DataFrame, tolerance: float, geom: str = GEOM) -> DataFrame
 
     points = is_point_layer(df, geom)
     if points:
-        p = G.single_point(geom)
+        p = G.only_point(geom)
         shape = G.point(snap(f"{p}.x"), snap(f"{p}.y"))
     else:
         shape = G.map_rings(geom, ring)

@@ -95,14 +95,14 @@ def _cell_index(value: str, level: str) -> str:
     return f"floor({value} * power(2.0D, -({level})))"
 
 
-def _cells(df: DataFrame, side: str, meeting: str) -> DataFrame:
+def _cells(df: DataFrame, side: str, meeting: str, points: bool) -> DataFrame:
     """One row per cell; ``meeting`` lists the numbers ``2 * level + kind`` the feature is listed under.
 
     Kind 0 means the cell size is that of the right feature, kind 1 that of the left one.
     """
     def along(axis: str) -> str:
         first, last = (_cell_index(f"_{side}{axis}{end}", "shiftright(_lvl, 1)") for end in ("min", "max"))
-        return f"explode(sequence({first}, {last})) _c{axis}"
+        return f"{first} _c{axis}" if points else f"explode(sequence({first}, {last})) _c{axis}"
 
     return (
         df.selectExpr("*", f"explode({meeting}) _lvl")
@@ -187,8 +187,8 @@ def box_pairs(
         if(array_min(_other) < _llvl, array(2 * _llvl + 1), {empty}))"""
     r_meeting = f"""concat(if(array_min(_other) <= _rlvl, array(2 * _rlvl), {empty}),
         transform(filter(_other, v -> v > _rlvl), v -> 2 * v + 1))"""
-    l_cells = _cells(l_boxed, "l", l_meeting)
-    r_cells = _cells(r_boxed, "r", r_meeting)
+    l_cells = _cells(l_boxed, "l", l_meeting, left_points)
+    r_cells = _cells(r_boxed, "r", r_meeting, right_points)
     keys = list(_CELL)
     if strategy == "broadcast_right":
         r_cells = F.broadcast(r_cells)

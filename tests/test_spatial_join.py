@@ -88,6 +88,16 @@ def test_right_side_is_reprojected(spark):
     assert spatial.spatial_join(area, reproject(site, 2154), "id", "id", "contains").count() == 1
 
 
+def test_mixed_layer_marked_as_points_fails(spark):
+    points = point_layer(spark.createDataFrame([(1, 0.5, 0.5)], "id bigint, x double, y double"), "x", "y").select("id", "geom")
+    mixed = points.union(S.layer(spark, [S.line((0, 0), (1, 1))]))
+    areas = S.layer(spark, [S.box(0, 0, 1, 1)])
+    with pytest.raises(Exception, match="marked as points"):
+        spatial.matching_pairs(mixed, areas, "id", "id").collect()
+    with pytest.raises(Exception, match="marked as points"):
+        reproject(mixed, 2154).collect()
+
+
 # --- projections ---------------------------------------------------------------------------
 
 
