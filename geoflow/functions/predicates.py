@@ -385,14 +385,18 @@ def intersection_test(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
     edges = each("exists", "_sa", lambda s: each("exists", "_sb", lambda r: segments_meet(s, r)))
     hit = case(
-        ("_boxes", _box_relation(bbox(a), bbox(b)) + ".touch"),
+        ("_boxes", _box_relation("_xa", "_xb") + ".touch"),
         ("_fa = 0", points_on(a, b, "_sb", "_fb")),
         ("_fb = 0", points_on(b, a, "_sa", "_fa")),
         default=f"({edges} or _fb = 2 and {some_vertex_in(a, '_sb')} or _fa = 2 and {some_vertex_in(b, '_sa')})",
     )
     staged = pairs.selectExpr(
         "*", f"{is_box(a)} and {is_box(b)} _boxes", f"{family(a)} _fa", f"{family(b)} _fb"
-    ).selectExpr("*", f"if(_boxes, null, {segments(a)}) _sa", f"if(_boxes, null, {segments(b)}) _sb")
+    ).selectExpr(
+        "*",
+        f"if(_boxes, {bbox(a)}, null) _xa", f"if(_boxes, {bbox(b)}, null) _xb",
+        f"if(_boxes, null, {segments(a)}) _sa", f"if(_boxes, null, {segments(b)}) _sb",
+    )
     return staged.select(*pairs.columns, F.expr(f"explode(array({hit}))").alias("_hit"))
 
 

@@ -190,26 +190,29 @@ def stitch_rings(edges: DataFrame, group: list[str]) -> DataFrame:
     links = _successors(edges, group).select(
         *group, "id", "nxt", F.col("id").alias("lead"), F.lit(0).cast("bigint").alias("off")
     )
-    state = cut_lineage(links)
-    span = 1
-    while True:
+    def jump(state: DataFrame, span: int) -> DataFrame:
+        """Every edge takes over what the edge ``span`` further on knows."""
         ahead = state.select(
             *[F.col(g).alias(f"_{g}") for g in group], F.col("id").alias("_id"), F.col("nxt").alias("_nxt"),
             F.col("lead").alias("_lead"), F.col("off").alias("_off"),
         )
         on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group] + [F.col("nxt") == F.col("_id")]
         nearer = F.col("_lead") < F.col("lead")
-        state = cut_lineage(
-            state.join(ahead, on).select(
-                *group,
-                "id",
-                F.col("_nxt").alias("nxt"),
-                F.when(nearer, F.col("_lead")).otherwise(F.col("lead")).alias("lead"),
-                F.when(nearer, F.col("_off") + span).otherwise(F.col("off")).alias("off"),
-                nearer.alias("moved"),
-            )
+        return state.join(ahead, on).select(
+            *group,
+            "id",
+            F.col("_nxt").alias("nxt"),
+            F.when(nearer, F.col("_lead")).otherwise(F.col("lead")).alias("lead"),
+            F.when(nearer, F.col("_off") + span).otherwise(F.col("off")).alias("off"),
+            nearer.alias("moved"),
         )
-        span *= 2
+
+    state = cut_lineage(links)
+    span = 1
+    while True:
+        # two jumps per written round; rings shorter than the span learn nothing new in the second
+        state = cut_lineage(jump(jump(state, span).drop("moved"), 2 * span))
+        span *= 4
         if state.where("moved").isEmpty():
             break
         state = state.drop("moved")
@@ -311,7 +314,7 @@ def dissolve_measures(df: DataFrame, by: list[str], id_: str, geom: str = GEOM)
 def overlay_rows(left: DataFrame, right: DataFrame, left_id: str, right_id: str, apart: str = "true", geom: str = GEOM) -> DataFrame:
     """Every pair of areas that overlap, with the boundary edges of the intersection in ``_edges``.
 
-    The edges stay in the row of their pair, in vertex grid units; nothing is shuffled after the join.
+    ``_common`` is the overlap of two axis-parallel rectangles, null for other pairs.  The edges stay in the row of their pair, in vertex grid units; nothing is shuffled after the join.
     """
     step = num(snap_step(srid_of(left, geom)))
     areas = f"{G.family(geom)} = 2"
@@ -347,9 +350,10 @@ def overlay_rows(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
             f"if(_boxes, null, {G.proper_segments('_lg')}) _ls", f"if(_boxes, null, {G.proper_segments('_rg')}) _rs",
         )
         .selectExpr("_lid", "_rid", "_boxes", "_lx", "_rx", f"{located('_ls', '_rs')} _lp", f"{located('_rs', '_ls')} _rp")
-        .selectExpr("_lid", "_rid", f"if(_boxes, {let(common, common_box)}, {plain}) _kept")
+        .selectExpr("_lid", "_rid", f"if(_boxes, {common}, null) _common", "_boxes", "_lp", "_rp")
+        .selectExpr("_lid", "_rid", "_common", f"if(_boxes, {common_box('_common')}, {plain}) _kept")
         # the generator keeps the filter below from being pushed into the steps above
-        .selectExpr("_lid", "_rid", f"explode(array(filter({rounded}, e -> e.x1 != e.x2 or e.y1 != e.y2))) _edges")
+        .selectExpr("_lid", "_rid", "_common", f"explode(array(filter({rounded}, e -> e.x1 != e.x2 or e.y1 != e.y2))) _edges")
         .where("size(_edges) >= 3")
     )
 
@@ -358,7 +362,10 @@ def overlay_areas(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     """Intersection of every pair of areas that overlap: ``_lid, _rid`` and the geometry."""
     srid = srid_of(left, geom)
     rows = overlay_rows(left, right, left_id, right_id, apart, geom)
-    shaped = rows.withColumn(geom, stitch_rows(snap_step(srid))("_edges")).drop("_edges")
+    rings = rows.withColumn("_open", F.expr("if(_common is null, _edges, null)"))
+    stitched = rings.withColumn("_stitched", stitch_rows(snap_step(srid))("_open"))
+    box = G.rectangle("_common.xmin", "_common.ymin", "_common.xmax", "_common.ymax")
+    shaped = stitched.select("_lid", "_rid", F.expr(f"if(_common is null, _stitched, {box})").alias(geom))
     return describe(shaped.where(f"{geom}.type is not null"), geom, srid=srid)
 
 
