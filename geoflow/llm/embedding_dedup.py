@@ -237,7 +237,7 @@ def near_duplicate_vectors(
         .select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root"))
     )
     linked = scratch.keep(usable.join(known, ["label", "vec"]).select("vec_id", "n_links", "root"))
-    groups = linked.groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    groups = scratch.keep(linked.groupBy("root").agg(F.min("vec_id").alias("component_id")))
     inside = linked.join(groups, "root").select("vec_id", "n_links", "component_id")
     alone = rows.where(~F.coalesce(finite, F.lit(False))).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return inside.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

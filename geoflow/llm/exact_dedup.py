@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-BLOCK_CHARS = 2048
+BLOCK_CHARS = 4096
 #: Fixed value: the pattern of white space that counts as one space.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -101,7 +101,7 @@ def exact_duplicates(
     scratch = Scratch(docs.sparkSession, "exact")
     named = scratch.keep(document_names(docs, scratch, block_chars, routed))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first")
-    groups = named.groupBy("round", "name").agg(first, F.count("*").alias("group_size"))
+    groups = scratch.keep(named.groupBy("round", "name").agg(first, F.count("*").alias("group_size")))
     return named.join(groups, ["round", "name"]).select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, mixing, packing, simhash, substring_dedup
+from . import embedding_dedup, exact_dedup, language_id, mixing, packing, quality, simhash, substring_dedup, token_histogram, toxicity
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +56,11 @@ def rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op2_nb_svm_quality")
+def nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     "op3_block_naming_dedup",
     r"""
@@ -69,6 +76,22 @@ def block_naming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op4_byte_gru_language")
+def byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predicted_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op5_token_length_histogram")
+def token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_histogram.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+    return token_histogram.length_histogram(counts)
+
+
+@query("op6_crf_toxicity")
+def crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_tiled_simhash")
 def tiled_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")

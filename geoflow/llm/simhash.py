@@ -177,7 +177,7 @@ def simhash_components(docs: DataFrame, radius: int = 3, shingle: int = 3, words
     distinct = scratch.keep(marked.select("fp").distinct())
     roots = connected(near_links(distinct, scratch, radius, words), scratch).withColumnRenamed("node", "fp")
     nodes = marked.join(roots, "fp", "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
-    groups = nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("group_size"))
+    groups = scratch.keep(nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("group_size")))
     return nodes.join(groups, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_size"
     )

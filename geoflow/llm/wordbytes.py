@@ -13,8 +13,8 @@ SLICE_BYTES = 4 << 20
 SPACES = b" \t\n\x0b\x0c\r"
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 _TABLE_ROWS = 64
 _TABLE = np.random.Generator(np.random.PCG64(20240601)).integers(0, 2**64, (_TABLE_ROWS, 256), np.uint64)
@@ -48,7 +48,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
 def split_words(texts: list[bytes], lower: bool = False, separators: np.ndarray = _IS_SPACE) -> Words:
     data = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", np.uint8)
     if lower:
-        data = _LOWER[data]
+        data = LOWER[data]
     inside = ~separators[data]
     turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     starts, ends = turns[::2], turns[1::2]
