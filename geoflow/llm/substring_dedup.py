@@ -19,7 +19,10 @@ BLOCK_SEEDS = 2_000_000
 #: The index is made in so many parts, one after the other, so that only a part of all seeds is on disk at once.
 PARTS = 2
 _NO_ID = np.iinfo(np.int64).max
-_REPLY = np.dtype([("pos", "<i4"), ("ref_start", "<i4"), ("ref", "<i8")])
+#: A seed of a document that a document with a smaller id has too: whose, where, and where it was seen.
+_MATCH = np.dtype([("doc", "<i8"), ("key", "<u4"), ("pos", "<i4"), ("ref_start", "<i4"), ("ref", "<i8")])
+#: Bytes of text whose documents get their matches together.
+GROUP_BYTES = 4 << 20
 _ODD = np.random.Generator(np.random.PCG64(13)).integers(0, 2**63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -33,41 +36,37 @@ def _from_planes(data: memoryview, n: int, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width).reshape(width, n).T).reshape(-1).view(dtype)
 
 
-def _packed(ids: np.ndarray, keys: np.ndarray, seeds: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> bytes:
-    head = np.array([len(ids), len(seeds)], "<i4").tobytes()
-    return head + _planes(ids) + _planes(keys) + _planes(seeds) + _planes(doc.astype("<i4")) + _planes(pos.astype("<i4"))
+def _packed(docs: tuple[np.ndarray, ...], seeds: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> bytes:
+    head = np.array([len(docs[0]), len(seeds)], "<i4").tobytes()
+    return head + b"".join(map(_planes, (*docs, seeds, doc.astype("<i4"), pos.astype("<i4"))))
 
 
 def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
     n_docs, n = np.frombuffer(data, "<i4", 2).tolist()
     view, at, out = memoryview(data), 8, []
-    for count, dtype in ((n_docs, "<i8"), (n_docs, "<u4"), (n, "<u8"), (n, "<i4"), (n, "<i4")):
+    for count, dtype in ((n_docs, "<i8"), (n_docs, "<u4"), (n_docs, "<i4"), (n, "<u8"), (n, "<i4"), (n, "<i4")):
         out.append(_from_planes(view[at:], count, dtype))
         at += count * np.dtype(dtype).itemsize
     return tuple(out)
 
 
-def _replies(doc: np.ndarray, entries: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Matches grouped by document: ids, keys and the bytes of each document's entries."""
-    order = np.argsort(doc, kind="stable")
-    doc, entries = doc[order], entries[order]
-    begins = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.empty(0, np.int64)
-    offsets = (np.append(begins, len(doc)) * _REPLY.itemsize).astype(np.int32)
-    data = pa.BinaryArray.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(entries.tobytes())])
-    return ids[doc[begins]], keys[doc[begins]], data
-
-
-def _rows(bucket: np.ndarray, ids: np.ndarray | None, keys: np.ndarray | None, data: pa.Array) -> pa.RecordBatch:
-    n = len(data)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(bucket, pa.int32()),
-            pa.nulls(n, pa.int64()) if ids is None else pa.array(ids, mask=ids == _NO_ID),
-            pa.nulls(n, pa.int64()) if keys is None else pa.array(keys.astype(np.int64)),
-            data,
-        ],
-        ["bucket", "doc_id", "key", "data"],
-    )
+def _found(docs: tuple[np.ndarray, ...], doc: np.ndarray, pos: np.ndarray, ref: np.ndarray, ref_start: np.ndarray) -> pa.RecordBatch:
+    """Matches in one row for each group of documents. docs: their ids, keys and groups."""
+    ids, keys, groups = docs
+    order = np.lexsort((pos, doc, groups[doc]))
+    doc = doc[order]
+    matches = np.empty(len(order), _MATCH)
+    matches["doc"], matches["key"], matches["pos"] = ids[doc], keys[doc], pos[order]
+    matches["ref"], matches["ref_start"] = ref[order], ref_start[order]
+    group = groups[doc]
+    begins = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    data = [matches[a:b].tobytes() for a, b in zip(begins, [*begins[1:], len(matches)], strict=True)]
+    return _rows(group[begins], group[begins], data)
+
+
+def _rows(block: np.ndarray, group: np.ndarray | None, data: list[bytes]) -> pa.RecordBatch:
+    groups = pa.nulls(len(data), pa.int32()) if group is None else pa.array(group, pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), groups, pa.array(data, pa.binary())], ["block", "grp", "data"])
 
 
 def _seeds(window: int, blocks: int, part: int, parts: int):
@@ -81,7 +80,8 @@ def _seeds(window: int, blocks: int, part: int, parts: int):
         for rows, texts in slices(batches):
             ids = rows.column("doc_id").fill_null(_NO_ID).to_numpy()
             order = np.argsort(ids, kind="stable")
-            ids, keys = ids[order], rows.column("key").to_numpy()[order].astype(np.uint32)
+            ids = ids[order]
+            docs = (ids, rows.column("key").to_numpy()[order].astype(np.uint32), rows.column("grp").to_numpy()[order])
             words = split_words([texts[i] for i in order])
             hashes = word_hashes(words)
             counts = np.maximum(np.diff(words.first) - window + 1, 0)
@@ -104,16 +104,12 @@ def _seeds(window: int, blocks: int, part: int, parts: int):
             first = np.flatnonzero(new)[np.cumsum(new) - 1]
             here = ids[doc] > ids[doc[first]]
             if here.any():
-                entries = np.empty(int(here.sum()), _REPLY)
-                entries["pos"], entries["ref"], entries["ref_start"] = pos[here], ids[doc[first[here]]], pos[first[here]]
-                own, key, data = _replies(doc[here], entries, ids, keys)
-                yield _rows(key % blocks, own, key, data)
+                yield _found(docs, doc[here], pos[here], ids[doc[first[here]]], pos[first[here]])
             seeds, doc, pos = seeds[~here], doc[~here], pos[~here]
             block = ((seeds >> np.uint64(40)) * np.uint64(blocks)) >> np.uint64(24)
             cuts = np.searchsorted(block, np.arange(blocks + 1, dtype=np.uint64))
             full = np.flatnonzero(np.diff(cuts))
-            data = [_packed(ids, keys, seeds[a:b], doc[a:b], pos[a:b]) for a, b in zip(cuts[full], cuts[full + 1], strict=True)]
-            yield _rows(full, None, None, pa.array(data, pa.binary()))
+            yield _rows(full, None, [_packed(docs, seeds[a:b], doc[a:b], pos[a:b]) for a, b in zip(cuts[full], cuts[full + 1], strict=True)])
 
     return run
 
@@ -123,9 +119,9 @@ def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def matches(block: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         base = np.cumsum([0] + [len(x[0]) for x in block])
-        ids, keys, seeds = (np.concatenate([x[k] for x in block]) for k in range(3))
-        doc = np.concatenate([x[3] + b for x, b in zip(block, base, strict=False)])
-        pos = np.concatenate([x[4] for x in block])
+        ids, keys, groups, seeds = (np.concatenate([x[k] for x in block]) for k in range(4))
+        doc = np.concatenate([x[4] + b for x, b in zip(block, base, strict=False)])
+        pos = np.concatenate([x[5] for x in block])
         order = sorted_order(seeds)
         seeds = seeds[order]
         new = np.concatenate([[True], seeds[1:] != seeds[:-1]])
@@ -139,67 +135,76 @@ def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lowest = np.minimum.reduceat(ids[doc], begins)
         ref_start = np.minimum.reduceat(np.where(ids[doc] == lowest[run], pos, np.iinfo(np.int32).max), begins)
         hit = ids[doc] > lowest[run]
-        entries = np.empty(int(hit.sum()), _REPLY)
-        entries["pos"], entries["ref"], entries["ref_start"] = pos[hit], lowest[run[hit]], ref_start[run[hit]]
-        own, key, data = _replies(doc[hit], entries, ids, keys)
-        if len(data):
-            yield _rows(np.zeros(len(data), np.int32), own, key, data)
+        if hit.any():
+            yield _found((ids, keys, groups), doc[hit], pos[hit], lowest[run[hit]], ref_start[run[hit]])
 
     current, block = None, []
     for batch in batches:
-        buckets, keys, data = batch.column("bucket").to_numpy(), batch.column("key"), batch.column("data")
-        ready = keys.is_valid().to_numpy(zero_copy_only=False)
+        blocks, groups, data = batch.column("block").to_numpy(), batch.column("grp"), batch.column("data")
+        ready = groups.is_valid().to_numpy(zero_copy_only=False)
         if ready.any():
             yield batch.filter(pa.array(ready))
         for r in np.flatnonzero(~ready):
-            if buckets[r] != current:
+            if blocks[r] != current:
                 if block:
                     yield from matches(block)
-                current, block = buckets[r], []
+                current, block = blocks[r], []
             block.append(_unpacked(data[int(r)].as_py()))
     if block:
         yield from matches(block)
 
 
+def _factors(hits: np.ndarray, n_words: int, window: int) -> tuple[np.ndarray, list[dict]]:
+    """Which of the words no factor covers, and the factors."""
+    hits = hits[np.concatenate([[True], np.diff(hits["pos"]) > 0])]
+    # a factor goes on while the next word extends the match in the same place of the same document
+    ends = (np.diff(hits["pos"]) != 1) | (np.diff(hits["ref"]) != 0) | (np.diff(hits["ref_start"]) != 1)
+    begins = np.concatenate([[0], np.flatnonzero(ends) + 1])
+    lasts = np.append(begins[1:], len(hits)) - 1
+    # neighbouring factors overlap by what the windows across their boundary cover
+    starts, stops = hits["pos"][begins], hits["pos"][lasts] + window
+    covered = np.zeros(n_words + 1, np.int32)
+    np.add.at(covered, starts, 1)
+    np.add.at(covered, stops, -1)
+    rows = zip(starts.tolist(), stops.tolist(), hits["ref"][begins].tolist(), hits["ref_start"][begins].tolist(), strict=True)
+    return np.cumsum(covered[:-1]) == 0, [{"start": a, "length": b - a, "ref_doc_id": r, "ref_start": p} for a, b, r, p in rows]
+
+
 def _parsed(window: int):
-    """Greedy factors of each document, and its text without the words they cover."""
+    """Greedy factors of each document, and its text without the words they cover; a group's matches come before its documents."""
+
+    def by_document(data: list[bytes]) -> dict[tuple[int, int], np.ndarray]:
+        matches = np.frombuffer(b"".join(data), _MATCH)
+        matches = matches[np.lexsort((matches["pos"], matches["key"], matches["doc"]))]
+        new = np.concatenate([[True], (np.diff(matches["doc"]) != 0) | (matches["key"][1:] != matches["key"][:-1])])
+        begins = np.flatnonzero(new) if len(matches) else np.empty(0, np.int64)
+        cuts = [*begins[1:], len(matches)]
+        return {(int(matches["doc"][a]), int(matches["key"][a])): matches[a:b] for a, b in zip(begins, cuts, strict=False)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, waiting, known = None, [], None
         for rows, texts in slices(batches):
-            n_words, n_removed, kept, factors = [], [], [], []
-            for text, data in zip(texts, rows.column("data").to_pylist(), strict=True):
+            out: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "kept_text": [], "factors": []}
+            columns = (rows.column(c).to_pylist() for c in ("grp", "is_doc", "doc_id", "key", "data"))
+            for text, group, is_doc, doc_id, key, data in zip(texts, *columns, strict=True):
+                if group != current:
+                    current, waiting, known = group, [], None
+                if not is_doc:
+                    waiting.append(data)
+                    continue
+                if known is None:
+                    known, waiting = by_document(waiting), []
                 words = text.split()
-                found: list[dict] = []
-                removed = 0
-                if data:
-                    hits = np.frombuffer(b"".join(data), _REPLY)
-                    hits = hits[np.argsort(hits["pos"], kind="stable")]
-                    hits = hits[np.concatenate([[True], np.diff(hits["pos"]) > 0])]
-                    # a factor goes on while the next word extends the match in the same place of the same document
-                    ends = (np.diff(hits["pos"]) != 1) | (np.diff(hits["ref"]) != 0) | (np.diff(hits["ref_start"]) != 1)
-                    begins = np.concatenate([[0], np.flatnonzero(ends) + 1])
-                    lasts = np.append(begins[1:], len(hits)) - 1
-                    # neighbouring factors overlap by what the windows across their boundary cover
-                    starts, stops = hits["pos"][begins], hits["pos"][lasts] + window
-                    covered = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(covered, starts, 1)
-                    np.add.at(covered, stops, -1)
-                    stays = np.cumsum(covered[:-1]) == 0
-                    removed = len(words) - int(stays.sum())
-                    words = compress(words, stays.tolist())
-                    found = [
-                        {"start": s, "length": e - s, "ref_doc_id": r, "ref_start": p}
-                        for s, e, r, p in zip(starts.tolist(), stops.tolist(), hits["ref"][begins].tolist(), hits["ref_start"][begins].tolist(), strict=True)
-                    ]
-                words = list(words)
-                n_words.append(len(words) + removed)
-                n_removed.append(removed)
-                kept.append(b" ".join(words))
-                factors.append(found)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(factors, _FACTORS)],
-                ["doc_id", "n_words", "n_removed", "kept_text", "factors"],
-            )
+                n_words, factors = len(words), []
+                hits = known.get((_NO_ID if doc_id is None else doc_id, key))
+                if hits is not None:
+                    stays, factors = _factors(hits, n_words, window)
+                    words = list(compress(words, stays.tolist()))
+                for name, value in zip(out, (doc_id, n_words, n_words - len(words), b" ".join(words), factors), strict=True):
+                    out[name].append(value)
+            kept = pa.array(out["kept_text"], pa.binary()).cast(pa.string())
+            numbers = [pa.array(out[c], pa.int64()) for c in ("doc_id", "n_words", "n_removed")]
+            yield pa.RecordBatch.from_arrays([*numbers, kept, pa.array(out["factors"], _FACTORS)], list(out))
 
     return run
 
@@ -224,21 +229,25 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, block_seeds:
     if window > len(_ODD):
         raise ValueError(f"window is at most {len(_ODD)} words")
     scratch = Scratch(docs.sparkSession, "rlz")
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.crc32(F.coalesce("text", F.lit(""))).alias("key"))
     # a word and its space have two bytes or more; six is usual, and the number only balances the blocks
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = max(1, min(size // 6 // parts // block_seeds + 1, 1 << 24))
+    groups = min(size // GROUP_BYTES + 1, 1 << 30)
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.crc32(F.coalesce("text", F.lit(""))).alias("key"))
+    docs = docs.withColumn("grp", F.pmod(F.xxhash64("doc_id", "key"), F.lit(groups)).cast("int"))
     found = []
     for part in range(parts):
-        seeds = docs.mapInArrow(_seeds(window, blocks, part, parts), "bucket int, doc_id bigint, key bigint, data binary")
-        hits = seeds.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_looked_up, seeds.schema)
-        found.append(scratch.keep(hits.select("doc_id", "key", "data")))
-    matches = found[0]
-    for more in found[1:]:
-        matches = matches.union(more)
-    matches = matches.groupBy(F.col("doc_id").alias("m_id"), F.col("key").alias("m_key")).agg(F.collect_list("data").alias("data"))
-    joined = docs.join(matches, F.expr("doc_id <=> m_id and key = m_key"), "left").select("doc_id", "text", "data")
-    return joined.mapInArrow(
-        _parsed(window),
-        "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, factors array<struct<start:int,length:int,ref_doc_id:bigint,ref_start:int>>",
+        seeds = docs.mapInArrow(_seeds(window, blocks, part, parts), "block int, grp int, data binary")
+        hits = seeds.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(_looked_up, seeds.schema)
+        found.append(scratch.keep(hits.select("grp", "data")))
+    rows = docs.select("grp", F.lit(True).alias("is_doc"), "doc_id", "key", "text", F.lit(None).cast("binary").alias("data"))
+    for matches in found:
+        rows = rows.union(matches.selectExpr("grp", "false", "cast(null as bigint)", "cast(null as bigint)", "cast(null as string)", "data"))
+    return (
+        rows.repartition(F.col("grp"))
+        .sortWithinPartitions("grp", "is_doc")
+        .mapInArrow(
+            _parsed(window),
+            "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, factors array<struct<start:int,length:int,ref_doc_id:bigint,ref_start:int>>",
+        )
     )
