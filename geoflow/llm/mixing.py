@@ -134,10 +134,11 @@ def mixed_sources(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "mix")
     counted, targets = sized_documents(docs, scratch)
     sized = scratch.keep(counted.join(targets, counted.source.eqNullSafe(targets.source)).select("rank", "doc_id", "size"))
+    # the slots come out of one row for each source, so their estimated size would make them a broadcast at any scale
     drawn = drawn_slots(targets, block_words).groupBy("rank", "block").agg(F.count("*").alias("times"))
     taken = (
         packed_blocks(sized, block_words)
-        .join(drawn, ["rank", "block"], "left")
+        .join(drawn.hint("merge"), ["rank", "block"], "left")
         .groupBy("rank", "start", "doc_id", "size")
         .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
     )
@@ -162,11 +163,12 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     counted = scratch.keep(rows.select("mix_row", "source", F.regexp_count("text", F.lit(WORD)).cast("bigint").alias("size")).where("size > 0"))
     targets = scratch.keep(source_targets(counted))
     sized = counted.join(targets, counted.source.eqNullSafe(targets.source)).select("rank", F.col("mix_row").alias("doc_id"), "size")
+    # the slots come out of one row for each source, so their estimated size would make them a broadcast at any scale
     drawn = drawn_slots(targets, block_words).groupBy("rank", "block").agg(F.count("*").cast("int").alias("times"))
     first = F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0)).cast("int").alias("first")
     taken = (
         packed_blocks(sized, block_words)
-        .join(drawn, ["rank", "block"], "left")
+        .join(drawn.hint("merge"), ["rank", "block"], "left")
         .select("doc_id", F.struct(first, F.col("words").cast("int").alias("words"), F.coalesce("times", F.lit(0)).alias("times")).alias("b"))
         .groupBy(F.col("doc_id").alias("mix_row"))
         .agg(F.array_sort(F.collect_list("b")).alias("blocks"), F.min("b.times").alias("least"), F.max("b.times").alias("most"))
