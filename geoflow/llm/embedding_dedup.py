@@ -218,9 +218,9 @@ def near_duplicate_vectors(
     shared = scratch.keep(
         spots.groupBy(*bucket).count().where("count > 1").select(*bucket, F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
     )
-    visits = spots.join(shared, bucket).groupBy("rep").agg(F.collect_list(F.struct("table", "code", "tiles")).alias("visits"))
+    visits = spots.hint("merge").join(shared, bucket).groupBy("rep").agg(F.collect_list(F.struct("table", "code", "tiles")).alias("visits"))
     found = scratch.keep(
-        hashed.join(visits, "rep")
+        hashed.join(visits.hint("merge"), "rep")
         .select("label", "size", "rep", "copies", "codes", "vec", F.explode("visits").alias("v"))
         .withColumn("home", F.pmod(F.xxhash64("rep"), F.col("v.tiles")).cast("int"))
         .withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("home"))))

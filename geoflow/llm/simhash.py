@@ -154,7 +154,7 @@ def near_links(fps: DataFrame, scratch: Scratch, radius: int = 3, words: int = 4
         .where("step <> 0 or to_tile < tile")
         .select("cell", "tile", "to_cell", "to_tile")
     )
-    sent = targets.join(tiles, ["cell", "tile"]).select(F.col("to_cell").alias("cell"), F.col("to_tile").alias("tile"), F.lit(False).alias("own"), "fps")
+    sent = targets.hint("merge").join(tiles, ["cell", "tile"]).select(F.col("to_cell").alias("cell"), F.col("to_tile").alias("tile"), F.lit(False).alias("own"), "fps")
     homes = tiles.select("cell", "tile", F.lit(True).alias("own"), "fps")
     return (
         homes.union(sent)
