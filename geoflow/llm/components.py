@@ -13,18 +13,15 @@ def star_edges(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The smallest member of the component of each of n nodes, given links between them."""
     root = np.arange(n)
     while len(left):
-        low = np.minimum(root[left], root[right])
-        before = root.copy()
-        np.minimum.at(root, root[left], low)
-        np.minimum.at(root, root[right], low)
-        np.minimum.at(root, left, low)
-        np.minimum.at(root, right, low)
+        # only roots are hooked, so that no tree comes apart; a link goes when both its ends have the same root
+        a, b = root[left], root[right]
+        low = np.minimum(a, b)
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
         while not np.array_equal(root, root[root]):
             root = root[root]
         apart = root[left] != root[right]
         left, right = left[apart], right[apart]
-        if not len(left) and np.array_equal(before, root):
-            break
     return root
 
 
