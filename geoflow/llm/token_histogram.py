@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
 from .wordbytes import slices
 
 #: Fixed value: how texts are split before byte pairs are merged, for vocabularies of this family.
@@ -55,6 +56,8 @@ def length_histogram(counts: DataFrame) -> DataFrame:
     for each span. counts: rows with n_tokens, others are not read; null counts as 0. No rows give no rows.
     """
     rows = counts.groupBy(F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens")).agg(F.count("*").alias("n_docs"))
+    # written once: both kinds of sums read it, and counting the tokens is the costly part
+    rows = Scratch(counts.sparkSession, "lengths").keep(rows)
     rows = rows.withColumn("span", F.expr(f"n_tokens div {SPAN}")).withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     spans = rows.groupBy("span").agg(F.sum("n_docs").alias("docs"), F.sum("tokens").alias("sum"))
     later = Window.orderBy(F.col("span").desc()).rowsBetween(Window.unboundedPreceding, -1)
