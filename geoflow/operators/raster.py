@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.layer import GEOM
-from .spatial import matching_pairs, spatial_join
+from .spatial import matching_pairs, row_key, spatial_join
 
 
 def raster_stats(pixels: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -20,8 +20,9 @@ def raster_stats(pixels: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
 
 def raster_clip(pixels: DataFrame, mask: DataFrame, pixel_id: str, mask_id: str, geom: str = GEOM) -> DataFrame:
     """Pixels whose centre lies in the mask, edges included."""
-    inside = matching_pairs(pixels, mask, pixel_id, mask_id, "intersects", geom=geom).select("_lid").distinct()
-    return pixels.join(inside, F.col(pixel_id) == F.col("_lid"), "left_semi")
+    keyed = pixels.withColumn("_key", row_key(pixels))
+    inside = matching_pairs(keyed, mask, "_key", mask_id, "intersects", geom=geom).select("_lid").distinct()
+    return keyed.join(inside, F.col("_key") == F.col("_lid"), "left_semi").drop("_key")
 
 
 def zonal_stats(

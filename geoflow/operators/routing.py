@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.layer import GEOM
 from ..functions.text import as_text
+from .lineage import cut_lineage
 
 PORT = "port"
 
@@ -49,17 +50,23 @@ def geometry_filter(df: DataFrame, geom: str = GEOM) -> DataFrame:
     return df.withColumn(PORT, port)
 
 
-def duplicate_filter(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """``unique`` for the first row of each key in the order of a unique column, ``duplicate`` for the rest.
+def duplicate_filter(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
+    """``unique`` for one row of each key, the first in the order of the columns, ``duplicate`` for the rest.
 
-    The first rows come from a map-side combined ``min`` and are found again by the unique column,
-    so a key that holds a large share of the rows never meets in one task.
+    Nulls come last, a null key is a key like any other, and rows that are equal in the order go by a
+    hash of all their columns.  The rows get numbers first and are written with them, so the first of a
+    key is one row even among rows that are the same; it comes from a map-side combined ``min``, so a
+    key that holds a large share of the rows never meets in one task.
     """
-    firsts = df.groupBy(*keys).agg(F.min(order_by).alias("_first")).select("_first")
+    orders = [order_by] if isinstance(order_by, str) else list(order_by)
+    numbered = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    place = [x for i, c in enumerate(orders) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))]
+    place += [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("h"), F.col("_row")]
+    firsts = numbered.groupBy(*keys).agg(F.min(F.struct(*place)).alias("_first")).select(F.col("_first._row").alias("_found"))
     return (
-        df.join(firsts, F.col(order_by) == F.col("_first"), "left")
-        .withColumn(PORT, F.when(F.col("_first").isNotNull(), "unique").otherwise("duplicate"))
-        .drop("_first")
+        numbered.join(firsts, F.col("_row") == F.col("_found"), "left")
+        .withColumn(PORT, F.when(F.col("_found").isNotNull(), "unique").otherwise("duplicate"))
+        .drop("_row", "_found")
     )
 
 

@@ -123,6 +123,12 @@ def matching_pairs(
     )
 
 
+def row_key(df: DataFrame) -> Column:
+    """128 bits that stand for all values of a row; rows with equal ones are the same."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.struct(F.xxhash64(F.lit(1), *columns).alias("a"), F.xxhash64(F.lit(2), *columns).alias("b"))
+
+
 def spatial_join(
     left: DataFrame,
     right: DataFrame,
@@ -138,10 +144,10 @@ def spatial_join(
     """Join two layers by location, one output row per matching pair.
 
     The geometry of the kept side stays (the left one for inner and left joins, the right one for
-    right joins).  Columns that occur on both sides get the suffixes ``_left`` and ``_right``.  The
-    ids must be unique within their layer.  Attributes of point layers and of broadcast layers
-    travel through the cell join; those of larger features are joined back by id, as they would be
-    repeated for every cell.
+    right joins).  Columns that occur on both sides get the suffixes ``_left`` and ``_right``.  Ids may
+    be null or repeated: every row is joined for itself, whatever the strategy.  The columns of both
+    sides travel through the cell join; a side whose unmatched rows are kept is found again by all of
+    its columns, rows that are the same standing for one in the cells.
     """
     kind = JOIN_TYPES.get(how.lower())
     if kind is None:
@@ -153,17 +159,17 @@ def spatial_join(
     l_out = [(c, c + "_left" if c in clash else c) for c in left.columns if kind != "right" or c != geom]
     r_out = [(c, c + "_right" if c in clash else c) for c in right.columns if kind == "right" or c != geom]
     l_points, r_points = is_point_layer(left, geom), is_point_layer(right, geom)
-    carry_left = kind != "left" and (l_points or strategy == "broadcast_right")
-    carry_right = kind != "right" and (r_points or strategy in ("broadcast_right",))
-
-    def side(df: DataFrame, id_: str, prefix: str, out: list[tuple[str, str]], carry: bool) -> DataFrame:
-        slim = [F.col(id_).alias(f"_{prefix}id"), F.col(geom).alias(f"_{prefix}g")]
-        extra = [F.col(c).alias(f"_{prefix}_{n}") for c, n in out if c != geom] if carry else []
-        return df.select(*slim, *extra)
-
+    def side(df: DataFrame, prefix: str, out: list[tuple[str, str]], kept: bool) -> DataFrame:
+        columns = [F.col("_key").alias(f"_{prefix}id"), F.col(geom).alias(f"_{prefix}g")]
+        if kept:
+            return df.select(*columns).dropDuplicates([f"_{prefix}id"])
+        carried = [F.col(c).alias(n) for c, n in out if c != geom]
+        return df.select(*columns, F.struct(F.lit(True).alias("_"), *carried).alias(f"_{prefix}row"))
+
+    l_keyed, r_keyed = left.withColumn("_key", row_key(left)), right.withColumn("_key", row_key(right))
     pairs = matched(
-        side(left, left_id, "l", l_out, carry_left),
-        side(right, right_id, "r", r_out, carry_right),
+        side(l_keyed, "l", l_out, kind == "left"),
+        side(r_keyed, "r", r_out, kind == "right"),
         predicate,
         left_points=l_points,
         right_points=r_points,
@@ -171,25 +177,16 @@ def spatial_join(
         strategy=strategy,
     )
 
-    def kept(prefix: str, out: list[tuple[str, str]], carry: bool) -> list[Column]:
-        if not carry:
-            return [F.col(f"_{prefix}id")]
-        return [F.col(f"_{prefix}g" if c == geom else f"_{prefix}_{n}").alias(n) for c, n in out]
-
-    joined = pairs.select(*kept("l", l_out, carry_left), *kept("r", r_out, carry_right))
-
-    def bring(joined: DataFrame, df: DataFrame, id_: str, key: str, out: list[tuple[str, str]], how: str) -> DataFrame:
-        attributes = df.select(F.col(id_).alias("_key"), *[F.col(c).alias(n) for c, n in out])
-        return attributes.join(joined, F.col("_key") == F.col(key), how).drop("_key", key)
-
-    # the side whose unmatched rows are kept comes last
-    sides = [
-        (carry_left, left, left_id, "_lid", l_out, "left" if kind == "left" else "inner"),
-        (carry_right, right, right_id, "_rid", r_out, "left" if kind == "right" else "inner"),
-    ]
-    for carry, df, id_, key, out, how_side in sorted(sides, key=lambda s: s[5] == "left"):
-        if not carry:
-            joined = bring(joined, df, id_, key, out, how_side)
+    def carried(prefix: str, out: list[tuple[str, str]]) -> list[Column]:
+        return [F.col(f"_{prefix}g").alias(n) if c == geom else F.col(f"_{prefix}row")[n].alias(n) for c, n in out]
+
+    if kind == "inner":
+        joined = pairs.select(*carried("l", l_out), *carried("r", r_out))
+    else:
+        keyed, prefix, out = (l_keyed, "l", l_out) if kind == "left" else (r_keyed, "r", r_out)
+        met = pairs.select(F.col(f"_{prefix}id").alias("_met"), *(carried("r", r_out) if kind == "left" else carried("l", l_out)))
+        own = keyed.select("_key", *[F.col(c).alias(n) for c, n in out])
+        joined = own.join(met, F.col("_key") == F.col("_met"), "left")
     srid = srid_of(left, geom)
     return describe(
         joined.select(*[n for _, n in l_out + r_out]), geom, srid=srid, kind="Point" if (r_points if kind == "right" else l_points) else None
@@ -205,15 +202,16 @@ def spatial_relate(
     **options: object,
 ) -> DataFrame:
     """Base features with ``port`` = ``related`` when any candidate matches, else ``unrelated``."""
+    keyed = base.withColumn("_key", row_key(base))
     found = (
-        matching_pairs(base, candidates, base_id, candidate_id, predicate, **options)
+        matching_pairs(keyed, candidates, "_key", candidate_id, predicate, **options)
         .select(F.col("_lid").alias("_hit"))
         .distinct()
     )
     return (
-        base.join(found, F.col(base_id) == F.col("_hit"), "left")
+        keyed.join(found, F.col("_key") == F.col("_hit"), "left")
         .withColumn("port", F.when(F.col("_hit").isNotNull(), "related").otherwise("unrelated"))
-        .drop("_hit")
+        .drop("_hit", "_key")
     )
 
 

@@ -202,6 +202,16 @@ def duplicate_filter(spark: SparkSession, sf: str) -> DataFrame:
     return routing.duplicate_filter(df, ["user_id", "event_type"], "event_id").select("event_id", "port")
 
 
+@query(
+    "duplicate_filter_ties",
+    """select event_id, case when row_number() over (partition by user_id order by date_trunc('hour', ts) nulls last, event_id) = 1
+       then 'unique' else 'duplicate' end port from events""",
+)
+def duplicate_filter_ties(spark: SparkSession, sf: str) -> DataFrame:
+    df = table(spark, sf, "events").select("event_id", "user_id", F.date_trunc("hour", "ts").alias("hour"))
+    return routing.duplicate_filter(df, ["user_id"], ["hour", "event_id"]).select("event_id", "port")
+
+
 @query(
     "rejected_rows",
     """select event_id, case when k is null then 'no number' when k > 50 then 'out of range' end reject_reason

@@ -393,6 +393,34 @@ def sjoin_dwithin(spark: SparkSession, sf: str) -> DataFrame:
 _SITE_IN_PARCEL = f"""lon >= pxmin - 1e-10 and lon <= pxmax + 1e-10 and lat >= pymin - 1e-10 and lat <= pymax + 1e-10"""
 
 
+_IN_ZONE = "lon > xmin + 1e-10 and lon < xmax - 1e-10 and lat > ymin + 1e-10 and lat < ymax - 1e-10"
+
+
+def _loose_ids(spark: SparkSession, sf: str, how: str) -> DataFrame:
+    sites = L.sites(spark, sf).selectExpr("nullif(site_id % 50, 0) left_id", "geom")
+    zones = L.zones(spark, sf).selectExpr("nullif(zone_id % 4, 0) right_id", "geom")
+    return spatial.spatial_join(sites, zones, "left_id", "right_id", "within", how).select("left_id", "right_id")
+
+
+@query(
+    "sjoin_ids",
+    f"select nullif(site_id % 50, 0) left_id, nullif(zone_id % 4, 0) right_id from sites join zones on {_IN_ZONE}",
+    layers=("sites", "zones"),
+)
+def sjoin_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Null and repeated ids on both sides."""
+    return _loose_ids(spark, sf, "inner")
+
+
+@query(
+    "sjoin_ids_left",
+    f"select nullif(site_id % 50, 0) left_id, nullif(zone_id % 4, 0) right_id from sites left join zones on {_IN_ZONE}",
+    layers=("sites", "zones"),
+)
+def sjoin_ids_left(spark: SparkSession, sf: str) -> DataFrame:
+    return _loose_ids(spark, sf, "left")
+
+
 @query(
     "sjoin_left",
     f"""select site_id left_id, parcel_id right_id, round(lon, 6) x from sites left join ({_PARCEL_BOX}) on {_SITE_IN_PARCEL}""",

@@ -44,11 +44,14 @@ def read_csv(
     encoding: str | None = None,
     header: bool = True,
     schema: str | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Read one or many delimited files of the same shape.
 
     Without ``delimiter`` or ``encoding`` the files are profiled first: the separator is the most
     frequent candidate of the header lines, and text that is not valid UTF-8 is read as Latin-1.
+    Separators and doubled quotes inside quotes belong to the value.  With ``multiline`` line breaks
+    inside quotes do too; a file is then read by one task.
     """
     delimiter = (delimiter or "").strip(" ") or None
     encoding = (encoding or "").strip() or None
@@ -65,6 +68,8 @@ def read_csv(
             encoding = "ISO-8859-1" if seen.utf8 is False else "UTF-8"
     encoding = "UTF-8" if encoding.lower() in ("utf-8-sig", "utf8", "utf-8") else encoding
     reader = spark.read.option("header", header).option("sep", delimiter).option("encoding", encoding)
+    # a quote inside quotes is doubled, as other programs write it
+    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multiline)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     df = reader.csv(path)
     first = df.columns[0] if df.columns else ""
@@ -73,4 +78,4 @@ def read_csv(
 
 def write_csv(df: DataFrame, path: str, delimiter: str = ",", geom: str = GEOM, mode: str = "errorifexists") -> None:
     """Attributes without the geometry; rows without coordinates are written too."""
-    df.drop(geom).write.mode(mode).option("header", True).option("sep", delimiter).csv(path)
+    df.drop(geom).write.mode(mode).option("header", True).option("sep", delimiter).option("escape", '"').csv(path)

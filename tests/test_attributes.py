@@ -152,3 +152,11 @@ def test_row_wise_operators_take_streams(spark, tmp_path):
     layer = reproject(point_layer(stream, "c_custkey", "45"), 2154)
     layer.writeStream.format("parquet").option("path", target).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(target).count() == 4
+
+
+def test_duplicate_filter_has_one_unique_row_for_each_key(spark):
+    from geoflow.operators import routing
+
+    rows = spark.createDataFrame([(1, 5), (2, 5), (1, 5), (1, 7), (3, None), (3, None), (None, 1), (None, 1)], "k int, v int")
+    got = routing.duplicate_filter(rows, ["k"], "v").collect()
+    assert len(got) == 8 and sorted((r.k or 0, r.v) for r in got if r.port == "unique") == [(0, 1), (1, 5), (2, 5), (3, None)]

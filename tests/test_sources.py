@@ -240,3 +240,13 @@ def test_inventory(spark, tmp_path):
         z.writestr("pl.cpg", b"")
     found = {r.file_type: r.files for r in inventory.inventory(spark, str(tmp_path)).collect()}
     assert found == {"csv": 1, "geojson": 1, "shapefile": 1, None: 2}
+
+
+def test_csv_quotes_and_line_breaks_come_back(spark, tmp_path):
+    from geoflow.sources import delimited
+
+    rows = [(1, 'a "b"; c'), (2, "two\nlines, and a comma"), (3, "plain")]
+    path = str(tmp_path / "quoted")
+    delimited.write_csv(spark.createDataFrame(rows, "id int, t string"), path)
+    back = delimited.read_csv(spark, path, ",", "utf-8", schema="id int, t string", multiline=True)
+    assert sorted(map(tuple, back.collect())) == rows

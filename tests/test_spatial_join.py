@@ -189,3 +189,15 @@ def test_small_sides_are_measured(spark):
     small = spark.createDataFrame([(1,)], "a int").where("a = 1")
     assert gridjoin.estimated_bytes(spark.range(10)) == 80
     assert not gridjoin.is_small(small.join(spark.range(10**9), F.col("a") == F.col("id")))
+
+
+def test_null_and_repeated_ids_give_the_same_rows_by_every_strategy(spark):
+    points = point_layer(spark.createDataFrame([(1, 0.5), (None, 0.6), (1, 0.5), (2, 9.0)], "id int, x double").withColumn("y", F.lit(0.5)), "x", "y")
+    areas = S.layer(spark, [S.box(0, 0, 1, 1), S.box(0, 0, 2, 1)]).selectExpr("nullif(id, 0) id", "geom")
+    for how, n in (("inner", 6), ("left", 7), ("right", 6)):
+        got = [
+            sorted(map(repr, spatial.spatial_join(points, areas, "id", "id", "within", how, strategy=s).select("id_left", "id_right").collect()))
+            for s in ("broadcast_left", "broadcast_right", "shuffle")
+        ]
+        assert len(got[0]) == n and got[0] == got[1] == got[2]
+    assert spatial.spatial_relate(points, areas, "id", "id", "within").where("port = 'related'").count() == 3
