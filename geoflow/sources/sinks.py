@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .delimited import write_csv
 from .geojson import write_geojson
 from .gpkg import write_gpkg
-from .shapefile import write_shapefile
+from .shapefile import local_path, write_shapefile
 
 # Format names and the suffix each one is known by.
 FORMATS = {"geojson": ".geojson", "json": ".json", "csv": ".csv", "shapefile": ".shp", "gpkg": ".gpkg"}
@@ -24,6 +26,10 @@ def write_layer(df: DataFrame, path: str, format: str | None = None, mode: str =
     if kind == "csv":
         write_csv(df, path, mode=mode)
     elif kind in ("shapefile", "gpkg"):
+        if mode not in ("append", "overwrite") and os.path.exists(local_path(path)):
+            if mode == "ignore":
+                return path
+            raise FileExistsError(f"{path} exists")
         (write_shapefile if kind == "shapefile" else write_gpkg)(df, path, mode="overwrite" if mode == "overwrite" else "append")
     else:
         write_geojson(df, path, mode=mode)

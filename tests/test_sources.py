@@ -250,3 +250,18 @@ def test_csv_quotes_and_line_breaks_come_back(spark, tmp_path):
     delimited.write_csv(spark.createDataFrame(rows, "id int, t string"), path)
     back = delimited.read_csv(spark, path, ",", "utf-8", schema="id int, t string", multiline=True)
     assert sorted(map(tuple, back.collect())) == rows
+
+
+@pytest.mark.parametrize("format", ["shapefile", "gpkg"])
+def test_write_layer_modes(spark, tmp_path, format):
+    from geoflow.operators.spatial import point_layer
+    from geoflow.sources import sinks
+
+    layer = point_layer(spark.createDataFrame([(1, 0.5, 0.5)], "id int, x double, y double"), "x", "y").select("id", "geom")
+    path = str(tmp_path / format)
+    sinks.write_layer(layer, path, format)
+    before = sorted(p.name for p in (tmp_path / format).iterdir())
+    with pytest.raises(FileExistsError):
+        sinks.write_layer(layer, path, format)
+    sinks.write_layer(layer, path, format, mode="ignore")
+    assert sorted(p.name for p in (tmp_path / format).iterdir()) == before
