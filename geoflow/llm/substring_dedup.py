@@ -23,7 +23,9 @@ _NO_ID = np.iinfo(np.int64).max
 _MATCH = np.dtype([("doc", "<i8"), ("key", "<u4"), ("pos", "<i4"), ("ref_start", "<i4"), ("ref", "<i8")])
 #: Bytes of text whose documents get their matches together.
 GROUP_BYTES = 4 << 20
-_ODD = np.random.Generator(np.random.PCG64(13)).integers(0, 2**63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
+_MULTIPLIERS = np.random.Generator(np.random.PCG64(13))
+_ODD = _MULTIPLIERS.integers(0, 2**63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
+_CHECK_ODD = _MULTIPLIERS.integers(0, 2**63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -36,20 +38,31 @@ def _from_planes(data: memoryview, n: int, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width).reshape(width, n).T).reshape(-1).view(dtype)
 
 
-def _packed(docs: tuple[np.ndarray, ...], seeds: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> bytes:
+def _packed(docs: tuple[np.ndarray, ...], seeds: np.ndarray, checks: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> bytes:
     head = np.array([len(docs[0]), len(seeds)], "<i4").tobytes()
-    return head + b"".join(map(_planes, (*docs, seeds, doc.astype("<i4"), pos.astype("<i4"))))
+    return head + b"".join(map(_planes, (*docs, seeds, checks, doc.astype("<i4"), pos.astype("<i4"))))
 
 
 def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
     n_docs, n = np.frombuffer(data, "<i4", 2).tolist()
     view, at, out = memoryview(data), 8, []
-    for count, dtype in ((n_docs, "<i8"), (n_docs, "<u4"), (n_docs, "<i4"), (n, "<u8"), (n, "<i4"), (n, "<i4")):
+    for count, dtype in ((n_docs, "<i8"), (n_docs, "<u4"), (n_docs, "<i4"), (n, "<u8"), (n, "<u4"), (n, "<i4"), (n, "<i4")):
         out.append(_from_planes(view[at:], count, dtype))
         at += count * np.dtype(dtype).itemsize
     return tuple(out)
 
 
+def _runs(seeds: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of seeds and checks, and where another passage begins in it."""
+    order = sorted_order(seeds)
+    other_seed = np.diff(seeds[order]) != 0
+    other = other_seed | (np.diff(checks[order]) != 0)
+    if np.any(other & ~other_seed):  # passages that agree in the seed alone
+        order = np.lexsort((checks, seeds))
+        other = (np.diff(seeds[order]) != 0) | (np.diff(checks[order]) != 0)
+    return order, np.concatenate([[True], other])
+
+
 def _found(docs: tuple[np.ndarray, ...], doc: np.ndarray, pos: np.ndarray, ref: np.ndarray, ref_start: np.ndarray) -> pa.RecordBatch:
     """Matches in one row for each group of documents. docs: their ids, keys and groups."""
     ids, keys, groups = docs
@@ -89,27 +102,28 @@ def _seeds(window: int, blocks: int, part: int, parts: int):
             doc = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
             pos = np.arange(len(doc)) - begins[doc]
             at = words.first[doc] + pos
-            seeds = np.zeros(len(at), np.uint64)
+            seeds, checks = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
             for j in range(window):
-                seeds += hashes[at + j] * _ODD[j]
-            seeds = mixed(seeds)
+                word = hashes[at + j]
+                seeds += word * _ODD[j]
+                checks += word * _CHECK_ODD[j]
+            seeds, checks = mixed(seeds), (checks >> np.uint64(32)).astype(np.uint32)
             if parts > 1:
                 mine = np.flatnonzero(seeds % np.uint64(parts) == part)
-                seeds, doc, pos = seeds[mine], doc[mine], pos[mine]
+                seeds, checks, doc, pos = seeds[mine], checks[mine], doc[mine], pos[mine]
             if not len(seeds):
                 continue
-            order = sorted_order(seeds)
-            seeds, doc, pos = seeds[order], doc[order], pos[order]
-            new = np.concatenate([[True], seeds[1:] != seeds[:-1]])
+            order, new = _runs(seeds, checks)
+            seeds, checks, doc, pos = seeds[order], checks[order], doc[order], pos[order]
             first = np.flatnonzero(new)[np.cumsum(new) - 1]
             here = ids[doc] > ids[doc[first]]
             if here.any():
                 yield _found(docs, doc[here], pos[here], ids[doc[first[here]]], pos[first[here]])
-            seeds, doc, pos = seeds[~here], doc[~here], pos[~here]
+            seeds, checks, doc, pos = seeds[~here], checks[~here], doc[~here], pos[~here]
             block = ((seeds >> np.uint64(40)) * np.uint64(blocks)) >> np.uint64(24)
             cuts = np.searchsorted(block, np.arange(blocks + 1, dtype=np.uint64))
             full = np.flatnonzero(np.diff(cuts))
-            yield _rows(full, None, [_packed(docs, seeds[a:b], doc[a:b], pos[a:b]) for a, b in zip(cuts[full], cuts[full + 1], strict=True)])
+            yield _rows(full, None, [_packed(docs, seeds[a:b], checks[a:b], doc[a:b], pos[a:b]) for a, b in zip(cuts[full], cuts[full + 1], strict=True)])
 
     return run
 
@@ -119,12 +133,10 @@ def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def matches(block: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         base = np.cumsum([0] + [len(x[0]) for x in block])
-        ids, keys, groups, seeds = (np.concatenate([x[k] for x in block]) for k in range(4))
-        doc = np.concatenate([x[4] + b for x, b in zip(block, base, strict=False)])
-        pos = np.concatenate([x[5] for x in block])
-        order = sorted_order(seeds)
-        seeds = seeds[order]
-        new = np.concatenate([[True], seeds[1:] != seeds[:-1]])
+        ids, keys, groups, seeds, checks = (np.concatenate([x[k] for x in block]) for k in range(5))
+        doc = np.concatenate([x[5] + b for x, b in zip(block, base, strict=False)])
+        pos = np.concatenate([x[6] for x in block])
+        order, new = _runs(seeds, checks)
         several = ~(new & np.append(new[1:], True))
         order, new = order[several], new[several]
         if not len(order):
@@ -224,7 +236,8 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, block_seeds:
 
     docs: columns doc_id, text; others are not read. Null and empty texts have no words. Texts shorter than the window keep
     all. A null doc_id counts as larger than all others. Rows with equal doc_id never remove words from each other; repeated
-    rows come out as often as they went in. An empty table gives no rows. Seeds are 64-bit hashes of the words.
+    rows come out as often as they went in. An empty table gives no rows. Passages are compared by 96 bits of two hashes of
+    their words.
     """
     if window > len(_ODD):
         raise ValueError(f"window is at most {len(_ODD)} words")

@@ -132,6 +132,27 @@ def test_substring_dedup(spark, odd, monkeypatch, parts, block_seeds):
         assert all(f.ref_doc_id < (last if r.doc_id is None else r.doc_id) and f.length >= 13 for f in r.factors)
 
 
+def test_passages_that_agree_in_the_seed_alone():
+    seeds = np.array([7, 3, 7, 3, 7, 9], np.uint64)
+    checks = np.array([2, 1, 1, 1, 2, 2], np.uint32)
+    order, new = substring_dedup._runs(seeds, checks)
+    assert order.tolist() == [1, 3, 2, 0, 4, 5]
+    assert new.tolist() == [True, False, True, True, False, True]
+
+
+def test_substring_dedup_with_colliding_seeds(spark, odd, monkeypatch):
+    # every word counts the same in the seed of a window, so windows of the same words in any order collide
+    texts = [(1, PASSAGE), (2, " ".join(reversed(PASSAGE.split()))), (3, PASSAGE + " tail")]
+    docs = spark.createDataFrame(rows_of([(i, t, "en", "a") for i, t in texts]), SCHEMA).coalesce(1)
+    same = np.full(substring_dedup.WINDOW, substring_dedup._ODD[0])
+    seeds = substring_dedup._seeds(substring_dedup.WINDOW, 1, 0, 1)
+    monkeypatch.setattr(substring_dedup, "_ODD", same)
+    batches = docs.selectExpr("doc_id", "text", "crc32(text) key", "0 grp").toArrow().to_batches()
+    rows = list(seeds(iter(batches)))
+    found = [np.frombuffer(d, substring_dedup._MATCH) for b in rows for g, d in zip(b["grp"].to_pylist(), b["data"].to_pylist()) if g is not None]
+    assert {(int(m["doc"]), int(m["ref"])) for f in found for m in f} == {(3, 1)}
+
+
 def test_substring_dedup_of_common_passage(spark):
     docs = [(i, f"a{i} b{i} " + PASSAGE + f" c{i}", "en", "s") for i in range(300)]
     got = substring_dedup.remove_repeated_passages(spark.createDataFrame(rows_of(docs), SCHEMA).repartition(5)).collect()
