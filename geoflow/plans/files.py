@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import io
 import zipfile
+from functools import reduce
 from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import crs
 from ..functions import geometry as G
 from ..functions import measures as M
 from ..operators import edit
@@ -84,8 +86,55 @@ def scan_geojson(spark: SparkSession, sf: str) -> DataFrame:
 @query("sink_geojson", _SITES_BACK, layers=("sites",))
 def sink_geojson(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "sites")
-    geojson.write_geojson(_sites(spark, sf), path, layout="document")
-    return _back(geojson.read_geojson(spark, path, _SITE_PROPERTIES, layout="document"))
+    geojson.write_geojson(_sites(spark, sf), path)
+    return _back(geojson.read_geojson(spark, path, _SITE_PROPERTIES, layout="lines"))
+
+
+@query(
+    "scan_geojson_layouts",
+    """select site_id, c_mktsegment, round(lon, 9) x, round(lat, 9) y, CAST(null AS VARCHAR) reject_reason from sites where site_id % 50 <> 7
+       union all select null, null, null, null, 'unreadable line' from sites where site_id % 50 = 7""",
+    layers=("sites",),
+)
+def scan_geojson_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """One folder with features to a line, broken ones among them, collections on one line, and indented collections."""
+    path = scratch_path(spark, "sites")
+    text = geojson.feature_text(_sites(spark, sf).drop("c_acctbal")).select(
+        "value", F.get_json_object("value", "$.properties.site_id").cast("bigint").alias("site_id")
+    )
+    text = text.withColumn("file", F.expr(f"site_id div {FILE_ROWS}")).withColumn("layout", F.expr("file % 3"))
+    # every layout loses the same features, which stand as broken lines in the files of lines
+    text.where("layout = 0 or site_id % 50 = 7").selectExpr(
+        "if(site_id % 50 = 7, substr(value, 1, length(value) - 9), value) value"
+    ).write.text(path)
+    whole = text.where("layout > 0 and site_id % 50 <> 7").groupBy("layout", "file").agg(F.array_join(F.collect_list("value"), ",").alias("body"))
+    whole = whole.withColumn("value", F.concat(F.lit('{"type":"FeatureCollection","features":['), "body", F.lit("]}")))
+    whole.where("layout = 1").select("value").write.mode("append").text(path)
+    whole.where("layout = 2").select(F.regexp_replace("value", "([{\\[,])", "$1\n  ").alias("value")).repartition(
+        8, "value"
+    ).write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    layer = geojson.read_geojson(spark, path, "site_id:bigint,c_mktsegment:string", keep_rejected=True)
+    p = G.single_point("geom")
+    return layer.selectExpr("site_id", "c_mktsegment", f"round({p}.x, 9) x", f"round({p}.y, 9) y", "reject_reason")
+
+
+_MOVED_BACK = "select site_id, round(lon, 6) x, round(lat, 6) y, format, system from sites, " + (
+    "(values ('geojson'), ('shapefile'), ('gpkg')) f(format), (values (2154), (3857), (32631)) s(system)"
+)
+
+
+@query("crs_of_files", _MOVED_BACK, layers=("sites",))
+def crs_of_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Layers in other systems are written and read without naming the system again."""
+    sites = _sites(spark, sf).select("site_id", "geom")
+    p, parts = G.single_point("geom"), []
+    for system in (2154, 3857, 32631):
+        moved = crs.reproject(sites, system)
+        for kind, read in (("geojson", geojson.read_geojson), ("shapefile", shapefile.read_shapefile), ("gpkg", gpkg.read_gpkg)):
+            back = read(spark, sinks.write_layer(moved, scratch_path(spark, f"{kind}{system}"), kind))
+            back = crs.reproject(back.select(F.col("site_id").cast("bigint"), "geom"), 4326)
+            parts.append(back.selectExpr("site_id", f"round({p}.x, 6) x", f"round({p}.y, 6) y", f"'{kind}' format", f"{system} system"))
+    return reduce(DataFrame.union, parts)
 
 
 @query(
@@ -237,6 +286,29 @@ def scan_kml(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "scan_kml_mixed",
+    """select site_id, unnest(['MultiPoint', 'MultiLineString']) kind, unnest([2, 3]) vertices from sites
+       union all select site_id, 'Point', 1 from sites""",
+    layers=("sites",),
+)
+def scan_kml_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Placemarks with points and a line in one geometry, and placemarks with a point."""
+    at = F.format_string("%s,%s", F.col("lon").cast("string"), F.col("lat").cast("string"))
+    dot = F.concat(F.lit("<Point><coordinates>"), at, F.lit("</coordinates></Point>"))
+    path = F.concat(F.lit("<LineString><coordinates>0,0 1,1 "), at, F.lit("</coordinates></LineString>"))
+    placemarks = F.concat(
+        F.format_string("<Placemark><name>%s</name><MultiGeometry>", F.col("site_id")), dot, path, dot,
+        F.format_string("</MultiGeometry></Placemark><Placemark><name>%s</name>", F.col("site_id")), dot, F.lit("</Placemark>"),
+    )
+    files = (
+        L.layer_table(spark, sf, "sites")
+        .groupBy(F.expr(f"string(site_id div {FILE_ROWS})").alias("path"))
+        .agg(F.concat(F.lit("<kml><Document>"), F.array_join(F.collect_list(placemarks), ""), F.lit("</Document></kml>")).cast("binary").alias("content"))
+    )
+    return kml.parse_kml_files(files).selectExpr("bigint(name) site_id", "geom.type kind", f"int({G.vertex_count('geom')}) vertices")
+
+
 @query(
     "scan_dxf",
     """select CAST(parcel_id AS VARCHAR) handle, p_brand layer, 'LWPOLYLINE' entity, round(4 * half * half, 9) area,
@@ -364,6 +436,6 @@ def flow_lights(spark: SparkSession, sf: str) -> DataFrame:
         .transform(points_from_xy)
     )
     geojson.write_geojson(flow, target)
-    return _back(geojson.read_geojson(spark, target, _SITE_PROPERTIES))
+    return _back(geojson.read_geojson(spark, target, _SITE_PROPERTIES, layout="lines"))
 
 

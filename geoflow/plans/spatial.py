@@ -206,6 +206,27 @@ def simplify(spark: SparkSession, sf: str) -> DataFrame:
     return simple.selectExpr("street_id", f"{G.vertex_count('geom')} vertices", f"round({M.length('geom')}, 9) length")
 
 
+@query(
+    "simplify_zigzag",
+    """select street_id, case when street_id % 3 = 0 then 5 - CAST(s = 1 AS INT) - CAST(s = 39 AS INT) when street_id % 3 = 1 then 41 else 2 end vertices,
+       round(case when street_id % 3 = 0 then 0.38e0 + 2 * sqrt(0.0001e0 + 0.000025e0)
+             when street_id % 3 = 1 then 40 * sqrt(0.0001e0 + 0.000025e0) else 0.4e0 end, 7) length
+       from (select street_id, 1 + street_id % 39 s from streets)""",
+    layers=("streets",),
+)
+def simplify_zigzag(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with one spike, with teeth above the tolerance, and with teeth below it."""
+    height = (
+        "case when street_id % 3 = 0 then if(i = 1 + street_id % 39, 0.005D, 0D)"
+        " when i % 2 = 0 then 0D when street_id % 3 = 1 then 0.005D else 0.0004D end"
+    )
+    lines = L.streets(spark, sf).selectExpr(
+        "street_id", G.line(f"transform(sequence(0, 40), i -> named_struct('x', x1 + i * 0.01D, 'y', y1 + {height}))") + " geom"
+    )
+    simple = edit.simplify(describe(lines, srid=4326), 0.0008)
+    return simple.selectExpr("street_id", f"int({G.vertex_count('geom')}) vertices", f"round({M.length('geom')}, 7) length")
+
+
 @query(
     "snap_grid",
     """select street_id, round(floor(x1/0.25e0 + 0.5e0)*0.25e0, 6) x, round(floor(y1/0.25e0 + 0.5e0)*0.25e0, 6) y,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.layer import GEOM
 from ..functions.text import best_separator, separator_counts
@@ -49,29 +50,48 @@ def read_csv(
     """Read one or many delimited files of the same shape.
 
     Without ``delimiter`` or ``encoding`` the files are profiled first: the separator is the most
-    frequent candidate of the header lines, and text that is not valid UTF-8 is read as Latin-1.
+    frequent candidate of the header lines, and files that are not valid UTF-8 are read as Latin-1.
+    Where files of both encodings lie together, columns inferred differently become text.
     Separators and doubled quotes inside quotes belong to the value.  With ``multiline`` line breaks
     inside quotes do too; a file is then read by one task.
     """
     delimiter = (delimiter or "").strip(" ") or None
     encoding = (encoding or "").strip() or None
+    files = {encoding or "UTF-8": path}
     if delimiter is None or encoding is None:
         seen = profile_files(spark, path).agg(
             F.slice(F.collect_set(F.when(F.col("occurrences") > 0, F.col("separator"))), 1, 2).alias("separators"),
             F.min("utf8").alias("utf8"),
+            (~F.max("utf8")).alias("all_latin"),
         ).first()
         if delimiter is None:
             if len(seen.separators) > 1:
                 raise ValueError(f"the files under {path} use different separators: {sorted(seen.separators)}")
             delimiter = seen.separators[0] if seen.separators else ","
-        if encoding is None:
-            encoding = "ISO-8859-1" if seen.utf8 is False else "UTF-8"
-    encoding = "UTF-8" if encoding.lower() in ("utf-8-sig", "utf8", "utf-8") else encoding
-    reader = spark.read.option("header", header).option("sep", delimiter).option("encoding", encoding)
-    # a quote inside quotes is doubled, as other programs write it
-    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multiline)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    df = reader.csv(path)
+        if encoding is None and seen.utf8 is False and not seen.all_latin:
+            # the paths alone, which the file index of the driver holds as well
+            known = profile_files(spark, path).select("file", "utf8").collect()
+            files = {"UTF-8": [f.file for f in known if f.utf8], "ISO-8859-1": [f.file for f in known if not f.utf8]}
+        elif encoding is None:
+            files = {"ISO-8859-1" if seen.utf8 is False else "UTF-8": path}
+    parts = []
+    for name, part in files.items():
+        name = "UTF-8" if name.lower() in ("utf-8-sig", "utf8", "utf-8") else name
+        reader = spark.read.option("header", header).option("sep", delimiter).option("encoding", name)
+        # a quote inside quotes is doubled, as other programs write it
+        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multiline)
+        reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
+        parts.append((reader, part))
+    df = parts[0][0].csv(parts[0][1])
+    for reader, part in parts[1:]:
+        more = reader.csv(part)
+        if len(more.columns) != len(df.columns):
+            raise ValueError(f"the files under {path} have different columns: {df.columns} and {more.columns}")
+        if more.schema != df.schema:
+            fields = zip(df.schema, more.schema, strict=True)
+            common = T.StructType([T.StructField(a.name, a.dataType if a.dataType == b.dataType else T.StringType()) for a, b in fields])
+            df, more = parts[0][0].schema(common).csv(parts[0][1]), reader.schema(common).csv(part)
+        df = df.union(more)
     first = df.columns[0] if df.columns else ""
     return df.withColumnRenamed(first, first.lstrip(BOM)) if first.startswith(BOM) else df
 

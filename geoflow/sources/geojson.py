@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..functions.layer import GEOM, describe
+from ..functions.layer import GEOM, describe, srid_of
 
 _GEOMETRY = "struct<type:string,coordinates:string,geometries:array<struct<type:string,coordinates:string>>>"
 
 
+#: The name in a crs member that stands on one line.
+_CRS_MEMBER = r'"crs"\s*:\s*\{[^{}]*\{[^{}]*"name"\s*:\s*"([^"]*)"'
+
+
 def _feature_ddl(properties: str) -> str:
     return f"type string, properties struct<{properties}>, geometry {_GEOMETRY}"
 
@@ -47,49 +51,117 @@ def features_to_layer(features: DataFrame, keep: list[str], srid: int, geom: str
     )
 
 
-def _infer_properties(spark: SparkSession, path: str, multiline: bool) -> str:
+def _infer_properties(spark: SparkSession, path: str | list[str], multiline: bool) -> dict[str, str]:
+    """Attributes of features on their own, then those of features inside collections."""
     found = spark.read.option("multiLine", multiline).json(path).schema
-    if multiline:
-        found = found["features"].dataType.elementType
-    kind = found["properties"].dataType
-    return ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in getattr(kind, "fields", []))
+    kinds = [found["properties"].dataType] if "properties" in found.fieldNames() else []
+    if "features" in found.fieldNames():
+        member = getattr(found["features"].dataType, "elementType", None)
+        kinds += [member["properties"].dataType] if "properties" in getattr(member, "names", []) else []
+    fields = [f for kind in kinds for f in getattr(kind, "fields", [])]
+    return {f.name: f.dataType.simpleString() for f in reversed(fields)}
+
+
+def _profile(spark: SparkSession, path: str) -> tuple[list[str], list[str], str | None]:
+    """Files with a feature or a collection to a line, other files, and the name of the CRS.
+
+    Collected are one row for each file, which the file index of the driver holds as well.
+    """
+    line = F.col("value")
+    kind = F.from_json(line, "type string")["type"]
+    started = kind.isNull() & line.rlike('"FeatureCollection".*"Feature"|^\\s*,\\s*\\{')
+    files = (
+        spark.read.text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.coalesce(kind.isin("Feature", "FeatureCollection"), F.lit(False)).alias("whole"),
+            F.coalesce(started, F.lit(False)).alias("started"),
+            F.nullif(F.regexp_extract(line, _CRS_MEMBER, 1), F.lit("")).alias("crs"),
+        )
+        .groupBy("file")
+        .agg(F.max("whole").alias("whole"), F.max("started").alias("started"), F.min("crs").alias("low"), F.max("crs").alias("high"))
+        .collect()
+    )
+    names = {n for f in files for n in (f.low, f.high) if n}
+    if len({_srid(n) for n in names}) > 1:
+        raise ValueError(f"the files under {path} have different coordinate systems: {sorted(names)}")
+    lines = [f.file for f in files if f.whole and not f.started]
+    return lines, [f.file for f in files if not f.whole or f.started], min(names, default=None)
+
+
+def _line_features(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
+    """Features of lines that hold one, of collections on one line, and a row with a reason for each broken line."""
+    lines = spark.read.schema(f"{ddl}, features array<{_nested(ddl)}>, _corrupt_record string").json(path)
+    # lines of the document around the features: brackets, members, and the opening of the list
+    around = F.col("_corrupt_record").rlike('^[\\s\\[\\]{},]*$|^\\s*"|^\\s*\\{.*\\[\\s*$')
+    broken = F.col("_corrupt_record").isNotNull() & ~around
+    own = F.struct("type", "properties", "geometry")
+    held = F.when(broken | (F.col("type") == "Feature"), F.array(own)).when(F.col("type") == "FeatureCollection", F.col("features"))
+    return lines.select(F.when(broken, "unreadable line").alias("_bad"), F.explode(held).alias("f")).select("f.*", "_bad")
+
+
+def _document_features(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
+    """Features of files that are one JSON value each; a row with a reason for each other file."""
+    reader = spark.read.option("multiLine", True)
+    documents = reader.schema(f"{ddl}, features array<{_nested(ddl)}>, _corrupt_record string").json(path)
+    good = F.expr("_corrupt_record is null and (type = 'Feature' or type = 'FeatureCollection' and features is not null)")
+    bad = ~F.coalesce(good, F.lit(False))
+    own = F.struct("type", "properties", "geometry")
+    held = F.when(bad | (F.col("type") == "Feature"), F.array(own)).otherwise(F.col("features"))
+    return documents.select(F.when(bad, "unreadable document").alias("_bad"), F.explode(held).alias("f")).select("f.*", "_bad")
+
+
+def _document_crs(spark: SparkSession, path: str | list[str]) -> str | None:
+    documents = spark.read.option("multiLine", True).schema("crs struct<properties:struct<name:string>>").json(path)
+    named = documents.select(F.col("crs.properties.name").alias("n")).where("n is not null").first()
+    return named and named.n
 
 
 def read_geojson(
     spark: SparkSession,
     path: str,
     properties: str | None = None,
-    layout: str = "lines",
+    layout: str | None = None,
     srid: int | None = None,
     keep_rejected: bool = False,
     geom: str = GEOM,
 ) -> DataFrame:
     """Read a layer.
 
-    ``lines``: files with one feature per line, alone or inside a FeatureCollection whose features
-    stand on their own lines; these are split across tasks.  ``document``: each file is one JSON
-    value and one task.  ``properties`` gives the attributes as DDL fields (``a:int,b:string``) and
-    saves the pass that infers them.
+    ``lines``: files with one feature or collection per line, or collections whose features stand
+    on their own lines; these are split across tasks.  ``document``: each file is one JSON value and
+    one task.  Without ``layout`` a pass over the text chooses for each file.  ``properties`` gives
+    the attributes as DDL fields (``a:int,b:string``) and saves the pass that infers them, ``srid``
+    the look for a ``crs`` member.  ``keep_rejected`` adds ``reject_reason`` and keeps features with
+    unreadable geometries and a row for each broken line and each file that is no GeoJSON.
     """
-    if layout not in ("lines", "document"):
+    if layout not in (None, "lines", "document"):
         raise ValueError(f"unknown layout {layout!r}; known: lines, document")
-    multiline = layout == "document"
-    fields = properties or _infer_properties(spark, path, multiline)
-    ddl = _feature_ddl(fields)
-    if multiline:
-        documents = spark.read.option("multiLine", True).schema(
-            f"type string, features array<{_nested(ddl)}>, crs struct<properties:struct<name:string>>"
-        ).json(path)
-        features = documents.where("type = 'FeatureCollection'").selectExpr("inline(features)")
-        named = None if srid else documents.select(F.col("crs.properties.name").alias("n")).where("n is not null").first()
-        srid = srid or _srid(named and named.n)
-    else:
-        # lines of the surrounding document do not parse as features and drop out
-        features = spark.read.schema(ddl).json(path)
+    lines, documents, name = [], [], None
+    if layout is None:
+        lines, documents, name = _profile(spark, path)
+        # a folder of one layout is read as a whole
+        lines, documents = (lines if documents else path), (documents if lines else path if documents else [])
+    elif layout == "lines":
+        lines = path
         if srid is None:
-            head = spark.read.text(path).where("value like '%\"crs\"%' and value not like '%\"Feature\"%'").first()
-            srid = _srid(head and head.value)
-    layer = features_to_layer(features.where("type = 'Feature'"), [], srid, geom)
+            head = spark.read.text(path).select(F.regexp_extract("value", _CRS_MEMBER, 1).alias("n")).where("n != ''").first()
+            name = head and head.n
+    else:
+        documents = path
+    if srid is None:
+        srid = _srid(name or (_document_crs(spark, documents) if documents else None))
+    if properties is None:
+        found = {}
+        for files, multiline in ((documents, True), (lines, False)):
+            found |= _infer_properties(spark, files, multiline) if files else {}
+        properties = ",".join(f"`{n}`:{kind}" for n, kind in found.items())
+    ddl = _feature_ddl(properties)
+    parts = [_line_features(spark, lines, ddl)] if lines else []
+    parts += [_document_features(spark, documents, ddl)] if documents else []
+    features = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+    layer = features_to_layer(features.where("type = 'Feature' or _bad is not null"), ["_bad"], srid, geom)
+    layer = layer.withColumn("reject_reason", F.coalesce("_bad", "reject_reason")).drop("_bad")
     return layer if keep_rejected else layer.where("reject_reason is null").drop("reject_reason")
 
 
@@ -125,17 +197,29 @@ def feature_text(df: DataFrame, geom: str = GEOM) -> DataFrame:
     )
 
 
+def _crs_member(srid: int) -> str:
+    name = "urn:ogc:def:crs:OGC:1.3:CRS84" if srid == 4326 else f"urn:ogc:def:crs:EPSG::{srid}"
+    return f'"crs":{{"type":"name","properties":{{"name":"{name}"}}}}'
+
+
 def write_geojson(
     df: DataFrame, path: str, layout: str = "lines", geom: str = GEOM, mode: str = "errorifexists"
 ) -> None:
-    """Write features as text: ``lines`` in parallel, ``document`` as one FeatureCollection by one task."""
+    """Write features as text: ``lines`` in parallel, ``document`` as one FeatureCollection by one task.
+
+    The coordinate system stands in a ``crs`` member of the document; in ``lines`` each file begins
+    with an empty collection that has it.
+    """
     lines = feature_text(df, geom)
+    member = _crs_member(srid_of(df, geom) or 4326)
     if layout == "lines":
-        lines.write.mode(mode).text(path)
+        head = f'{{"type":"FeatureCollection",{member},"features":[]}}\n'
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        lines.select(F.concat(F.when(first, head).otherwise(""), "value").alias("value")).write.mode(mode).text(path)
         return
     if layout != "document":
         raise ValueError(f"unknown layout {layout!r}; known: lines, document")
-    head, foot = '{"type":"FeatureCollection","features":[', "]}"
+    head, foot = f'{{"type":"FeatureCollection",{member},"features":[', "]}"
     total = df.count()
     if total == 0:
         df.sparkSession.createDataFrame([(head + foot,)], "value string").write.mode(mode).text(path)
@@ -143,17 +227,19 @@ def write_geojson(
     # a single JSON value has one writer by nature; only the finished text goes to it
     numbered = lines.repartition(1).withColumn("_n", F.monotonically_increasing_id())
     framed = F.concat(
-        F.when(F.col("_n") == 0, head + "\n").otherwise(","),
+        F.when(F.col("_n") == 0, head + "\n").otherwise(""),
         F.col("value"),
-        F.when(F.col("_n") == total - 1, "\n" + foot).otherwise(""),
+        F.when(F.col("_n") == total - 1, "\n" + foot).otherwise(","),
     )
     numbered.select(framed.alias("value")).write.mode(mode).text(path)
 
 
 def check_geojson(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    """One row about a written layer: feature and null-geometry counts, ``valid`` when it has features."""
+    """One row about a written layer: feature and null-geometry counts, ``valid`` when it has features and nothing broken."""
     layer = read_geojson(spark, path, properties="_none:string", layout=layout, srid=4326, keep_rejected=True)
+    broken = F.coalesce(F.col("reject_reason").isin("unreadable line", "unreadable document"), F.lit(False))
     return layer.agg(
-        F.count(F.lit(1)).alias("feature_count"),
-        F.count_if(F.col(GEOM)["type"].isNull()).alias("null_geometries"),
-    ).select("*", (F.col("feature_count") > 0).alias("valid"))
+        F.count_if(~broken).alias("feature_count"),
+        F.count_if(~broken & F.col(GEOM)["type"].isNull()).alias("null_geometries"),
+        F.count_if(broken).alias("broken"),
+    ).select("feature_count", "null_geometries", F.expr("feature_count > 0 and broken = 0").alias("valid"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -41,37 +41,35 @@ def _polygon_rings(p: str) -> str:
     return f"concat(array({_vertices(f'{p}.outerBoundaryIs.LinearRing.coordinates')}), coalesce({inner}, array()))"
 
 
-def placemark_geometry() -> str:
-    """Geometry of a placemark; a multi-geometry keeps its first kind of member."""
+def placemark_geometries() -> str:
+    """Geometries of a placemark: one, or one for each kind of member that a multi-geometry has."""
     multi = "MultiGeometry"
-    shape = case(
+    single = case(
         ("Point.coordinates is not null", f"named_struct('type', 'Point', 'parts', array(array({_vertices('Point.coordinates')})))"),
         ("LineString.coordinates is not null", G.line(_vertices("LineString.coordinates"))),
         ("Polygon.outerBoundaryIs is not null", G.polygon(_polygon_rings("Polygon"))),
-        (
-            f"size({multi}.Polygon) > 0",
-            G.make_geom("'MultiPolygon'", each("transform", f"{multi}.Polygon", _polygon_rings)),
-        ),
-        (
-            f"size({multi}.LineString) > 0",
-            G.make_geom(
-                "'MultiLineString'", each("transform", f"{multi}.LineString", lambda m: f"array({_vertices(m + '.coordinates')})")
-            ),
-        ),
-        (
-            f"size({multi}.Point) > 0",
-            G.make_geom("'MultiPoint'", each("transform", f"{multi}.Point", lambda m: f"array({_vertices(m + '.coordinates')})")),
-        ),
     )
-    return shape
+
+    def members(kind: str, parts: Callable[[str], str]) -> str:
+        made = G.make_geom(f"'Multi{kind}'", each("transform", f"{multi}.{kind}", parts))
+        return case((f"size({multi}.{kind}) > 0", made))
+
+    def sequence(m: str) -> str:
+        return f"array({_vertices(m + '.coordinates')})"
+
+    kinds = [members("Polygon", _polygon_rings), members("LineString", sequence), members("Point", sequence)]
+    return f"filter(array({', '.join([single, *kinds])}), g -> g.type is not null)"
 
 
 def placemarks_to_layer(placemarks: DataFrame, keep: list[str], geom: str = GEOM) -> DataFrame:
-    """``name``, ``description``, ``data`` (map of the extended data) and the geometry."""
+    """``name``, ``description``, ``data`` (map of the extended data) and the geometry.
+
+    A multi-geometry of several kinds of members becomes one row for each kind.
+    """
     data = F.expr(
         "map_from_entries(transform(ExtendedData.Data, d -> named_struct('key', d._name, 'value', d.value)))"
     )
-    shaped = placemarks.select(*keep, "name", "description", data.alias("data"), F.expr(placemark_geometry()).alias(geom))
+    shaped = placemarks.select(*keep, "name", "description", data.alias("data"), F.explode_outer(F.expr(placemark_geometries())).alias(geom))
     return describe(shaped, geom, srid=4326)
 
 

@@ -32,6 +32,7 @@ from pyspark.sql.datasource import (
 
 from ..functions.layer import GEOM, describe
 from .columnar import GeometryColumn, contains_point, geometry_type, rings_of, signed_area
+from .prj import prj_text, srid_of_prj
 
 # Fixed values of the format.
 FILE_CODE, VERSION = 9994, 1000
@@ -40,10 +41,6 @@ NULL_SHAPE, POINT, POLYLINE, POLYGON, MULTIPOINT = 0, 1, 3, 5, 8
 FAMILY_CODES = {"Point": POINT, "LineString": POLYLINE, "MultiLineString": POLYLINE, "Polygon": POLYGON,
                 "MultiPolygon": POLYGON, "MultiPoint": MULTIPOINT}
 FAMILY_NAMES = {POINT: "point", POLYLINE: "line", POLYGON: "area", MULTIPOINT: "multipoint"}
-WGS84_PRJ = (
-    'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]],'
-    'PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]]'
-)
 
 RECORDS_PER_TASK = 50_000
 BATCH_ROWS = 5_000
@@ -231,6 +228,13 @@ class _Files:
             text = stream.read().decode("ascii", "replace").strip().lower()
         return {"88591": "latin-1", "iso88591": "latin-1"}.get(text.replace("-", "").replace("_", ""), text) or "utf-8"
 
+    def srid(self) -> int | None:
+        stream = self.open(".prj")
+        if stream is None:
+            return None
+        with stream:
+            return srid_of_prj(stream.read().decode("utf-8", "replace"))
+
     def record_count(self) -> int:
         stream = self.open(".shx")
         if stream is not None:
@@ -358,9 +362,7 @@ def _cell(value: object, field: Field) -> bytes:
         text = str(value)
     raw = text.encode("utf-8")
     if len(raw) > field.size:
-        if field.kind != "C":
-            raise ValueError(f"value {text} does not fit the field {field.name}")
-        raw = raw[: field.size].decode("utf-8", "ignore").encode("utf-8")
+        raise ValueError(f"{len(raw)} bytes do not fit the {field.size} of the field {field.name}: {text[:40]}")
     return raw.rjust(field.size) if field.kind in "NF" else raw.ljust(field.size)
 
 
@@ -410,8 +412,8 @@ class _SetWriter:
         self.dbf.write(self._table_header(self.n))
         self.dbf.close()
         Path(self.stem + ".cpg").write_text("UTF-8")
-        if self.srid == 4326:
-            Path(self.stem + ".prj").write_text(WGS84_PRJ)
+        if self.srid is not None:
+            Path(self.stem + ".prj").write_text(prj_text(self.srid))
 
 
 @dataclass
@@ -492,19 +494,28 @@ def local_path(path: str) -> str:
 
 
 def read_shapefile(
-    spark: SparkSession, path: str, layer: str | None = None, encoding: str | None = None, srid: int = 4326,
+    spark: SparkSession, path: str, layer: str | None = None, encoding: str | None = None, srid: int | None = None,
     records_per_task: int = RECORDS_PER_TASK,
 ) -> DataFrame:
-    """Read a ``.shp`` file, a ``.zip`` with one, or all of a folder."""
+    """Read a ``.shp`` file, a ``.zip`` with one, or all of a folder.
+
+    The coordinate system is that of the ``.prj`` files, longitude/latitude where there are none; files
+    that differ in it or that name an unknown one raise unless ``srid`` is given.
+    """
     spark.dataSource.register(ShapefileSource)
     reader = spark.read.format("shapefile").option("recordspertask", records_per_task)
     for key, value in (("layer", layer), ("encoding", encoding)):
         reader = reader.option(key, value) if value else reader
+    if srid is None:
+        named = {_Files(*found).srid() or 4326 for found in find_sets(local_path(path), layer)}
+        if len(named) > 1:
+            raise ValueError(f"the files under {path} have different coordinate systems: {sorted(named)}")
+        srid = min(named, default=4326)
     return describe(reader.load(local_path(path)), srid=srid)
 
 
 def write_shapefile(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Write one set per task and geometry family into a folder."""
+    """Write one set per task and geometry family into a folder; text of over 254 bytes, which the format can't hold, raises."""
     df.sparkSession.dataSource.register(ShapefileSource)
     srid = df.schema[GEOM].metadata.get("srid", 4326)
     df.write.format("shapefile").mode(mode).option("srid", srid).save(local_path(path))

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 import shapes as S
 from geoflow.functions import geometry as G
 from geoflow.functions import measures as M
+from geoflow.functions.crs import SUPPORTED
 from geoflow.operators.filters import filter_rows
 from geoflow.operators.points import points_from_xy
 from geoflow.plans.files import workbook_bytes
-from geoflow.sources import delimited, dxf, geojson, gpkg, inventory, jdbc, kml, shapefile, sinks, wkb, workbook
+from geoflow.sources import delimited, dxf, geojson, gpkg, inventory, jdbc, kml, prj, shapefile, sinks, wkb, workbook
 
 LIGHTS = """id;commune;type_equipement;latitude;longitude;puissance_w
 EP-001;Lyon;LED;45.764043;4.835659;120
@@ -265,3 +266,91 @@ def test_write_layer_modes(spark, tmp_path, format):
         sinks.write_layer(layer, path, format)
     sinks.write_layer(layer, path, format, mode="ignore")
     assert sorted(p.name for p in (tmp_path / format).iterdir()) == before
+
+
+FEATURE = '{"type":"Feature","properties":{"id":%d},"geometry":{"type":"Point","coordinates":[%d,2]}}'
+
+
+def test_geojson_of_any_layout(spark, tmp_path):
+    one = '{"type":"FeatureCollection","features":[%s,%s]}' % (FEATURE % (1, 1), FEATURE % (2, 2))
+    (tmp_path / "one.json").write_text(one)
+    (tmp_path / "pretty.json").write_text(json.dumps(json.loads(one.replace('"id":', '"id":1')), indent=2))
+    (tmp_path / "lines.json").write_text("\n".join([FEATURE % (3, 3), (FEATURE % (4, 4))[:-9], FEATURE % (5, 5)]))
+    (tmp_path / "head.json").write_text(
+        '{"type":"FeatureCollection","features":[%s,\n%s]}' % (FEATURE % (6, 6), FEATURE % (7, 7))
+    )
+    (tmp_path / "broken.json").write_text(one[:-40])
+    rows = geojson.read_geojson(spark, str(tmp_path), keep_rejected=True).collect()
+    assert sorted(r.id for r in rows if r.id is not None) == [1, 2, 3, 5, 6, 7, 11, 12]
+    assert sorted(r.reject_reason for r in rows if r.reject_reason) == ["unreadable document", "unreadable line"]
+    assert geojson.read_geojson(spark, str(tmp_path)).count() == 8
+    assert geojson.read_geojson(spark, str(tmp_path / "one.json"), layout="lines").count() == 2
+    check = geojson.check_geojson(spark, str(tmp_path / "lines.json")).first()
+    assert (check.feature_count, check.valid) == (2, False)
+
+
+def test_geojson_keeps_the_coordinate_system(spark, tmp_path):
+    layer = S.layer(spark, [S.point(700000, 6600000), S.line((1, 2), (3, 4))]).repartition(2)
+    layer = layer.withMetadata("geom", {"srid": 2154})
+    for layout in ("lines", "document"):
+        target = str(tmp_path / layout)
+        geojson.write_geojson(layer, target, layout=layout)
+        for read_as in (None, layout):
+            back = geojson.read_geojson(spark, target, layout=read_as)
+            assert back.schema["geom"].metadata["srid"] == 2154 and back.count() == 2
+    other = layer.withMetadata("geom", {"srid": 3857})
+    geojson.write_geojson(other, str(tmp_path / "lines"), mode="append")
+    with pytest.raises(ValueError, match="different coordinate systems"):
+        geojson.read_geojson(spark, str(tmp_path / "lines"))
+
+
+@pytest.mark.parametrize("srid", SUPPORTED)
+def test_prj_text_comes_back(srid):
+    assert prj.srid_of_prj(prj.prj_text(srid)) == srid
+
+
+def test_prj_of_other_programs():
+    lambert = prj.prj_text(2154).replace('44.0', "x").replace('49.0', "44").replace("x", "49")
+    assert prj.srid_of_prj(lambert) == 2154
+    assert prj.srid_of_prj('PROJCS["any",GEOGCS["a",DATUM["b"]],AUTHORITY["EPSG","3946"]]') == 3946
+    with pytest.raises(ValueError, match="give srid"):
+        prj.srid_of_prj(prj.prj_text(32631).replace("3.0", "15.0"))
+
+
+def test_shapefile_keeps_the_coordinate_system(spark, tmp_path):
+    layer = S.layer(spark, [S.point(700000, 6600000)]).withMetadata("geom", {"srid": 2154})
+    shapefile.write_shapefile(layer, str(tmp_path / "a"))
+    assert shapefile.read_shapefile(spark, str(tmp_path / "a")).schema["geom"].metadata["srid"] == 2154
+    assert shapefile.read_shapefile(spark, str(tmp_path / "a"), srid=3857).schema["geom"].metadata["srid"] == 3857
+    shapefile.write_shapefile(layer.withMetadata("geom", {"srid": 3857}), str(tmp_path / "a"))
+    with pytest.raises(ValueError, match="different coordinate systems"):
+        shapefile.read_shapefile(spark, str(tmp_path / "a"))
+
+
+def test_shapefile_does_not_cut_text(spark, tmp_path):
+    layer = S.layer(spark, [S.point(1, 2)]).withColumn("t", F.repeat(F.lit("é"), 127))
+    shapefile.write_shapefile(layer, str(tmp_path / "fits"))
+    assert shapefile.read_shapefile(spark, str(tmp_path / "fits")).first().t == "é" * 127
+    with pytest.raises(Exception, match="do not fit"):
+        shapefile.write_shapefile(layer.withColumn("t", F.repeat(F.lit("é"), 128)), str(tmp_path / "long"))
+
+
+def test_kml_keeps_every_member(spark):
+    body = (
+        "<kml><Placemark><name>a</name><MultiGeometry><Point><coordinates>1,2</coordinates></Point>"
+        "<LineString><coordinates>0,0 1,1</coordinates></LineString><Polygon><outerBoundaryIs><LinearRing><coordinates>"
+        "0,0 1,0 1,1 0,0</coordinates></LinearRing></outerBoundaryIs></Polygon></MultiGeometry></Placemark>"
+        "<Placemark><name>b</name></Placemark></kml>"
+    )
+    layer = kml.parse_kml_files(spark.createDataFrame([("a.kml", body.encode())], "path string, content binary"))
+    rows = sorted((r.name, r.geom.type if r.geom else None) for r in layer.collect())
+    assert rows == [("a", "MultiLineString"), ("a", "MultiPoint"), ("a", "MultiPolygon"), ("b", None)]
+
+
+def test_csv_files_of_both_encodings(spark, tmp_path):
+    (tmp_path / "latin.csv").write_bytes("id,ville\n1,Orléans\n2,Évry\n".encode("latin-1"))
+    (tmp_path / "utf8.csv").write_bytes("id,ville\nx3,Nîmes\n".encode())
+    rows = delimited.read_csv(spark, str(tmp_path)).collect()
+    assert sorted((r.id, r.ville) for r in rows) == [("1", "Orléans"), ("2", "Évry"), ("x3", "Nîmes")]
+    typed = delimited.read_csv(spark, str(tmp_path), schema="id string, ville string")
+    assert typed.where("ville = 'Orléans'").count() == 1
