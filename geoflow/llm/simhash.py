@@ -55,14 +55,19 @@ def text_fingerprints(texts: list[bytes], shingle: int = 3) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """Rows (doc_id, fp): the 64 bits of every text as a bigint. Null and empty texts have fingerprint zero."""
+    """Rows (doc_id, fp) and the other columns of docs but the text; fp: the 64 bits of every text as a bigint.
+
+    Null and empty texts have fingerprint zero. A column of docs named fp is not allowed.
+    """
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    more = [c for c in docs.columns if c not in ("doc_id", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches):
-            fp = text_fingerprints(texts, shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id").cast(pa.int64()), pa.array(fp)], ["doc_id", "fp"])
+            fp = pa.array(text_fingerprints(texts, shingle).view(np.int64))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), fp, *map(rows.column, more)], ["doc_id", "fp", *more])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.mapInArrow(run, docs.select("doc_id", F.lit(0).cast("bigint").alias("fp"), *more).schema)
 
 
 def _close(home: np.ndarray, other: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,20 +169,31 @@ def near_links(fps: DataFrame, scratch: Scratch, radius: int = 3, words: int = 4
     )
 
 
-def simhash_components(docs: DataFrame, radius: int = 3, shingle: int = 3, words: int = 4) -> DataFrame:
-    """Rows (doc_id, fingerprint, component_id, group_size), one for each row of docs.
+def simhash_components(docs: DataFrame, radius: int = 3, shingle: int = 3, words: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, fingerprint, component_id, group_size, kept) and the columns named in carry, one for each row of docs.
 
-    docs: columns doc_id, text; others are not read. Null and empty texts have fingerprint zero and link like any other.
-    A text with fewer words than a shingle is one shingle. Equal fingerprints are one node, so copies cost nothing. Repeated
-    rows come out as often as they went in; component_id is the smallest doc_id that is not null (null if there is none).
-    An empty table gives no rows. words=8 makes the cells finer, for 1e9 fingerprints and more; the result is the same.
+    docs: columns doc_id, text and those in carry; others are not read. Null and empty texts have fingerprint zero and link
+    like any other. A text with fewer words than a shingle is one shingle. Equal fingerprints are one node, so copies cost
+    nothing. Repeated rows come out as often as they went in; component_id is the smallest doc_id that is not null (null if
+    there is none). kept marks the first row of a component by doc_id, nulls last, then fingerprint, then carried columns;
+    rows that agree in all of these are all marked. An empty table gives no rows. words=8 makes the cells finer, for 1e9
+    fingerprints and more; the result is the same.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    marked = scratch.keep(fingerprints(docs, shingle))
+    marked = scratch.keep(fingerprints(docs.select("doc_id", "text", *carry), shingle))
     distinct = scratch.keep(marked.select("fp").distinct())
     roots = connected(near_links(distinct, scratch, radius, words), scratch).withColumnRenamed("node", "fp")
-    nodes = marked.join(roots, "fp", "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
-    groups = scratch.keep(nodes.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("group_size")))
+    nodes = marked.join(roots, "fp", "left").select("doc_id", "fp", *carry, F.coalesce("root", "fp").alias("root"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", *carry)).alias("first")
+    groups = scratch.keep(nodes.groupBy("root").agg(first, F.count("*").alias("group_size")))
+    same = F.lit(True)
+    for c in ("doc_id", "fp", *carry):
+        same = same & F.col(c).eqNullSafe(F.col(f"first.{c}"))
     return nodes.join(groups, "root").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_size"
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"),
+        "group_size",
+        same.alias("kept"),
+        *carry,
     )

@@ -37,6 +37,14 @@ def test_dedup_stages_keep_one_of_each(spark):
         assert stage(spark, docs.where("doc_id > 99"), SF).count() == 0
 
 
+def test_near_dedup_keeps_different_texts_of_one_id(spark):
+    texts = [" ".join(f"{k}{i * i}" for i in range(200)) for k in "abc"]
+    rows = [(None, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[0].upper()), (4, texts[2]), (1, texts[2])]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    near = cp.drop_near_copies(spark, docs, SF)
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=repr) == sorted([(4, texts[0].upper()), (None, texts[1]), (1, texts[2])], key=repr)
+
+
 def test_clean_deletes_scratch(spark):
     kept = Scratch(spark, "gone").keep(spark.range(5).toDF("x"))
     table = kept.scratch_table
