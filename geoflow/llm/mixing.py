@@ -171,13 +171,13 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
         .join(drawn.hint("merge"), ["rank", "block"], "left")
         .select("doc_id", F.struct(first, F.col("words").cast("int").alias("words"), F.coalesce("times", F.lit(0)).alias("times")).alias("b"))
         .groupBy(F.col("doc_id").alias("mix_row"))
-        .agg(F.array_sort(F.collect_list("b")).alias("blocks"), F.min("b.times").alias("least"), F.max("b.times").alias("most"))
-        .where("most > 0")
+        .agg(F.array_sort(F.collect_list("b")).alias("mix_blocks"), F.min("b.times").alias("mix_least"), F.max("b.times").alias("mix_most"))
+        .where("mix_most > 0")
     )
     words = F.regexp_extract_all("text", F.lit(WORD), 0)
-    some = F.expr("flatten(transform(filter(blocks, b -> b.times >= copy), b -> slice(words, b.first + 1, b.words)))")
-    copies = rows.join(taken, "mix_row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("most"))))
-    mixed = copies.withColumn("words", F.when(F.col("least") < F.col("copy"), words)).withColumn(
-        "text", F.when(F.col("least") >= F.col("copy"), F.col("text")).otherwise(F.array_join(some, " "))
-    )
+    some = F.expr("flatten(transform(filter(mix_blocks, b -> b.times >= mix_copy), b -> slice(mix_words, b.first + 1, b.words)))")
+    # words are cut below the generator, once a document: above it the optimizer would move the cutting into the loop over blocks
+    cut = rows.join(taken, "mix_row").withColumn("mix_words", F.when(F.col("mix_least") < F.col("mix_most"), words))
+    copies = cut.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_most"))))
+    mixed = copies.withColumn("text", F.when(F.col("mix_least") >= F.col("mix_copy"), F.col("text")).otherwise(F.array_join(some, " ")))
     return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
