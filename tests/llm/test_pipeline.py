@@ -1,9 +1,12 @@
 """The pipeline's stages on planted copies and toxic documents, and on odd rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
+from geoflow.llm import near_copies
 from geoflow.llm.scratch import Scratch, clean
 
 SF = "/root/testdata/sf0.001"
@@ -45,6 +48,52 @@ def test_near_dedup_keeps_different_texts_of_one_id(spark):
     assert sorted(((r.doc_id, r.text) for r in near.collect()), key=repr) == sorted([(4, texts[0].upper()), (None, texts[1]), (1, texts[2])], key=repr)
 
 
+def _shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def _planted(rng):
+    """Texts of 30 to 1000 words and edited copies of them, most at similarities from 0.7 to 1, some in chains."""
+    texts = []
+    for g in range(150):
+        n = rng.choice([30, 100, 300, 1000])
+        words = [f"t{rng.randrange(5000)}" for _ in range(n)]
+        texts.append(" ".join(words))
+        for _ in range(rng.choice([1, 1, 3])):
+            edited = list(words)
+            for at in rng.sample(range(n), max(1, round(n * rng.uniform(0, 0.03)))):
+                edited[at] = f"e{g}_{rng.randrange(10**9)}"
+            if rng.random() < 0.3:
+                edited = edited[: round(n * rng.uniform(0.75, 1))]
+            texts.append(" ".join(edited))
+            words = edited if rng.random() < 0.3 else words
+            n = len(words)
+    return texts
+
+
+@pytest.mark.parametrize(("tile", "tile_bytes"), [(1024, 16 << 20), (2, 4000)])
+def test_near_dedup_finds_similar_shingles(spark, tile, tile_bytes):
+    texts = list(dict.fromkeys(_planted(random.Random(5))))
+    sets = [_shingles(t) for t in texts]
+    root, between = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if 5 * shared >= 4 * (len(sets[i]) + len(sets[j]) - shared):
+                between += 1
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    assert between > 100 and len(set(root)) > 150
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    if tile == near_copies.TILE:
+        got = cp.drop_near_copies(spark, docs, SF)
+    else:
+        got = near_copies.near_copies(docs.withColumn("sha", F.sha2("text", 256)), tile, tile_bytes)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(root))
+
+
 def test_clean_deletes_scratch(spark):
     kept = Scratch(spark, "gone").keep(spark.range(5).toDF("x"))
     table = kept.scratch_table
