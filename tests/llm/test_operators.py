@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from geoflow.llm import (
     embedding_dedup,
     exact_dedup,
+    labelled,
     language_id,
     mixing,
     packing,
@@ -417,6 +418,21 @@ def test_held_out_accuracy(spark, score, column, folds, held, least):
     assert score(docs, labels).where("held_out").count() == fold
 
 
+def test_samples_have_per_class_of_each_class(spark):
+    ids = spark.range(3_000_020).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    labels = ids.select("doc_id", (F.col("doc_id") < 20).cast("int").alias("toxic"))
+    _, y, weight = labelled.labelled_sample(ids, labels, "toxic", F.lit(False), 2)
+    assert Counter(y.tolist()) == {0: 2, 1: 2} and set(weight[y == 0]) == {1_500_000.0} and set(weight[y == 1]) == {10.0}
+    # one id many times, in labels and in texts, and languages of a hot third, of a few rows and of one row repeated
+    hot = ids.limit(20).unionAll(spark.range(1000).selectExpr("7L as doc_id", "concat('text ', id) as text"))
+    texts, y, _ = labelled.labelled_sample(hot, labels.unionAll(labels.where("doc_id = 7")).where("doc_id < 20"), "toxic", F.lit(False), 19)
+    assert len(texts) == 19 and set(y) == {1}
+    lang = F.expr("case when doc_id < 20 then 'rare' when doc_id < 1000020 then 'hot' else concat('l', doc_id % 3) end")
+    rows = ids.withColumn("lang", lang).unionAll(spark.range(100_000).selectExpr("5L as doc_id", "'same' as text", "'one' as lang"))
+    _, names = labelled.class_sample(rows, "lang", F.lit(False), 3)
+    assert Counter(names) == dict.fromkeys(["rare", "hot", "l0", "l1", "l2", "one"], 3)
+
+
 def test_held_out_language(spark):
     docs, _ = tables(spark)
     got = language_id.predicted_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
