@@ -82,19 +82,23 @@ def packed_blocks(sized: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
     )
 
 
-def drawn_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+def drawn_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, mean_blocks: bool = False) -> DataFrame:
     """Rows (rank, block, shard, slot): the blocks that the mix takes and where it puts them.
 
-    Every source has target / block_words slots. One pseudorandom permutation deals the slots of all sources out over the
+    Every source has target / block_words slots, which takes its last block as full. With mean_blocks the target is divided by
+    the mean size of the source's blocks instead, and a source with a target has a slot at least. One pseudorandom permutation deals the slots of all sources out over the
     shards, so the counts of a shard are a multinomial draw, under the condition that all shards together hold each source's
     slots exactly. The n-th slot of a source takes its n-th block under another permutation, drawn anew each time the source
     is through, so no block is taken more than once more often than another.
     """
     whole = Window.partitionBy()
     before = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    slots = F.round(F.col("target") / block_words)
+    if mean_blocks:
+        slots = F.when(F.col("target") > 0, F.greatest(F.lit(1.0), F.round(F.col("target") * F.col("blocks") / F.col("source_size")))).otherwise(0.0)
     counted = (
         targets.withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("bigint"))
-        .withColumn("slots", F.least(F.round(F.col("target") / block_words), F.floor(F.lit(LIMIT) * F.col("blocks"))).cast("bigint"))
+        .withColumn("slots", F.least(slots, F.floor(F.lit(LIMIT) * F.col("blocks"))).cast("bigint"))
         .withColumn("base", F.coalesce(F.sum("slots").over(before), F.lit(0)))
         .withColumn("all_slots", F.sum("slots").over(whole))
         .where("slots > 0")
@@ -151,12 +155,12 @@ def mixed_sources(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, mean_blocks: bool = False) -> DataFrame:
     """The mix itself: documents with the columns of docs, each as often as its blocks were drawn at most.
 
     docs: columns doc_id, text, source, n_chars and any others. The k-th copy of a document has the words of those of its
     blocks that were drawn k times or more, joined by spaces; a copy that has all words is the unchanged text. n_chars follows
-    the text. Documents without words and those whose blocks were never drawn don't come out.
+    the text. Documents without words and those whose blocks were never drawn don't come out. mean_blocks: see drawn_slots.
     """
     scratch = Scratch(docs.sparkSession, "mixture")
     rows = scratch.keep(docs.withColumn("mix_row", F.monotonically_increasing_id()))
@@ -164,7 +168,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     targets = scratch.keep(source_targets(counted))
     sized = counted.join(targets, counted.source.eqNullSafe(targets.source)).select("rank", F.col("mix_row").alias("doc_id"), "size")
     # the slots come out of one row for each source, so their estimated size would make them a broadcast at any scale
-    drawn = drawn_slots(targets, block_words).groupBy("rank", "block").agg(F.count("*").cast("int").alias("times"))
+    drawn = drawn_slots(targets, block_words, mean_blocks=mean_blocks).groupBy("rank", "block").agg(F.count("*").cast("int").alias("times"))
     first = F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0)).cast("int").alias("first")
     taken = (
         packed_blocks(sized, block_words)

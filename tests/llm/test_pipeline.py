@@ -1,12 +1,13 @@
 """The pipeline's stages on planted copies and toxic documents, and on odd rows."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from geoflow.llm import near_copies
+from geoflow.llm import mixing, near_copies
 from geoflow.llm.scratch import Scratch, clean
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +95,30 @@ def test_near_dedup_finds_similar_shingles(spark, tile, tile_bytes):
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(root))
 
 
+def test_mix_reaches_targets_of_small_sources(spark):
+    size = {"hot": 20_000} | {f"s{n:03}": n for n in (5, 10, 11, 20, 64, 65, 130, 200, 400, 500)}
+    rows = [(i, "w " * (n // parts + (k < n % parts)), "en", s, 0) for i, (s, n) in enumerate(size.items()) for parts in [3] for k in range(parts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    words = F.sum(F.regexp_count("text", F.lit(mixing.WORD)))
+    taken = {r.source: r.n for r in cp.mix_sources(spark, docs, SF).groupBy("source").agg(words.alias("n")).collect()}
+    target = {s: 3 * n for s, n in size.items()}
+    target["hot"] = sum(size.values()) - sum(n for s, n in target.items() if s != "hot")
+    assert {s: n for s, n in taken.items() if s != "hot"} == {s: n for s, n in target.items() if s != "hot"}
+    assert abs(taken["hot"] - target["hot"]) <= 96
+
+
+def test_slots_of_small_sources_below_their_limit(spark):
+    sizes = [1, 5, 63, 64, 65, 127, 130, 200, 500, 6400]
+    rows = [(k, f"s{k}", n, n * share) for k, (n, share) in enumerate((n, share) for n in sizes for share in (0.01, 0.4, 1.3, 2.9, 3.0))]
+    targets = spark.createDataFrame(rows, "rank int, source string, source_size bigint, target double")
+    drawn = Counter((r.rank, r.block) for r in mixing.drawn_slots(targets, mean_blocks=True).collect())
+    for rank, _, n, target in rows:
+        times = [drawn[rank, b] for b in range(-(-n // 64))]
+        taken = sum(k * min(64, n - 64 * b) for b, k in enumerate(times))
+        assert max(times) <= 3 and sum(times) >= 1 and abs(taken - target) <= 96
+        assert max(times) - min(times) <= 1 and (target < 3 * n or taken == target)
+
+
 def test_clean_deletes_scratch(spark):
     kept = Scratch(spark, "gone").keep(spark.range(5).toDF("x"))
     table = kept.scratch_table
