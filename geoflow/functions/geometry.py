@@ -71,6 +71,16 @@ def family(g: str) -> str:
     return case((f"endswith({g}.type, 'Polygon')", "2"), (f"endswith({g}.type, 'LineString')", "1"), default="0")
 
 
+def only_family(g: str, number: int, operator: str) -> str:
+    """Whether a geometry is of the family; false for none, and an error for other families, so that none is left out unseen."""
+    wanted = ("points", "lines", "areas")[number]
+    return case(
+        (f"{g}.type is null", "false"),
+        (f"{family(g)} = {number}", "true"),
+        default=f"raise_error(concat('{operator} takes {wanted} only, the layer holds a ', {g}.type))",
+    )
+
+
 def single_point(g: str) -> str:
     """The coordinate of a point geometry (first vertex of any other)."""
     return f"get(get(get({g}.parts, 0), 0), 0)"

@@ -268,10 +268,10 @@ def assemble(rings: DataFrame, group: list[str], step: float, geom: str = GEOM,
 # --- dissolve ------------------------------------------------------------------------------
 
 
-def union_edges(df: DataFrame, by: list[str], id_: str, geom: str = GEOM) -> DataFrame:
-    """Boundary edges (vertex grid units) of the union of the areas of each group."""
+def union_edges(df: DataFrame, by: list[str], id_: str, geom: str = GEOM, areas: str | None = None) -> DataFrame:
+    """Boundary edges (vertex grid units) of the union of the areas of each group; ``areas`` tells which rows have one."""
     step = snap_step(srid_of(df, geom))
-    areas = spread(df.where(f"{G.family(geom)} = 2").select(*by, F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
+    areas = spread(df.where(areas or f"{G.family(geom)} = 2").select(*by, F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
     segs = explode_segments(areas, [*[F.col(b) for b in by], F.col("fid")], "_g")
     key = ["fid", "seg"]
     # the pieces are needed several times below
@@ -297,15 +297,15 @@ def union_edges(df: DataFrame, by: list[str], id_: str, geom: str = GEOM) -> Dat
 
 
 def dissolve(df: DataFrame, by: list[str], id_: str, geom: str = GEOM) -> DataFrame:
-    """Union of the areas of each group: one row per group and connected part."""
+    """Union of the areas of each group: one row per group and connected part.  Lines and points raise an error."""
     srid = srid_of(df, geom)
-    edges = cut_lineage(union_edges(df, by, id_, geom))
+    edges = cut_lineage(union_edges(df, by, id_, geom, G.only_family(geom, 2, "dissolve")))
     return assemble(stitch_rings(edges, by), by, snap_step(srid), geom, srid)
 
 
 def dissolve_measures(df: DataFrame, by: list[str], id_: str, geom: str = GEOM) -> DataFrame:
     """Area and perimeter of the union of each group, without building its geometry."""
-    return edge_measures(union_edges(df, by, id_, geom), by, snap_step(srid_of(df, geom)))
+    return edge_measures(union_edges(df, by, id_, geom, G.only_family(geom, 2, "dissolve")), by, snap_step(srid_of(df, geom)))
 
 
 # --- overlay -------------------------------------------------------------------------------
@@ -314,10 +314,10 @@ def dissolve_measures(df: DataFrame, by: list[str], id_: str, geom: str = GEOM)
 def overlay_rows(left: DataFrame, right: DataFrame, left_id: str, right_id: str, apart: str = "true", geom: str = GEOM) -> DataFrame:
     """Every pair of areas that overlap, with the boundary edges of the intersection in ``_edges``.
 
-    ``_common`` is the overlap of two axis-parallel rectangles, null for other pairs.  The edges stay in the row of their pair, in vertex grid units; nothing is shuffled after the join.
+    Lines and points raise an error.  ``_common`` is the overlap of two axis-parallel rectangles, null for other pairs.  The edges stay in the row of their pair, in vertex grid units; nothing is shuffled after the join.
     """
     step = num(snap_step(srid_of(left, geom)))
-    areas = f"{G.family(geom)} = 2"
+    areas = G.only_family(geom, 2, "overlay")
     lhs = left.where(areas).select(F.col(left_id).alias("_lid"), F.expr(M.orient(geom)).alias("_lg"))
     rhs = right.where(areas).select(F.col(right_id).alias("_rid"), F.expr(M.orient(geom)).alias("_rg"))
     pairs = box_pairs(lhs, rhs, "_lid", "_rid", tolerant(G.bbox("_lg")), tolerant(G.bbox("_rg")), test=apart)
@@ -564,8 +564,11 @@ def buffer(
 
 
 def split_lines(df: DataFrame, id_: str, geom: str = GEOM) -> DataFrame:
-    """Break lines where they meet other lines: rows ``id, seg, piece, geom``, one per straight piece."""
-    lines = spread(df.where(f"{G.family(geom)} = 1").select(F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
+    """Break lines where they meet other lines: rows ``id, seg, piece, geom``, one per straight piece.
+
+    Points and areas raise an error.  Edges of zero length have no piece.
+    """
+    lines = spread(df.where(G.only_family(geom, 1, "split_lines")).select(F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
     segs = explode_segments(lines, [F.col("fid")], "_g")
     pieces = cut_segments(segs, segs, ["fid", "seg"], apart="l_fid != r_fid")
     shape = G.line([G.xy("x1", "y1"), G.xy("x2", "y2")])

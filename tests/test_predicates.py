@@ -10,7 +10,7 @@ import shapes as S
 from geoflow.functions import geometry as G
 from geoflow.functions import measures as M
 from geoflow.functions import predicates as P
-from geoflow.operators import edges, spatial
+from geoflow.operators import edges, nearest, spatial
 
 CHECKED = [p for p in P.PREDICATES if p != "dwithin"]
 JTS_NAMES = {"covered_by": "coveredBy"}
@@ -176,6 +176,35 @@ def test_split_lines(spark):
     ]
 
 
+@pytest.mark.parametrize("other", [S.point(1, 1), S.multipoint((0, 0), (1, 1)), S.line((0, 0), (5, 5)), S.box(0, 0, 5, 5)])
+def test_layers_of_mixed_families_lose_no_rows_unseen(spark, other):
+    def raises(made, wanted):
+        with pytest.raises(Exception, match=f"takes {wanted} only, the layer holds a {other['type']}"):
+            made().collect()
+
+    if other["type"] != "Polygon":
+        areas = S.layer(spark, [S.box(0, 0, 3, 3), other, S.box(1, 1, 4, 4)]).withColumn("g", F.lit(1))
+        plain = S.layer(spark, [S.box(0, 0, 3, 3)])
+        raises(lambda: edges.dissolve(areas, ["g"], "id"), "areas")
+        raises(lambda: edges.dissolve_measures(areas, ["g"], "id"), "areas")
+        raises(lambda: edges.overlay_areas(areas, plain, "id", "id"), "areas")
+        raises(lambda: edges.overlay_measures(plain, areas, "id", "id"), "areas")
+    if other["type"] != "LineString":
+        raises(lambda: edges.split_lines(S.layer(spark, [S.line((0, 0), (4, 4)), other]), "id"), "lines")
+    if other["type"] != "Point":
+        places, mixed = S.layer(spark, [S.point(0, 0), S.point(2, 2)]), S.layer(spark, [S.point(0, 0), other])
+        raises(lambda: nearest.neighbors(mixed, places.withColumnRenamed("id", "cid"), "id", "cid"), "single points")
+        raises(lambda: nearest.neighbors(places, mixed.withColumnRenamed("id", "cid"), "id", "cid"), "single points")
+
+
+def test_null_geometries_have_no_part(spark):
+    areas = S.layer(spark, [S.box(0, 0, 3, 3), None, S.box(1, 1, 4, 4)]).withColumn("g", F.lit(1))
+    assert edges.dissolve(areas, ["g"], "id").count() == 1 and edges.overlay_areas(areas, areas, "id", "id", "_lid < _rid").count() == 1
+    assert edges.split_lines(S.layer(spark, [S.line((0, 0), (4, 4)), None]), "id").count() == 1
+    places = S.layer(spark, [S.point(0, 0), None])
+    assert nearest.neighbors(places, places.withColumnRenamed("id", "cid"), "id", "cid").count() == 1
+
+
 def test_buffer_like_jts(spark):
     jts = S.Jts(spark)
     geoms = [S.point(0, 0), S.line((0, 0), (4, 0), (4, 3)), S.polygon(S.SQUARE, S.HOLE), S.polygon(S.C_SHAPE),
