@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_id, mixing, packing, quality, simhash, substring_dedup, token_histogram, toxicity
+from . import (
+    embedding_dedup,
+    exact_dedup,
+    hard_negatives,
+    language_id,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    substring_dedup,
+    token_histogram,
+    toxicity,
+    warc,
+    whitening,
+)
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -183,3 +197,56 @@ from embeddings e left join counts c on c.u = e.vec_id left join components k on
 )
 def cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op11_dictionary_warc",
+    """
+with payloads as (
+  select page_id, coalesce(html, '') as payload from pages
+), firsts as (
+  select *, strlen(payload) >= 100 and page_id is distinct from min(page_id) over (partition by payload)
+    and min(page_id) over (partition by payload) is not null as again, min(page_id) over (partition by payload) as first_id
+  from payloads
+)
+select page_id, strlen(payload)::bigint as payload_bytes, sha256(payload) as payload_digest,
+  case when again then 'revisit' else 'response' end as record_type, case when again then first_id end as refers_to
+from firsts
+""",
+)
+def dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archived_pages(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(
+    "op12_kronecker_negatives",
+    """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, embedding from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+), rows as (
+  select vec_id, label, list_transform(embedding, lambda c: floor(256 * c::double)) as x from vectors
+), scored as (
+  select a.vec_id as anchor_id, o.vec_id, a.label = o.label as same, list_inner_product(a.x, o.x)::bigint as score
+  from rows a join rows o on a.vec_id <> o.vec_id and len(a.x) = len(o.x) where a.vec_id % 50 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select * from (
+  select p.anchor_id, p.positive_id, row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id)::int as rank,
+    s.vec_id as negative_id, p.positive_score, s.score as negative_score
+  from positives p join scored s on s.anchor_id = p.anchor_id and not s.same
+  where 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score
+) where rank <= 3
+""",
+)
+def kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+@query("op13_jacobi_davidson_whitening")
+def jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))

@@ -31,6 +31,10 @@ class Scratch:
         spark.sql(f"create database {self.database} location '{shared_folder(spark)}/{self.database}.db'")
         Scratch._open.append(self)
 
+    def path(self, name: str) -> str:
+        """A path beside the tables, deleted with them by clean()."""
+        return f"{shared_folder(self.spark)}/{self.database}.db/{name}"
+
     def keep(self, df: DataFrame) -> DataFrame:
         """Write the rows now, free the shuffle files that made them, and go on from the written table."""
         self._count += 1
