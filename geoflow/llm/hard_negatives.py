@@ -20,6 +20,8 @@ LOWEST, HIGHEST = 50, 95
 CANDIDATES, ANCHORS = 4096, 4096
 #: Candidates whose components are packed into one integer.
 PACKED = 1024
+#: Rows of one label or length are dealt out over so many parts when they learn how many tiles there are.
+SALTS = 256
 _MOST = (1 << 63) - 1
 #: No id; comes after all others.
 _NO_ID = _MOST
@@ -178,11 +180,13 @@ def _tiles(anchors: DataFrame, rows: DataFrame, by: list[str]) -> DataFrame:
         return df.groupBy(*by).agg(F.ceil(F.count("*") / most).cast("int").alias(name))
 
     sizes = count(anchors, ANCHORS, "a_tiles").join(count(rows, CANDIDATES, "c_tiles"), by)
+    # all rows may have one length and most rows one label
+    sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     columns = [*by, "row", "id", "x", *[c for c in ("label",) if c not in by]]
 
     def dealt(df: DataFrame, own: str, other: str, is_own: bool) -> DataFrame:
-        # one row for each length or label; AQE splits a label with many rows
-        met = df.select(*columns, *(["wanted"] if is_own else [])).join(sizes, by)
+        salted = df.select(*columns, *(["wanted"] if is_own else []), F.pmod(F.xxhash64("row", F.lit("salt")), F.lit(SALTS)).cast("int").alias("salt"))
+        met = salted.join(sizes, [*by, "salt"])
         met = met.withColumn("mine", F.pmod(F.xxhash64("row"), F.col(own)).cast("int")).withColumn("theirs", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         a, c = ("mine", "theirs") if is_own else ("theirs", "mine")
         tile = F.concat_ws("/", *[F.col(name).cast("string") for name in [*by, a, c]]).alias("tile")
