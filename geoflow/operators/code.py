@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.layer import GEOM
 
@@ -20,14 +22,14 @@ def run_sql(df: DataFrame, code: str, row_id: str, keep_geometry: bool = False,
     With ``keep_geometry`` the geometry is joined back to a result that carries ``__row_id__``.
     """
     spark = df.sparkSession
-    items = df.withColumn(ROW_ID, F.col(row_id))
-    for view in ("items", "gdf"):
-        items.createOrReplaceTempView(view)
+    view = f"items_{uuid.uuid4().hex}"
+    df.withColumn(ROW_ID, F.col(row_id)).createTempView(view)
+    # both names are bound inside the statement, so views of the session that are called so stay as they are
+    named = f"with items as (table {view}), gdf as (table {view})"
     try:
-        result = spark.sql(code)
+        result = spark.sql(f"{named} select * from (\n{code.strip().rstrip(';')}\n)")
     finally:
-        for view in ("items", "gdf"):
-            spark.catalog.dropTempView(view)
+        spark.catalog.dropTempView(view)
     if keep_geometry:
         if ROW_ID not in result.columns:
             raise ValueError(f"the query must select {ROW_ID} to keep the geometry")
@@ -53,19 +55,23 @@ def run_item(df: DataFrame, code: Callable[[dict], dict], schema: T.StructType |
         list(df.schema.fields) + list(result_schema.fields) + [T.StructField("reject_reason", T.StringType())]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    fields = [*to_arrow_schema(result_schema), pa.field("reject_reason", pa.string())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            results: list[dict] = []
-            for item in batch.to_dict("records"):
+            made: list[dict] = []
+            for item in batch.to_pylist():
                 try:
-                    made = code(item)
-                    results.append({**{n: made.get(n) for n in names}, "reject_reason": None})
+                    got = code(item)
+                    row = {n: got.get(n) for n in names} | {"reject_reason": None}
+                    # a value that doesn't fit its type rejects the row as well
+                    pa.RecordBatch.from_pylist([row], pa.schema(fields))
+                    made.append(row)
                 except Exception as error:  # noqa: BLE001 - any failure of user code rejects the row
-                    reason = f"{type(error).__name__}: {error}"
-                    results.append({**dict.fromkeys(names), "reject_reason": reason})
-            added = pd.DataFrame(results, index=batch.index, columns=[*names, "reject_reason"], dtype=object)
-            yield pd.concat([batch, added], axis=1)
+                    made.append(dict.fromkeys(names) | {"reject_reason": f"{type(error).__name__}: {error}"})
+            added = pa.RecordBatch.from_pylist(made, pa.schema(fields))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added.columns], [*batch.schema.names, *added.schema.names])
 
-    return df.mapInPandas(run, out)
+    return df.mapInArrow(run, out)
 
 

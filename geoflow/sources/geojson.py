@@ -17,6 +17,10 @@ _GEOMETRY = "struct<type:string,coordinates:string,geometries:array<struct<type:
 _CRS_MEMBER = r'"crs"\s*:\s*\{[^{}]*\{[^{}]*"name"\s*:\s*"([^"]*)"'
 
 
+#: What only a feature has; a line with it that can't be read is a broken feature and no line around features.
+_FEATURE_PART = r'"type"\s*:\s*"Feature"|"(geometry|coordinates)"\s*:|^\s*\{(?!.*"FeatureCollection").*"properties"\s*:'
+
+
 def _feature_ddl(properties: str) -> str:
     return f"type string, properties struct<{properties}>, geometry {_GEOMETRY}"
 
@@ -93,8 +97,9 @@ def _line_features(spark: SparkSession, path: str | list[str], ddl: str) -> Data
     """Features of lines that hold one, of collections on one line, and a row with a reason for each broken line."""
     lines = spark.read.schema(f"{ddl}, features array<{_nested(ddl)}>, _corrupt_record string").json(path)
     # lines of the document around the features: brackets, members, and the opening of the list
-    around = F.col("_corrupt_record").rlike('^[\\s\\[\\]{},]*$|^\\s*"|^\\s*\\{.*\\[\\s*$')
-    broken = F.col("_corrupt_record").isNotNull() & ~around
+    text = F.col("_corrupt_record")
+    around = text.rlike('^[\\s\\[\\]{},]*$|^\\s*"|^\\s*\\{.*\\[\\s*$') & ~text.rlike(_FEATURE_PART)
+    broken = text.isNotNull() & ~around
     own = F.struct("type", "properties", "geometry")
     held = F.when(broken | (F.col("type") == "Feature"), F.array(own)).when(F.col("type") == "FeatureCollection", F.col("features"))
     return lines.select(F.when(broken, "unreadable line").alias("_bad"), F.explode(held).alias("f")).select("f.*", "_bad")
@@ -132,8 +137,8 @@ def read_geojson(
     on their own lines; these are split across tasks.  ``document``: each file is one JSON value and
     one task.  Without ``layout`` a pass over the text chooses for each file.  ``properties`` gives
     the attributes as DDL fields (``a:int,b:string``) and saves the pass that infers them, ``srid``
-    the look for a ``crs`` member.  ``keep_rejected`` adds ``reject_reason`` and keeps features with
-    unreadable geometries and a row for each broken line and each file that is no GeoJSON.
+    the look for a ``crs`` member.  Features with unreadable geometries, broken lines and files that
+    are no GeoJSON raise an error; with ``keep_rejected`` each is a row with a ``reject_reason``.
     """
     if layout not in (None, "lines", "document"):
         raise ValueError(f"unknown layout {layout!r}; known: lines, document")
@@ -162,7 +167,10 @@ def read_geojson(
     features = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
     layer = features_to_layer(features.where("type = 'Feature' or _bad is not null"), ["_bad"], srid, geom)
     layer = layer.withColumn("reject_reason", F.coalesce("_bad", "reject_reason")).drop("_bad")
-    return layer if keep_rejected else layer.where("reject_reason is null").drop("reject_reason")
+    if keep_rejected:
+        return layer
+    refused = "raise_error(concat('GeoJSON that can not be read: ', reject_reason))"
+    return layer.where(F.expr(f"if(reject_reason is null, true, {refused})")).drop("reject_reason")
 
 
 def parse_documents(

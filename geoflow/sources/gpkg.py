@@ -21,9 +21,9 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition
 
 from ..functions.layer import GEOM, describe
-from . import wkb
 from .columnar import GEOM_ARROW, geometry_type
 from .shapefile import WrittenFiles, local_path
+from .wkb import decode, encode
 
 ROWS_PER_TASK = 100_000
 ROWS_PER_FILE = 200_000
@@ -124,7 +124,7 @@ class _Reader(DataSourceReader):
             arrays = []
             for f, values in zip(self.schema.fields, zip(*rows, strict=True), strict=True):
                 if f.name == GEOM:
-                    arrays.append(pa.array([wkb.decode(strip_header(v)) for v in values], GEOM_ARROW))
+                    arrays.append(pa.array([decode(strip_header(v)) for v in values], GEOM_ARROW))
                 elif isinstance(f.dataType, T.BooleanType):
                     arrays.append(pa.array([None if v is None else bool(v) for v in values], pa.bool_()))
                 elif isinstance(f.dataType, T.LongType):
@@ -196,7 +196,7 @@ class _Writer(DataSourceArrowWriter):
         db, n = None, 0
         for batch in iterator:
             rows = [
-                (add_header(wkb.encode(r.get(GEOM)), self.srid), *[_plain(r[c]) for c, _ in self.columns])
+                (add_header(encode(r.get(GEOM)), self.srid), *[_plain(r[c]) for c, _ in self.columns])
                 for r in batch.to_pylist()
             ]
             db = db or self._start()

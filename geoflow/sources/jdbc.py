@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.layer import GEOM, describe
-from .wkb import from_wkb, to_wkb
+from .columnar import GEOM_ARROW, geometry_type
+from .wkb import decode, encode
+
+
+# These objects stand apart from the functions that other formats send to the workers: once used they hold a handle of the JVM.
+@F.arrow_udf(T.BinaryType())
+def to_wkb(geoms: pa.Array) -> pa.Array:
+    return pa.array([encode(g) for g in geoms.to_pylist()], pa.binary())
+
+
+@F.arrow_udf(geometry_type())
+def from_wkb(values: pa.Array) -> pa.Array:
+    return pa.array([decode(v) for v in values.to_pylist()], GEOM_ARROW)
 
 
 def read_options(

@@ -5,11 +5,6 @@ from __future__ import annotations
 import struct
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from .columnar import GEOM_ARROW, geometry_type
 
 # OGC geometry type codes.
 CODES = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6}
@@ -90,13 +85,3 @@ def decode(data: bytes | None) -> dict | None:
     if name == "Point" and np.isnan(parts[0][0][0]["x"]):
         return None
     return {"type": name, "parts": parts}
-
-
-@F.arrow_udf(T.BinaryType())
-def to_wkb(geoms: pa.Array) -> pa.Array:
-    return pa.array([encode(g) for g in geoms.to_pylist()], pa.binary())
-
-
-@F.arrow_udf(geometry_type())
-def from_wkb(values: pa.Array) -> pa.Array:
-    return pa.array([decode(v) for v in values.to_pylist()], GEOM_ARROW)

@@ -160,3 +160,22 @@ def test_duplicate_filter_has_one_unique_row_for_each_key(spark):
     rows = spark.createDataFrame([(1, 5), (2, 5), (1, 5), (1, 7), (3, None), (3, None), (None, 1), (None, 1)], "k int, v int")
     got = routing.duplicate_filter(rows, ["k"], "v").collect()
     assert len(got) == 8 and sorted((r.k or 0, r.v) for r in got if r.port == "unique") == [(0, 1), (1, 5), (2, 5), (3, None)]
+
+
+def test_code_sql_leaves_the_views_of_the_session(spark):
+    spark.range(3).createOrReplaceTempView("items")
+    spark.range(4).createOrReplaceTempView("gdf")
+    layer = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    got = code.run_sql(layer, "with t as (select * from items) select t.v, gdf.__row_id__ from t join gdf on t.k = gdf.k -- which rows\norder by 1;", "k")
+    assert [tuple(r) for r in got.collect()] == [("a", 1), ("b", 2)]
+    assert (spark.table("items").count(), spark.table("gdf").count()) == (3, 4)
+    spark.catalog.dropTempView("items")
+    spark.catalog.dropTempView("gdf")
+
+
+def test_code_item_sees_integers_beside_nulls(spark):
+    layer = spark.createDataFrame([(1, 5), (2, None), (3, 7)], "k int, v bigint")
+    got = code.run_item(layer, lambda item: {"kind": type(item["v"]).__name__, "twice": 2 * item["v"]}, "kind string, twice bigint").collect()
+    assert [(r.kind, r.twice, r.reject_reason is None) for r in sorted(got)] == [("int", 10, True), (None, None, False), ("int", 14, True)]
+    wrong = code.run_item(layer, lambda item: {"twice": "no number"}, "twice bigint").collect()
+    assert all(r.twice is None and r.reject_reason for r in wrong)

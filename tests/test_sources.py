@@ -80,13 +80,32 @@ def test_geojson_lines_inside_a_collection(spark, tmp_path):
         '{ "type": "Feature", "properties": { "id": 4 }, "geometry": { "type": "GeometryCollection", "geometries": ['
         '{ "type": "Point", "coordinates": [5, 6] }, { "type": "LineString", "coordinates": [[0, 0], [1, 1]] }] } }\n]\n}\n'
     )
-    layer = geojson.read_geojson(spark, str(path))
+    with pytest.raises(Exception, match="unreadable geometry"):
+        geojson.read_geojson(spark, str(path)).collect()
+    layer = geojson.read_geojson(spark, str(path), keep_rejected=True)
     assert layer.schema["geom"].metadata["srid"] == 2154
-    rows = sorted((r.id, r.geom.type if r.geom else None) for r in layer.collect())
+    rows = sorted((r.id, r.geom.type if r.geom else None) for r in layer.where("reject_reason is null").collect())
     assert rows == [(1, "Point"), (2, None), (4, "LineString"), (4, "Point")]
     kept = geojson.read_geojson(spark, str(path), "id:bigint", keep_rejected=True).where("reject_reason is not null")
     assert [r.id for r in kept.collect()] == [3]
-    assert geojson.read_geojson(spark, str(path), layout="document").count() == 4
+    assert geojson.read_geojson(spark, str(path), layout="document", keep_rejected=True).count() == 5
+
+
+@pytest.mark.parametrize(
+    "cut",
+    ['{"type":"Feature","properties":{"id":2},"geometry":{"type":"Point","coordinates":[', '{"properties":{"tags":[', '"geometry":{"type":"Point",',
+     '{"type":"Feature","properties":{"id":2},"geo'],
+)
+def test_geojson_cut_lines_are_reported(spark, tmp_path, cut):
+    path = tmp_path / "cut.geojson"
+    path.write_text((FEATURE % (1, 1)) + "\n" + cut)
+    rows = geojson.read_geojson(spark, str(path), "id:bigint", keep_rejected=True).collect()
+    assert sorted((r.id, r.reject_reason) for r in rows if r.id == 1) == [(1, None)]
+    assert [r.reject_reason for r in rows if r.id is None] == ["unreadable line"]
+    check = geojson.check_geojson(spark, str(path)).first()
+    assert (check.feature_count, check.valid) == (1, False)
+    with pytest.raises(Exception, match="unreadable line"):
+        geojson.read_geojson(spark, str(path), "id:bigint").collect()
 
 
 def test_empty_layer_document(spark, tmp_path):
@@ -171,10 +190,17 @@ def test_wkb(spark):
     writer = spark._jvm.org.locationtech.jts.io.WKBWriter(2, 1)
     for geom in MIXED[:-1]:
         assert bytes(writer.write(jts.read(geom))) != b"" and wkb.decode(bytes(writer.write(jts.read(geom)))) == geom
-    df = S.layer(spark, MIXED).withColumn("b", wkb.to_wkb("geom")).withColumn("again", wkb.from_wkb("b"))
+    df = S.layer(spark, MIXED).withColumn("b", jdbc.to_wkb("geom")).withColumn("again", jdbc.from_wkb("b"))
     assert df.where("not (geom <=> again)").count() == 0
 
 
+def test_gpkg_after_wkb_was_used(spark, tmp_path):
+    layer = S.layer(spark, MIXED[:1])
+    assert layer.select(jdbc.from_wkb(jdbc.to_wkb("geom")).alias("g")).where("g is null").count() == 0
+    gpkg.write_gpkg(layer, str(tmp_path / "after"))
+    assert gpkg.read_gpkg(spark, str(tmp_path / "after")).count() == 1
+
+
 def test_jdbc_options():
     made = jdbc.read_options("jdbc:x", "t", "id", 1, 100, 8, fetchsize="1000")
     assert made["numPartitions"] == "8" and made["lowerBound"] == "1" and made["fetchsize"] == "1000"
@@ -283,7 +309,8 @@ def test_geojson_of_any_layout(spark, tmp_path):
     rows = geojson.read_geojson(spark, str(tmp_path), keep_rejected=True).collect()
     assert sorted(r.id for r in rows if r.id is not None) == [1, 2, 3, 5, 6, 7, 11, 12]
     assert sorted(r.reject_reason for r in rows if r.reject_reason) == ["unreadable document", "unreadable line"]
-    assert geojson.read_geojson(spark, str(tmp_path)).count() == 8
+    with pytest.raises(Exception, match="unreadable"):
+        geojson.read_geojson(spark, str(tmp_path)).collect()
     assert geojson.read_geojson(spark, str(tmp_path / "one.json"), layout="lines").count() == 2
     check = geojson.check_geojson(spark, str(tmp_path / "lines.json")).first()
     assert (check.feature_count, check.valid) == (2, False)
