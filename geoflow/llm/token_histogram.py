@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,24 +15,49 @@ from .wordbytes import slices
 
 #: Fixed value: how texts are split before byte pairs are merged, for vocabularies of this family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: the characters that the pattern takes for white space.
+WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Longer runs of white space are encoded by themselves: the pattern would go back through them character by character.
+LONG_RUN = 10_000
 #: Lengths whose sums are taken together first.
 SPAN = 1024
 _ENCODINGS: dict[int, object] = {}
 
 
 def _encoding(ranks: bytes):
-    """The encoder of a vocabulary, made once in each Python process."""
+    """The encoder of a vocabulary, made once in each Python process, and one that takes a whole text for one piece."""
     key = hash(ranks)
     if key not in _ENCODINGS:
         import tiktoken
 
         merges = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in ranks.splitlines() if line)}
-        _ENCODINGS[key] = tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
+        _ENCODINGS[key] = tuple(tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=merges, special_tokens={}) for name, pattern in (("corpus", PATTERN), ("piece", r"[\s\S]+")))
     return _ENCODINGS[key]
 
 
+def pieces(text: str, long_run: int = LONG_RUN) -> Iterator[tuple[bool, str]]:
+    """Parts of a text that can be encoded one by one, and whether each is one piece of white space.
+
+    Of a run of white space the pattern takes all but the last character as a piece, and that character goes with what
+    follows; at the end of the text the whole run is one piece. No piece reaches over such a place.
+    """
+    at = 0
+    for run in re.finditer(f"[{WHITE}]{{{long_run},}}", text):
+        yield False, text[at : run.start()]
+        at = run.end() - (run.end() < len(text))
+        yield True, text[run.start() : at]
+    yield False, text[at:]
+
+
+def count_tokens(text: str, encoders: tuple, long_run: int = LONG_RUN) -> int:
+    by_pattern, whole = encoders
+    return sum(len((whole if white else by_pattern).encode_ordinary(part)) for white, part in pieces(text, long_run))
+
+
 def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Rows (doc_id, n_tokens): tokens of every whole text; null has none.
+    """Rows (doc_id, n_tokens): tokens of every whole text; null and empty texts have none, repeated rows are counted one by one.
+
+    docs: columns doc_id, text; others are not read. An empty table gives no rows.
 
     vocabulary: a file of byte-pair ranks (a base64 token and its rank on each line), which the driver reads; its content,
     about a megabyte, goes to the executors.
@@ -40,9 +66,9 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(ranks.value)
+        encoders = _encoding(ranks.value)
         for rows, texts in slices(batches):
-            counts = [len(encoding.encode_ordinary(t.decode())) for t in texts]
+            counts = [count_tokens(t.decode(), encoders) for t in texts]
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n_tokens bigint")

@@ -194,7 +194,7 @@ def test_exact_dedup_draws_new_hashes(odd):
 def test_token_histogram(spark, odd):
     counts = token_histogram.token_counts(odd, VOCABULARY)
     lengths = [r.n_tokens for r in counts.collect()]
-    encode = token_histogram._encoding(open(VOCABULARY, "rb").read()).encode_ordinary
+    encode = token_histogram._encoding(open(VOCABULARY, "rb").read())[0].encode_ordinary
     assert sorted(lengths) == sorted(len(encode(r.text or "")) for r in odd.collect())
     histogram = token_histogram.length_histogram(counts)
     rows = histogram.collect()
@@ -534,3 +534,26 @@ def test_empty_tables(spark, none):
     assert token_histogram.length_histogram(token_histogram.token_counts(none, VOCABULARY)).count() == 0
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert embedding_dedup.near_duplicate_vectors(empty).count() == 0
+def test_long_white_space_is_encoded_as_by_the_pattern():
+    ranks = open(VOCABULARY, "rb").read()
+    by_pattern, whole = encoders = token_histogram._encoding(ranks)
+    rng = np.random.default_rng(11)
+    alphabet = np.array(list(" \n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u3000ab7.'sé"))
+    for _ in range(300):
+        text = "".join(rng.choice(alphabet, rng.integers(0, 60), p=[0.3] + [0.7 / (len(alphabet) - 1)] * (len(alphabet) - 1)))
+        for long_run in (1, 2, 3, 8):
+            assert token_histogram.count_tokens(text, encoders, long_run) == len(by_pattern.encode_ordinary(text))
+    assert token_histogram.WHITE and "".join(p for _, p in token_histogram.pieces("a" + " " * 20 + "b\n\n\n", 3)) == "a" + " " * 20 + "b\n\n\n"
+
+
+@pytest.mark.parametrize("run", [" ", "\n", " \n"])
+def test_tokens_of_a_text_of_five_million_spaces(spark, run):
+    n = 5_000_000 // len(run)
+    long = spark.createDataFrame([(1, run * n + "x"), (2, "a" + run * n), (3, "x" * 1_000_000), (4, None), (5, "")], "doc_id bigint, text string")
+    got = {r.doc_id: r.n_tokens for r in token_histogram.token_counts(long, VOCABULARY).collect()}
+    short = {i: len(token_histogram._encoding(open(VOCABULARY, "rb").read())[0].encode_ordinary(t)) for i, t in ((1, run * 1000 + "x"), (2, "a" + run * 1000))}
+    assert (got[4], got[5]) == (0, 0) and got[3] == 125_000
+    # the vocabulary's tokens for such runs have a fixed length, so counts grow in proportion
+    assert abs(got[1] * 1000 - short[1] * n) <= 1000 * 8 + n and abs(got[2] * 1000 - short[2] * n) <= 1000 * 8 + n
+
+
