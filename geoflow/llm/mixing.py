@@ -13,8 +13,8 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 1024
 #: Documents of a source are put in order within so many groups, so that no source is sorted in one task.
 GROUPS = 4096
-#: Fixed value: a prime above every number of blocks or slots, so that multiplying by it permutes them.
-PRIME = 4294967291
+#: Names the draw; another one gives another mix.
+SEED = 1
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -51,9 +51,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit
     )
 
 
-def _permuted(index: Column, salt: Column, n: Column) -> Column:
-    """A pseudorandom permutation of 0..n-1; n is below 2^31, so that products stay within 64 bits."""
-    return F.pmod(F.pmod(F.lit(PRIME), n) * index + salt * 40503, n)
+def _hashed(*parts: Column) -> Column:
+    """32 bits of a hash of the parts; SQL has the same."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("bigint")
+
+
+def _numbers(chunk: int, last: str) -> tuple[Column, Column]:
+    """0 to last - 1, generated in two steps so that one row's numbers are dealt out over many tasks."""
+    return F.explode(F.expr(f"sequence(0L, ({last} - 1) div {chunk})")), F.explode(F.expr(f"sequence(chunk * {chunk}, least({last}, (chunk + 1) * {chunk}) - 1)"))
 
 
 def packed_blocks(sized: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -82,39 +87,69 @@ def packed_blocks(sized: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
     )
 
 
-def drawn_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, mean_blocks: bool = False) -> DataFrame:
+def permuted_blocks(targets: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+    """Rows (rank, block, index): each source's blocks in a pseudorandom order, the index being a block's place in it.
+
+    The order is that of a keyed hash, then of the block. Places are counted over groups of blocks first and within a group
+    second, so that no source is ordered in one task.
+    """
+    outer, inner = _numbers(SHARD_SLOTS, "blocks")
+    counted = targets.select("rank", F.ceil(F.col("source_size") / block_words).cast("bigint").alias("blocks")).where("blocks > 0")
+    blocks = counted.withColumn("chunk", outer).repartition("rank", "chunk").withColumn("block", inner)
+    keyed = blocks.select("rank", "block", _hashed(F.lit(seed), F.col("rank"), F.col("block")).alias("key")).withColumn("grp", F.expr(f"key div {(1 << 32) // GROUPS}"))
+    before = keyed.groupBy("rank", "grp").agg(F.count("*").alias("n")).withColumn("base", _sum_before("n", "rank", order="grp"))
+    within = F.row_number().over(Window.partitionBy("rank", "grp").orderBy("key", "block"))
+    return keyed.withColumn("inner", within).join(before.select("rank", "grp", "base"), ["rank", "grp"]).select("rank", "block", (F.col("base") + F.col("inner") - 1).alias("index"))
+
+
+def source_slots(targets: DataFrame, order: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Rows (rank, blocks, slots, shards_slots) of sources with a target: how many blocks the mix takes of each.
+
+    The slots go through a source's blocks in their order, again and again, and end where the words taken are nearest to the
+    target; only the last block of a source may be smaller than others, so its place in the order decides which number that
+    is. A source with a target has a slot at least. shards_slots: the slots of all sources.
+    """
+    blocks = F.ceil(F.col("source_size") / block_words).cast("bigint")
+    ends = targets.where("target > 0").withColumn("blocks", blocks)
+    last = order.select("rank", F.col("block").alias("last_block"), F.col("index").alias("last_index"))
+    met = ends.join(last.hint("merge"), (ends.rank == last.rank) & (F.col("last_block") == F.col("blocks") - 1)).drop(last.rank)
+    short = F.col("blocks") * block_words - F.col("source_size")
+    turns = F.floor(F.col("target") / F.col("source_size"))
+    rest = F.col("target") - turns * F.col("source_size")
+    # without the last block among those of the last turn, and with it
+    fewer, more = F.round(rest / block_words), F.round((rest + short) / block_words)
+    partly = F.when(fewer <= F.col("last_index"), fewer).otherwise(F.greatest(F.col("last_index") + 1, more))
+    slots = F.least(F.greatest(turns * F.col("blocks") + partly, F.lit(1)), F.floor(F.lit(LIMIT) * F.col("blocks"))).cast("bigint")
+    return met.select("rank", "blocks", slots.alias("slots")).withColumn("shards_slots", F.sum("slots").over(Window.partitionBy()))
+
+
+def drawn_slots(slots: DataFrame, order: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
     """Rows (rank, block, shard, slot): the blocks that the mix takes and where it puts them.
 
-    Every source has target / block_words slots, which takes its last block as full. With mean_blocks the target is divided by
-    the mean size of the source's blocks instead, and a source with a target has a slot at least. One pseudorandom permutation deals the slots of all sources out over the
-    shards, so the counts of a shard are a multinomial draw, under the condition that all shards together hold each source's
-    slots exactly. The n-th slot of a source takes its n-th block under another permutation, drawn anew each time the source
-    is through, so no block is taken more than once more often than another.
+    Every slot of a source draws its output shard, all shards being equally likely, so the counts of a source in the shards are a
+    multinomial draw of its slots, and a shard's counts of sources one under the condition that each source's slots come out
+    exactly. There are as many shards as make `shard_slots` slots each on average. The n-th slot of a source, counted modulo its blocks, takes the
+    block with that index in the source's own order. Slots stand in their shard by another hash.
+    slots: rows of source_slots; order: rows of permuted_blocks.
     """
-    whole = Window.partitionBy()
-    before = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    slots = F.round(F.col("target") / block_words)
-    if mean_blocks:
-        slots = F.when(F.col("target") > 0, F.greatest(F.lit(1.0), F.round(F.col("target") * F.col("blocks") / F.col("source_size")))).otherwise(0.0)
-    counted = (
-        targets.withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("bigint"))
-        .withColumn("slots", F.least(slots, F.floor(F.lit(LIMIT) * F.col("blocks"))).cast("bigint"))
-        .withColumn("base", F.coalesce(F.sum("slots").over(before), F.lit(0)))
-        .withColumn("all_slots", F.sum("slots").over(whole))
-        .where("slots > 0")
-    )
-    chunks = counted.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (slots - 1) div {shard_slots})")))
-    draws = (
-        chunks.repartition("rank", "chunk")
-        .withColumn("draw", F.explode(F.expr(f"sequence(chunk * {shard_slots}, least(slots, (chunk + 1) * {shard_slots}) - 1)")))
-    )
-    slot = _permuted(F.col("base") + F.col("draw"), F.lit(17), F.col("all_slots"))
-    block = _permuted(F.expr("draw % blocks"), F.expr("draw div blocks") + F.col("rank"), F.col("blocks"))
-    return draws.select("rank", block.alias("block"), slot.alias("at")).select(
-        "rank", "block", F.expr(f"at div {shard_slots}").alias("shard"), F.expr(f"at % {shard_slots}").alias("slot")
+    outer, inner = _numbers(SHARD_SLOTS, "slots")
+    draws = slots.withColumn("chunk", outer).repartition("rank", "chunk").withColumn("draw", inner)
+    shards = F.ceil(F.col("shards_slots") / shard_slots).cast("bigint")
+    drawn = draws.select("rank", "draw", F.expr("draw % blocks").alias("index"), (_hashed(F.lit(seed), F.lit("shard"), F.col("rank"), F.col("draw")) % shards).alias("shard"))
+    place = Window.partitionBy("shard").orderBy(_hashed(F.lit(seed), F.lit("slot"), F.col("rank"), F.col("draw")), "rank", "draw")
+    return (
+        drawn.withColumn("slot", F.row_number().over(place) - 1)
+        # the slots come out of one row for each source, so their estimated size would make them a broadcast at any scale
+        .hint("merge").join(order.hint("merge"), ["rank", "index"])
+        .select("rank", "block", "shard", "slot")
     )
 
 
+def shard_counts(drawn: DataFrame) -> DataFrame:
+    """Rows (shard, rank, slots): the multinomial counts of the sources in every output shard."""
+    return drawn.groupBy("shard", "rank").agg(F.count("*").alias("slots"))
+
+
 def sized_documents(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Written rows (rank, doc_id, size) and (rank, source, source_size, target)."""
     counted = scratch.keep(
@@ -127,48 +162,56 @@ def sized_documents(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
     return counted, scratch.keep(source_targets(counted))
 
 
-def mixed_sources(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Rows (doc_id, size, source_size, target, taken), one for each row of docs.
+def _drawn_blocks(targets: DataFrame, scratch: Scratch, block_words: int, shard_slots: int, seed: int) -> DataFrame:
+    """Rows (rank, block, times, first_shard) of the blocks that were drawn."""
+    order = scratch.keep(permuted_blocks(targets, block_words, seed))
+    slots = scratch.keep(source_slots(targets, order, block_words))
+    drawn = drawn_slots(slots, order, shard_slots, seed)
+    return drawn.groupBy("rank", "block").agg(F.count("*").alias("times"), F.min("shard").alias("first_shard"))
+
+
+def mixed_sources(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """Rows (doc_id, size, source_size, target, taken, first_shard), one for each row of docs.
 
     docs: columns doc_id, text, source; others are not read. size counts words, null text has none and is never taken. Sources
     by code point, a null source last, weigh 5, 2, 1 and so on; targets share all words and stop at three times the source's
-    size. taken counts the document's words in the blocks that were drawn, repeats included. Repeated rows are documents of
-    their own. An empty table gives no rows. A source must have fewer than 2^31 blocks.
+    size. taken counts the document's words in the blocks that were drawn, repeats included; first_shard is the first output
+    shard that has some of them, null if none has. Repeated rows are documents of
+    their own. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     counted, targets = sized_documents(docs, scratch)
     sized = scratch.keep(counted.join(targets, counted.source.eqNullSafe(targets.source)).select("rank", "doc_id", "size"))
-    # the slots come out of one row for each source, so their estimated size would make them a broadcast at any scale
-    drawn = drawn_slots(targets, block_words).groupBy("rank", "block").agg(F.count("*").alias("times"))
+    drawn = _drawn_blocks(targets, scratch, block_words, shard_slots, seed)
     taken = (
         packed_blocks(sized, block_words)
         .join(drawn.hint("merge"), ["rank", "block"], "left")
         .groupBy("rank", "start", "doc_id", "size")
-        .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
+        .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"), F.min("first_shard").alias("first_shard"))
     )
-    empty = sized.where("size = 0").select("rank", F.lit(-1).cast("bigint").alias("start"), "doc_id", "size", F.lit(0).cast("bigint").alias("taken"))
+    empty = sized.where("size = 0").select("rank", F.lit(-1).cast("bigint").alias("start"), "doc_id", "size", F.lit(0).cast("bigint").alias("taken"), F.lit(None).cast("bigint").alias("first_shard"))
     return (
-        taken.select("rank", "start", "doc_id", "size", "taken")
+        taken.select("rank", "start", "doc_id", "size", "taken", "first_shard")
         .union(empty)
         .join(targets, "rank")
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .select("doc_id", "size", "source_size", "target", "taken", "first_shard")
     )
 
 
-def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, mean_blocks: bool = False) -> DataFrame:
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """The mix itself: documents with the columns of docs, each as often as its blocks were drawn at most.
 
     docs: columns doc_id, text, source, n_chars and any others. The k-th copy of a document has the words of those of its
     blocks that were drawn k times or more, joined by spaces; a copy that has all words is the unchanged text. n_chars follows
-    the text. Documents without words and those whose blocks were never drawn don't come out. mean_blocks: see drawn_slots.
+    the text. Documents without words and those whose blocks were never drawn don't come out, so null and empty texts don't;
+    repeated rows are documents of their own. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "mixture")
     rows = scratch.keep(docs.withColumn("mix_row", F.monotonically_increasing_id()))
     counted = scratch.keep(rows.select("mix_row", "source", F.regexp_count("text", F.lit(WORD)).cast("bigint").alias("size")).where("size > 0"))
     targets = scratch.keep(source_targets(counted))
     sized = counted.join(targets, counted.source.eqNullSafe(targets.source)).select("rank", F.col("mix_row").alias("doc_id"), "size")
-    # the slots come out of one row for each source, so their estimated size would make them a broadcast at any scale
-    drawn = drawn_slots(targets, block_words, mean_blocks=mean_blocks).groupBy("rank", "block").agg(F.count("*").cast("int").alias("times"))
+    drawn = _drawn_blocks(targets, scratch, block_words, SHARD_SLOTS, seed).select("rank", "block", F.col("times").cast("int").alias("times"))
     first = F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0)).cast("int").alias("first")
     taken = (
         packed_blocks(sized, block_words)

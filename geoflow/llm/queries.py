@@ -118,7 +118,6 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BLOCK = mixing.BLOCK_WORDS
-_PRIME = mixing.PRIME
 
 
 @query(
@@ -142,9 +141,25 @@ with recursive docs as (
     from rounds
   ) where turn <= 40
 ), targets as (
-  select rank, source, source_size, target, greatest((source_size + {_BLOCK - 1}) // {_BLOCK}, 1) as blocks,
-    least(round(target / {_BLOCK})::bigint, 3 * ((source_size + {_BLOCK - 1}) // {_BLOCK})) as slots
-  from rounds where turn = 40
+  select rank, source, source_size, target, (source_size + {_BLOCK - 1}) // {_BLOCK} as blocks from rounds where turn = 40
+), blocks as (
+  select rank, blocks, unnest(range(0, blocks)) as block from targets
+), ordered as (
+  select rank, blocks, block, row_number() over (
+    partition by rank order by ('0x' || substr(md5('{mixing.SEED}:' || rank || ':' || block), 1, 8))::bigint, block) - 1 as index from blocks
+), ends as (
+  select t.*, o.index as last_index, floor(target / source_size) as turns from targets t join ordered o on o.rank = t.rank and o.block = t.blocks - 1 where target > 0
+), choices as (
+  select *, round((target - turns * source_size) / {_BLOCK}) as fewer, round((target - turns * source_size + blocks * {_BLOCK} - source_size) / {_BLOCK}) as more from ends
+), slots as (
+  select rank, blocks, least(greatest(turns * blocks + case when fewer <= last_index then fewer else greatest(last_index + 1, more) end, 1), 3 * blocks)::bigint as slots
+  from choices
+), draws as (
+  select rank, blocks, unnest(range(0, slots)) as draw from slots
+), drawn as (
+  select rank, draw % blocks as index, count(*) as times, min(('0x' || substr(md5('{mixing.SEED}:shard:' || rank || ':' || draw), 1, 8))::bigint
+    % (select ceil(sum(slots) / {mixing.SHARD_SLOTS})::bigint from slots)) as first_shard
+  from draws group by all
 ), placed as (
   select rank, doc_id, size, sum(size) over (
     partition by rank order by ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 8))::bigint % {mixing.GROUPS}, doc_id nulls last, size
@@ -152,16 +167,12 @@ with recursive docs as (
   from docs join targets on docs.source is not distinct from targets.source
 ), parts as (
   select rank, doc_id, size, start, unnest(range(start // {_BLOCK}, (start + size - 1) // {_BLOCK} + 1))::bigint as block from placed where size > 0
-), draws as (
-  select rank, blocks, unnest(range(0, slots)) as draw from targets
-), drawn as (
-  select rank, ((({_PRIME}::bigint % blocks) * (draw % blocks) + (draw // blocks + rank) * 40503) % blocks)::bigint as block, count(*) as times
-  from draws group by 1, 2
 ), taken as (
-  select rank, doc_id, start, sum((least(start + size, (block + 1) * {_BLOCK}) - greatest(start, block * {_BLOCK})) * coalesce(times, 0))::bigint as taken
-  from parts left join drawn using (rank, block) group by all
+  select rank, doc_id, start, sum((least(start + size, (block + 1) * {_BLOCK}) - greatest(start, block * {_BLOCK})) * coalesce(times, 0))::bigint as taken,
+    min(first_shard) as first_shard
+  from parts join ordered using (rank, block) left join drawn using (rank, index) group by all
 )
-select p.doc_id, p.size::bigint as size, t.source_size, t.target, coalesce(k.taken, 0)::bigint as taken
+select p.doc_id, p.size::bigint as size, t.source_size, t.target, coalesce(k.taken, 0)::bigint as taken, k.first_shard
 from placed p join targets t on p.rank = t.rank
 left join taken k on k.rank = p.rank and k.doc_id = p.doc_id and k.start = p.start and p.size > 0
 """,
