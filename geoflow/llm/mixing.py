@@ -99,7 +99,9 @@ def permuted_blocks(targets: DataFrame, block_words: int = BLOCK_WORDS, seed: in
     keyed = blocks.select("rank", "block", _hashed(F.lit(seed), F.col("rank"), F.col("block")).alias("key")).withColumn("grp", F.expr(f"key div {(1 << 32) // GROUPS}"))
     before = keyed.groupBy("rank", "grp").agg(F.count("*").alias("n")).withColumn("base", _sum_before("n", "rank", order="grp"))
     within = F.row_number().over(Window.partitionBy("rank", "grp").orderBy("key", "block"))
-    return keyed.withColumn("inner", within).join(before.select("rank", "grp", "base"), ["rank", "grp"]).select("rank", "block", (F.col("base") + F.col("inner") - 1).alias("index"))
+    # the blocks come out of one row for each source; see drawn_slots
+    placed = keyed.withColumn("inner", within).hint("merge").join(before.select("rank", "grp", "base").hint("merge"), ["rank", "grp"])
+    return placed.select("rank", "block", (F.col("base") + F.col("inner") - 1).alias("index"))
 
 
 def source_slots(targets: DataFrame, order: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
