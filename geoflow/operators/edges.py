@@ -18,10 +18,10 @@ from ..functions import measures as M
 from ..functions import predicates as P
 from ..functions.crs import is_geographic, reproject
 from ..functions.layer import GEOM, describe, is_point_layer, replace_geom, srid_of
-from ..functions.sql import each, let, num, struct, total
+from ..functions.sql import case, each, let, num, struct, total
 from .edit import CIRCLE_SIDES, circle
 from .gridjoin import box_pairs, spread
-from .lineage import cut_lineage
+from .lineage import ROW, Rounds, cut_lineage, number_rows
 from .spatial import spatial_relate, tolerant
 from .stitch import stitch_rows
 
@@ -62,36 +62,23 @@ def _segment(prefix: str = "") -> str:
 def cut_segments(left: DataFrame, right: DataFrame, key: list[str], apart: str = "true", by: list[str] | None = None) -> DataFrame:
     """Pieces of the left segments, cut where they meet right segments.
 
-    ``key`` identifies a left segment; ``apart`` is a condition on ``key`` columns prefixed ``l_``
+    ``key`` identifies a left segment and has no nulls; ``apart`` is a condition on columns prefixed ``l_``
     and ``r_`` that a pair must satisfy; ``by`` are columns on which both sides must agree.  Returns
-    the left columns with ``piece`` numbers and the ends of the pieces.
+    the left columns with ``piece`` numbers and the ends of the pieces.  Segments that meet none are not sorted.
     """
-    by = by or []
-    lhs = left.select(
-        *[F.col(c).alias(f"l_{c}") for c in left.columns if c not in by],
-        *by,
-        F.xxhash64(*by, *key).alias("_lid"),
-    )
-    rhs = right.select(
-        *[F.col(c).alias(f"r_{c}") for c in right.columns if c not in by],
-        *by,
-        F.xxhash64(*right.columns).alias("_rid"),
-    )
-    meets = let(_segment("l_"), lambda s: P.meeting_params(s, f"array({_segment('r_')})"))
-    pairs = box_pairs(lhs, rhs, "_lid", "_rid", segment_box("l_"), segment_box("r_"), by=by, test=apart, fine=0)
-    hits = pairs.select(
-        *[F.col(c if c in by else f"l_{c}").alias(c) for c in left.columns], F.expr(f"explode({meets})").alias("t")
-    )
-    ends = left.select("*", F.expr("explode(array(0.0D, 1.0D))").alias("t"))
+    hits = meetings(left, right, key, apart, by)
     # a window sorts and spills, where a list of the positions of one long segment might not fit
     stops = Window.partitionBy(*key).orderBy("t")
-    pieces = (
-        hits.unionByName(ends)
-        .withColumn("u", F.lead("t").over(stops))
-        .withColumn("piece", F.row_number().over(stops))
+    inner = (
+        hits.withColumn("_before", F.lag("t", 1, 0.0).over(stops))
         # positions closer than the tolerance are one position
-        .where(f"(u - t) * {P.norm('x2 - x1', 'y2 - y1')} > {P.tolerance('x1', 'y1')}")
+        .where(f"(t - _before) * {_LENGTH} > {_TOLERANCE} and (1 - t) * {_LENGTH} > {_TOLERANCE}")
+        .drop("_before")
     )
+    inner = inner.withColumn("u", F.lead("t", 1, 1.0).over(stops)).withColumn("piece", F.row_number().over(stops) + 1)
+    firsts = inner.groupBy(*key).agg(F.min("t").alias("u"))
+    whole = left.join(firsts, key, "left").withColumn("t", F.lit(0.0)).withColumn("u", F.coalesce("u", F.lit(1.0))).withColumn("piece", F.lit(1))
+    pieces = whole.where(f"{_LENGTH} > {_TOLERANCE}").unionByName(inner)
 
     def at(t: str, a: str, b: str) -> Column:
         return F.expr(f"if({t} = 1, {b}, {a} + {t} * ({b} - {a}))")
@@ -106,6 +93,30 @@ def cut_segments(left: DataFrame, right: DataFrame, key: list[str], apart: str =
     )
 
 
+_LENGTH = P.norm("x2 - x1", "y2 - y1")
+_TOLERANCE = P.tolerance("x1", "y1")
+
+
+def meetings(left: DataFrame, right: DataFrame, key: list[str], apart: str = "true", by: list[str] | None = None) -> DataFrame:
+    """The left segments once for every position ``t`` in [0, 1] where they meet a right one; see :func:`cut_segments`."""
+    by = by or []
+    lhs = left.select(
+        *[F.col(c).alias(f"l_{c}") for c in left.columns if c not in by],
+        *by,
+        F.xxhash64(*by, *key).alias("_lid"),
+    )
+    rhs = right.select(
+        *[F.col(c).alias(f"r_{c}") for c in right.columns if c not in by],
+        *by,
+        F.xxhash64(*right.columns).alias("_rid"),
+    )
+    meets = let(_segment("l_"), lambda s: P.meeting_params(s, f"array({_segment('r_')})"))
+    pairs = box_pairs(lhs, rhs, "_lid", "_rid", segment_box("l_"), segment_box("r_"), by=by, test=apart, fine=0)
+    return pairs.select(
+        *[F.col(c if c in by else f"l_{c}").alias(c) for c in left.columns], F.expr(f"explode({meets})").alias("t")
+    )
+
+
 def snapped(edges: DataFrame, step: float) -> DataFrame:
     """Round the ends of the pieces to the vertex grid and drop pieces that vanish."""
     return edges.withColumns(
@@ -113,24 +124,32 @@ def snapped(edges: DataFrame, step: float) -> DataFrame:
     ).where("x1 != x2 or y1 != y2")
 
 
-def cancel_opposites(edges: DataFrame, group: list[str]) -> DataFrame:
-    """One copy of each directed edge, and none where both directions occur (combined before the shuffle)."""
+#: The ends of an edge, the smaller one first.
+_LOW = ["ax", "ay", "bx", "by"]
+
+
+def _sides(edges: DataFrame, group: list[str], at: str | None = None) -> DataFrame:
+    """Every undirected edge once, with the directions it occurs in: 1 from the smaller end, 2 to it, 3 both.
+
+    ``at`` is a column with the ends before rounding, of which one occurrence is kept, from the smaller end on.
+    """
     forward = "(x1 < x2 or (x1 = x2 and y1 < y2))"
     low = {
         "ax": f"if({forward}, x1, x2)", "ay": f"if({forward}, y1, y2)",
         "bx": f"if({forward}, x2, x1)", "by": f"if({forward}, y2, y1)",
     }
+    turned = f"if({forward}, {at}, {G.segment(*(f'{at}.{n}' for n in ('x2', 'y2', 'x1', 'y1')))})"
     sides = edges.select(
-        *group, *[F.expr(e).alias(n) for n, e in low.items()], F.expr(f"if({forward}, 1, 2)").alias("way")
+        *group, *[F.expr(e).alias(n) for n, e in low.items()], F.expr(f"if({forward}, 1, 2)").alias("way"), *([F.expr(turned).alias(at)] if at else [])
     )
-    return (
-        sides.groupBy(*group, *low)
-        .agg(F.bit_or("way").alias("way"))
-        .where("way < 3")
-        .selectExpr(
-            *[f"`{g}`" for g in group],
-            "if(way = 1, ax, bx) x1", "if(way = 1, ay, by) y1", "if(way = 1, bx, ax) x2", "if(way = 1, by, ay) y2",
-        )
+    return sides.groupBy(*group, *low).agg(F.bit_or("way").alias("way"), *([F.min(at).alias(at)] if at else []))
+
+
+def cancel_opposites(edges: DataFrame, group: list[str]) -> DataFrame:
+    """One copy of each directed edge, and none where both directions occur (combined before the shuffle)."""
+    return _sides(edges, group).where("way < 3").selectExpr(
+        *[f"`{g}`" for g in group],
+        "if(way = 1, ax, bx) x1", "if(way = 1, ay, by) y1", "if(way = 1, bx, ax) x2", "if(way = 1, by, ay) y2",
     )
 
 
@@ -149,21 +168,19 @@ def edge_measures(edges: DataFrame, group: list[str], step: float) -> DataFrame:
 
 
 def _successors(edges: DataFrame, group: list[str]) -> DataFrame:
-    """Add ``nxt``, the edge that follows: at a vertex with several ways on, the leftmost turn.
+    """The number of the edge that follows each numbered edge: at a vertex with several ways on, the leftmost turn.
 
     Arrivals and departures of a vertex are sorted by angle; an arrival continues with the next
     departure clockwise from where it came.
     """
-    ident = F.struct(*_XY)
+    none = F.lit(None).cast("bigint")
     arrivals = edges.select(
         *group, F.col("x2").alias("vx"), F.col("y2").alias("vy"),
-        F.expr("atan2(double(y1 - y2), double(x1 - x2))").alias("angle"),
-        ident.alias("came"), F.lit(None).cast(edges.select(ident.alias("e")).schema["e"].dataType).alias("goes"),
+        F.expr("atan2(double(y1 - y2), double(x1 - x2))").alias("angle"), F.col(ROW).alias("came"), none.alias("goes"),
     )
     departures = edges.select(
         *group, F.col("x1").alias("vx"), F.col("y1").alias("vy"),
-        F.expr("atan2(double(y2 - y1), double(x2 - x1))").alias("angle"),
-        F.lit(None).cast(edges.select(ident.alias("e")).schema["e"].dataType).alias("came"), ident.alias("goes"),
+        F.expr("atan2(double(y2 - y1), double(x2 - x1))").alias("angle"), none.alias("came"), F.col(ROW).alias("goes"),
     )
     vertex = Window.partitionBy(*group, "vx", "vy").orderBy(F.desc("angle"), F.col("came").isNull())
     later = vertex.rowsBetween(1, Window.unboundedFollowing)
@@ -175,31 +192,25 @@ def _successors(edges: DataFrame, group: list[str]) -> DataFrame:
             F.coalesce(F.first("goes", ignorenulls=True).over(later), F.first("goes", ignorenulls=True).over(first)),
         )
         .where("came is not null and nxt is not null")
-        .select(*group, F.col("came").alias("id"), "nxt")
+        .select(F.col("came").alias("id"), "nxt")
     )
 
 
 def stitch_rings(edges: DataFrame, group: list[str]) -> DataFrame:
     """Closed rings of directed boundary edges: ``group..., ring_id, ring`` with an array of grid vertices.
 
-    ``ring_id`` is the smallest edge of the ring, unique within the group.
-
-    Every edge learns the smallest edge of its ring and its distance to it by pointer doubling, in
-    as many rounds as the longest ring has doublings; a ring is only collected as its own value.
+    Every edge has a number and learns the smallest number of its ring and its distance to it by pointer doubling, in
+    as many rounds as the longest ring has doublings; only numbers travel, and a ring is only collected as its own value.
+    ``ring_id`` is that smallest number.
     """
-    links = _successors(edges, group).select(
-        *group, "id", "nxt", F.col("id").alias("lead"), F.lit(0).cast("bigint").alias("off")
-    )
+    edges = number_rows(edges)
+    links = _successors(edges, group).select("id", "nxt", F.col("id").alias("lead"), F.lit(0).cast("bigint").alias("off"))
+
     def jump(state: DataFrame, span: int) -> DataFrame:
         """Every edge takes over what the edge ``span`` further on knows."""
-        ahead = state.select(
-            *[F.col(g).alias(f"_{g}") for g in group], F.col("id").alias("_id"), F.col("nxt").alias("_nxt"),
-            F.col("lead").alias("_lead"), F.col("off").alias("_off"),
-        )
-        on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group] + [F.col("nxt") == F.col("_id")]
+        ahead = state.select(F.col("id").alias("_id"), F.col("nxt").alias("_nxt"), F.col("lead").alias("_lead"), F.col("off").alias("_off"))
         nearer = F.col("_lead") < F.col("lead")
-        return state.join(ahead, on).select(
-            *group,
+        return state.join(ahead, F.col("nxt") == F.col("_id")).select(
             "id",
             F.col("_nxt").alias("nxt"),
             F.when(nearer, F.col("_lead")).otherwise(F.col("lead")).alias("lead"),
@@ -207,22 +218,23 @@ def stitch_rings(edges: DataFrame, group: list[str]) -> DataFrame:
             nearer.alias("moved"),
         )
 
-    state = cut_lineage(links)
+    rounds = Rounds(edges.sparkSession, "stitch")
+    state = rounds.keep(links)
     span = 1
     while True:
         # two jumps per written round; rings shorter than the span learn nothing new in the second
-        state = cut_lineage(jump(jump(state, span).drop("moved"), 2 * span))
+        state = rounds.keep(jump(jump(state, span).drop("moved"), 2 * span))
         span *= 4
         if state.where("moved").isEmpty():
             break
         state = state.drop("moved")
     corner = F.struct(
         F.when(F.col("off") == 0, F.lit(-(2**62))).otherwise(-F.col("off")).alias("k"),
-        F.col("id.x1").alias("x"),
-        F.col("id.y1").alias("y"),
+        F.col("x1").alias("x"),
+        F.col("y1").alias("y"),
     )
     return (
-        state.groupBy(*group, "lead")
+        state.join(edges.select(*group, ROW, "x1", "y1"), F.col("id") == F.col(ROW)).groupBy(*group, "lead")
         .agg(F.array_sort(F.collect_list(corner)).alias("c"))
         .selectExpr(
             *[f"`{g}`" for g in group],
@@ -268,44 +280,58 @@ def assemble(rings: DataFrame, group: list[str], step: float, geom: str = GEOM,
 # --- dissolve ------------------------------------------------------------------------------
 
 
-def union_edges(df: DataFrame, by: list[str], id_: str, geom: str = GEOM, areas: str | None = None) -> DataFrame:
-    """Boundary edges (vertex grid units) of the union of the areas of each group; ``areas`` tells which rows have one."""
+def union_edges(df: DataFrame, by: list[str], geom: str = GEOM, areas: str | None = None) -> DataFrame:
+    """Boundary edges (vertex grid units) of the union of the areas of each group; ``areas`` tells which rows have one.
+
+    An edge that two areas of a group have in opposite directions is covered on both sides and goes first,
+    combined before the shuffle; only what is left is cut and located.
+    """
     step = snap_step(srid_of(df, geom))
-    areas = spread(df.where(areas or f"{G.family(geom)} = 2").select(*by, F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
-    segs = explode_segments(areas, [*[F.col(b) for b in by], F.col("fid")], "_g")
-    key = ["fid", "seg"]
-    # the pieces are needed several times below
-    pieces = cut_lineage(cut_segments(segs, segs, [*by, *key], apart="l_fid != r_fid", by=by))
+    rows = number_rows(df.where(areas or f"{G.family(geom)} = 2").select(*by, F.col(geom).alias("_g")))
+    spread_rows = spread(rows, ROW)
+    raw = explode_segments(spread_rows, [F.col(b) for b in by], "_g")
+    # the grid tells which edges are the same; they are cut where they were, as the grid may put one place into two cells
+    found = snapped(raw.withColumn("_at", F.struct(*_XY)), step)
+    sides = _sides(found, by, at="_at")
+    # the remaining edges meet all edges, also those that went: an edge ends where it enters an area
+    sides = number_rows(sides)
+    everything = sides.select(*by, ROW, *_LOW, *[F.col(f"_at.{n}").alias(n) for n in _XY])
+    left = everything.join(sides.where("way < 3").select(ROW, "way"), ROW)
+    turn = "((double(l_bx) - l_ax) * (double(r_by) - r_ay) - (double(l_by) - l_ay) * (double(r_bx) - r_ax))"
+    along = "((double(l_bx) - l_ax) * (double(r_bx) - r_ax) + (double(l_by) - l_ay) * (double(r_by) - r_ay))"
+    longer = "greatest(hypot(double(l_bx) - l_ax, double(l_by) - l_ay), hypot(double(r_bx) - r_ax, double(r_by) - r_ay))"
+    alike = "(l_ax = r_ax and l_ay = r_ay or l_bx = r_bx and l_by = r_by)"
+    unlike = "(l_ax = r_bx and l_ay = r_by or l_bx = r_ax and l_by = r_ay)"
+    # edges with a common end meet nowhere else if they go apart from there, or if each leaves the other by some grid steps
+    bent = f"abs({turn}) > 4 * {longer}"
+    apart = f"l_{ROW} != r_{ROW} and not ({alike} and ({along} < 0 or {bent}) or {unlike} and ({along} > 0 or {bent}))"
+    pieces = cut_lineage(cut_segments(left, everything, [ROW], apart, by).drop(*_LOW))
     middle = G.xy("(x1 + x2) / 2", "(y1 + y2) / 2")
-    probes = pieces.select(
-        *by, F.col("fid").alias("l_fid"), F.col("seg").alias("l_seg"), F.col("piece").alias("l_piece"),
-        F.xxhash64(*by, "fid", "seg", "piece").alias("_lid"), F.expr(middle).alias("p"),
-    )
-    others = areas.select(*by, F.col("fid").alias("_rid"), "_g")
-    covered = f"l_fid != _rid and {let(G.segments('_g'), lambda s: P.locate_in_area('p', s))} = 'I'"
+    probes = pieces.select(*by, F.col(ROW).alias("l_row"), F.col("piece").alias("l_piece"), F.xxhash64(ROW, "piece").alias("_lid"), F.expr(middle).alias("p"))
+    others = spread_rows.select(*by, F.col(ROW).alias("_rid"), "_g")
+    covered = f"{let(G.segments('_g'), lambda s: P.locate_in_area('p', s))} = 'I'"
     hidden = box_pairs(
         probes, others, "_lid", "_rid", struct(xmin="p.x", ymin="p.y", xmax="p.x", ymax="p.y"),
         tolerant(G.bbox("_g")), left_points=True, by=by, test=covered,
-    ).select(
-        *[F.col(b).alias(f"_b{i}") for i, b in enumerate(by)],
-        F.col("l_fid").alias("_f"), F.col("l_seg").alias("_s"), F.col("l_piece").alias("_p"),
-    )
-    on = [F.col("fid") == F.col("_f"), F.col("seg") == F.col("_s"), F.col("piece") == F.col("_p")]
-    on += [F.col(b).eqNullSafe(F.col(f"_b{i}")) for i, b in enumerate(by)]
-    visible = pieces.join(hidden, on, "left_anti")
-    return cancel_opposites(snapped(visible, step), by)
+    ).select(F.col("l_row").alias("_f"), F.col("l_piece").alias("_p"))
+    visible = pieces.join(hidden, [F.col(ROW) == F.col("_f"), F.col("piece") == F.col("_p")], "left_anti")
+    turned = visible.select(*by, *[F.expr(f"if(way = 1, {a}, {b})").alias(a) for a, b in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))])
+    return cancel_opposites(snapped(turned, step), by)
 
 
 def dissolve(df: DataFrame, by: list[str], id_: str, geom: str = GEOM) -> DataFrame:
-    """Union of the areas of each group: one row per group and connected part.  Lines and points raise an error."""
+    """Union of the areas of each group: one row per group and connected part.  Lines and points raise an error.
+
+    Ids may be null or repeated, every row is an area of its own; a null group is a group.
+    """
     srid = srid_of(df, geom)
-    edges = cut_lineage(union_edges(df, by, id_, geom, G.only_family(geom, 2, "dissolve")))
+    edges = union_edges(df, by, geom, G.only_family(geom, 2, "dissolve"))
     return assemble(stitch_rings(edges, by), by, snap_step(srid), geom, srid)
 
 
 def dissolve_measures(df: DataFrame, by: list[str], id_: str, geom: str = GEOM) -> DataFrame:
     """Area and perimeter of the union of each group, without building its geometry."""
-    return edge_measures(union_edges(df, by, id_, geom, G.only_family(geom, 2, "dissolve")), by, snap_step(srid_of(df, geom)))
+    return edge_measures(union_edges(df, by, geom, G.only_family(geom, 2, "dissolve")), by, snap_step(srid_of(df, geom)))
 
 
 # --- overlay -------------------------------------------------------------------------------
@@ -395,42 +421,37 @@ def _stitched(edges: DataFrame, group: list[str], step: float, srid: int | None,
 # --- clip ----------------------------------------------------------------------------------
 
 
-def _clip_edges(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom: str = GEOM) -> DataFrame:
-    """Pieces of lines and areas with their ``port``; for areas both sides of the mask's edges as well."""
-    fam = G.family(geom)
-    feats = spread(
-        df.where(f"{fam} > 0").select(F.col(id_).alias("fid"), F.expr(fam).alias("fam"), F.expr(M.orient(geom)).alias("_g")), "fid"
-    )
-    masks = mask.where(f"{fam} = 2").select(F.col(mask_id).alias("mid"), F.expr(M.orient(geom)).alias("_m"))
-    segs = explode_segments(feats, [F.col("fid"), F.col("fam")], "_g")
-    mask_segs = explode_segments(masks, [F.col("mid")], "_m")
+def _clip_areas(rows: DataFrame, mask: DataFrame) -> DataFrame:
+    """Pieces of areas with their ``port``, and both sides of the mask's edges inside them; ``rows`` has ``_row, _g``."""
+    feats = spread(rows, ROW)
+    segs = explode_segments(feats, [F.col(ROW)], "_g")
+    mask_segs = explode_segments(mask, [F.col("mid")], "_m")
     # the pieces are needed several times below
-    pieces = cut_lineage(cut_segments(segs, mask_segs, ["fid", "seg"]))
+    pieces = cut_lineage(cut_segments(segs, mask_segs, [ROW, "seg"]))
 
     # which pieces lie inside the mask, or along it with the interior on the same side
     probes = pieces.select(
-        F.col("fid").alias("l_fid"), F.col("seg").alias("l_seg"), F.col("piece").alias("l_piece"), F.col("fam").alias("l_fam"),
-        F.xxhash64("fid", "seg", "piece").alias("_lid"),
+        F.col(ROW).alias("l_row"), F.col("seg").alias("l_seg"), F.col("piece").alias("l_piece"),
+        F.xxhash64(ROW, "seg", "piece").alias("_lid"),
         F.expr(G.xy("(x1 + x2) / 2", "(y1 + y2) / 2")).alias("p"), F.expr(_segment()).alias("s"),
     )
-    targets = masks.select(F.col("mid").alias("_rid"), "_m")
+    targets = mask.select(F.col("mid").alias("_rid"), "_m")
     code = let(G.segments("_m"), lambda segs_: P.piece_code("s", segs_, "2"))
-    within = let(code, lambda c: f"({c} in ('I', 'S') or ({c} = 'O' and l_fam = 1))")
     inside = (
         box_pairs(
             probes, targets, "_lid", "_rid", struct(xmin="p.x", ymin="p.y", xmax="p.x", ymax="p.y"),
-            tolerant(G.bbox("_m")), left_points=True, test=within,
+            tolerant(G.bbox("_m")), left_points=True, test=let(code, lambda c: f"{c} in ('I', 'S')"),
         )
-        .select(F.col("l_fid").alias("_f"), F.col("l_seg").alias("_s"), F.col("l_piece").alias("_p"))
+        .select(F.col("l_row").alias("_f"), F.col("l_seg").alias("_s"), F.col("l_piece").alias("_p"))
         .distinct()
     )
-    on = [F.col("fid") == F.col("_f"), F.col("seg") == F.col("_s"), F.col("piece") == F.col("_p")]
+    on = [F.col(ROW) == F.col("_f"), F.col("seg") == F.col("_s"), F.col("piece") == F.col("_p")]
     own = pieces.join(inside, on, "left").select(
-        "fid", "fam", F.when(F.col("_f").isNotNull(), "inside").otherwise("outside").alias("port"), *_XY
+        ROW, F.when(F.col("_f").isNotNull(), "inside").otherwise("outside").alias("port"), *_XY
     )
 
     # the mask's edges inside an area bound it on both sides
-    area_side = feats.where("fam = 2").select(F.col("fid").alias("_lid"), "_g")
+    area_side = feats.select(F.col(ROW).alias("_lid"), "_g")
     mask_side = mask_segs.select(
         F.xxhash64("mid", "seg").alias("_rid"), *[F.col(c).alias(f"m_{c}") for c in _XY]
     )
@@ -443,48 +464,83 @@ def _clip_edges(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom: st
             lambda q: f"{q}.code = 'I'",
         ),
     )
-    bounds = pairs.select(F.col("_lid").alias("fid"), F.expr(f"inline({strictly})")).drop("code")
-    both = bounds.selectExpr("fid", "2 fam", "'inside' port", *_XY).unionByName(
-        bounds.selectExpr("fid", "2 fam", "'outside' port", "x2 x1", "y2 y1", "x1 x2", "y1 y2")
+    bounds = pairs.select(F.col("_lid").alias(ROW), F.expr(f"inline({strictly})")).drop("code")
+    both = bounds.selectExpr(ROW, "'inside' port", *_XY).unionByName(
+        bounds.selectExpr(ROW, "'outside' port", "x2 x1", "y2 y1", "x1 x2", "y1 y2")
     )
     return own.unionByName(both)
 
 
+def _clip_lines(rows: DataFrame, mask: DataFrame) -> DataFrame:
+    """Lines as ``_row, part, run, port, geom``: the stretches on one side of the mask, each as long as it can be."""
+    lines = line_parts(rows, "_g")
+    mask_segs = explode_segments(mask, [F.col("mid")], "_m").select("mid", "seg", *_XY)
+    stretches = cut_lineage(line_stretches(lines, mask_segs))
+    # no mask edge is met within a stretch, so one point tells where it lies
+    probes = stretches.join(lines, [ROW, "part"]).selectExpr(
+        f"{ROW} l_row", "part l_part", "piece l_piece", f"xxhash64({ROW}, part, piece) _lid", f"{_first_middle()} p"
+    )
+    targets = mask.select(F.col("mid").alias("_rid"), "_m")
+    code = let(G.segments("_m"), lambda segs_: P.locate_in_area("p", segs_))
+    inside = (
+        box_pairs(
+            probes, targets, "_lid", "_rid", struct(xmin="p.x", ymin="p.y", xmax="p.x", ymax="p.y"),
+            tolerant(G.bbox("_m")), left_points=True, test=f"{code} != 'E'",
+        )
+        .select(F.col("l_row").alias(ROW), F.col("l_part").alias("part"), F.col("l_piece").alias("piece"), F.lit("inside").alias("port"))
+        .distinct()
+    )
+    known = stretches.join(inside, [ROW, "part", "piece"], "left").withColumn("port", F.coalesce("port", F.lit("outside")))
+    # gaps and islands: a run goes on while the port stays the same
+    along = Window.partitionBy(ROW, "part").orderBy("piece")
+    turned = known.withColumn("_new", F.coalesce((F.lag("port").over(along) != F.col("port")).cast("int"), F.lit(1)))
+    numbered = turned.withColumn("run", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    place = lambda end: F.struct("piece", *[F.col(f"{end}{c}").alias(c) for c in ("seg", "t")])
+    runs = numbered.groupBy(ROW, "part", "run", "port").agg(F.min(place("from_")).alias("_a"), F.max(place("to_")).alias("_b"))
+    spans = runs.selectExpr(ROW, "part", "run", "port", "_a.seg from_seg", "_a.t from_t", "_b.seg to_seg", "_b.t to_t")
+    return spans.join(lines, [ROW, "part"]).selectExpr(ROW, "part", "cast(run as int) run", "port", f"{_stretch()} _shape")
+
+
+def _clip_sides(df: DataFrame, mask: DataFrame, geom: str) -> tuple[DataFrame, DataFrame]:
+    """The features with row numbers, and the areas of the mask."""
+    masks = mask.where(f"{G.family(geom)} = 2").select(F.monotonically_increasing_id().alias("mid"), F.expr(M.orient(geom)).alias("_m"))
+    return number_rows(df), cut_lineage(masks)
+
+
 def clip_measures(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom: str = GEOM) -> DataFrame:
     """Area (areas) and length (lines; perimeter of areas) of each feature inside and outside the mask.
 
+    One row for each feature and side; ids may be null or repeated.
     The mask features must not overlap each other (dissolve them first); common edges are fine.
     """
     step = snap_step(srid_of(df, geom))
-    pieces = cut_lineage(snapped(_clip_edges(df, mask, id_, mask_id, geom), step))
-    group = ["fid", "port"]
-    areas = edge_measures(cancel_opposites(pieces.where("fam = 2"), group), group, step).where("area > 0")
-    lines = pieces.where("fam = 1").groupBy(*group).agg(
-        F.lit(0.0).alias("area"), F.expr(f"sum(hypot(double(x2 - x1), double(y2 - y1))) * {num(step)}").alias("perimeter")
-    )
-    return areas.unionByName(lines).withColumnsRenamed({"fid": id_, "perimeter": "length"})
+    rows, masks = _clip_sides(df, mask, geom)
+    group = [ROW, "port"]
+    pieces = snapped(_clip_areas(rows.where(f"{G.family(geom)} = 2").select(ROW, F.expr(M.orient(geom)).alias("_g")), masks), step)
+    areas = edge_measures(cancel_opposites(pieces, group), group, step).where("area > 0")
+    lines = _clip_lines(rows.where(f"{G.family(geom)} = 1").select(ROW, F.col(geom).alias("_g")), masks)
+    lines = lines.groupBy(*group).agg(F.lit(0.0).alias("area"), F.expr(f"sum({M.length('_shape')})").alias("perimeter"))
+    return areas.unionByName(lines).join(rows.select(ROW, id_), ROW).select(id_, "port", "area", F.col("perimeter").alias("length"))
 
 
 def clip(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, geom: str = GEOM) -> DataFrame:
-    """Features split at the mask: rows ``id, port, geom`` with ``port`` ``inside`` or ``outside``.
+    """Features split at the mask: all columns and ``port`` ``inside`` or ``outside``.
 
-    Areas stay one geometry per side of the mask, lines become their straight pieces, points stay whole.
-    The mask features must not overlap each other (dissolve them first); common edges are fine.
+    Areas are one geometry for each side of the mask. Lines keep their vertices: one row for each stretch on
+    one side, along the mask's edge counting as inside. Points stay whole. Null geometries and lines without length are left out.
+    Ids may be null or repeated. The mask features must not overlap each other (dissolve them first); common edges are fine.
     """
     srid = srid_of(df, geom)
     step = snap_step(srid)
-    pieces = cut_lineage(_clip_edges(df, mask, id_, mask_id, geom))
-    group = ["fid", "port"]
-    areas = _stitched(cancel_opposites(snapped(pieces.where("fam = 2"), step), group), group, step, srid, geom)
-    lines = pieces.where("fam = 1").groupBy(*group).agg(
-        F.expr(f"collect_list(array(array({G.xy('x1', 'y1')}, {G.xy('x2', 'y2')})))").alias("_parts")
-    ).select(*group, F.expr(G.make_geom("'MultiLineString'", "_parts")).alias(geom))
-    points = clip_points(df.where(f"{G.family(geom)} = 0"), mask, id_, mask_id, geom=geom).select(
-        F.col(id_).alias("fid"), "port", geom
-    )
-    return describe(
-        areas.unionByName(lines).unionByName(points).withColumnRenamed("fid", id_), geom, srid=srid, kind=None
-    )
+    rows, masks = _clip_sides(df, mask, geom)
+    group = [ROW, "port"]
+    pieces = _clip_areas(rows.where(f"{G.family(geom)} = 2").select(ROW, F.expr(M.orient(geom)).alias("_g")), masks)
+    areas = _stitched(cancel_opposites(snapped(pieces, step), group), group, step, srid, "_shape")
+    lines = _clip_lines(rows.where(f"{G.family(geom)} = 1").select(ROW, F.col(geom).alias("_g")), masks).select(*group, "_shape")
+    attributes = [c for c in df.columns if c != geom]
+    cut = areas.unionByName(lines).join(rows.select(ROW, *attributes), ROW).select(*attributes, "port", F.col("_shape").alias(geom))
+    points = clip_points(df.where(f"{G.family(geom)} = 0"), mask, id_, mask_id, geom=geom).select(*attributes, "port", geom)
+    return describe(cut.unionByName(points), geom, srid=srid, kind=None)
 
 
 def clip_points(df: DataFrame, mask: DataFrame, id_: str, mask_id: str, **options: object) -> DataFrame:
@@ -516,6 +572,7 @@ def buffer(
 ) -> DataFrame:
     """Replace geometries by the area within a distance; circles are drawn with 64 corners.
 
+    Ids may be null or repeated. A line without length has a circle around its first vertex.
     ``unit`` ``m`` or ``km`` measures geographic layers in the plane of ``metric_srid``; without it
     the distance is in the units of the layer.
     """
@@ -535,26 +592,25 @@ def buffer(
 
     # every vertex of a point geometry, every edge of the others, and areas themselves
     spots = let(G.vertices(geom), lambda vs: each("transform", vs, lambda v: G.polygon(f"array({circle(f'{v}.x', f'{v}.y', radius)})")))
-    edges = each(
-        "transform",
+    edges = let(
         G.proper_segments(geom),
-        lambda s: G.polygon(f"array({_capsule(s, radius)})"),
+        lambda proper: f"if(size({proper}) = 0, slice({spots}, 1, 1), "
+        + each("transform", proper, lambda s: G.polygon(f"array({_capsule(s, radius)})")) + ")",
     )
     solids = each("transform", f"{geom}.parts", lambda part: G.make_geom("'Polygon'", f"array({part})"))
     pieces = f"case {G.family(geom)} when 0 then {spots} when 1 then {edges} else concat({edges}, {solids}) end"
-    covered = df.withColumn("_pieces", F.expr(pieces))
+    covered = number_rows(df.withColumn("_pieces", F.expr(pieces)))
     # one piece is the result; several pieces of a feature are united
     single = covered.withColumn(geom, F.expr("if(size(_pieces) = 1, _pieces[0], null)")).where(
         "_pieces is null or size(_pieces) <= 1"
     )
     several = covered.where("size(_pieces) > 1")
     parts = describe(
-        several.select(F.col(id_).alias("_owner"), F.expr("posexplode(_pieces)").alias("_piece", geom)), geom, srid=srid
+        several.select(F.col(ROW).alias("_owner"), F.expr("explode(_pieces)").alias(geom)), geom, srid=srid
     )
     step = snap_step(srid)
-    parts = describe(cut_lineage(parts), geom, srid=srid)
-    outlines = _stitched(union_edges(parts, ["_owner"], "_piece", geom), ["_owner"], step, srid, geom)
-    united = several.drop(geom).join(outlines, F.col(id_).eqNullSafe(F.col("_owner")), "left")
+    outlines = _stitched(union_edges(parts, ["_owner"], geom), ["_owner"], step, srid, geom)
+    united = several.drop(geom).join(outlines, F.col(ROW) == F.col("_owner"), "left")
     return describe(
         single.select(*df.columns).unionByName(united.select(*df.columns)), geom, srid=srid, kind=None
     )
@@ -563,16 +619,88 @@ def buffer(
 # --- lines ---------------------------------------------------------------------------------
 
 
-def split_lines(df: DataFrame, id_: str, geom: str = GEOM) -> DataFrame:
-    """Break lines where they meet other lines: rows ``id, seg, piece, geom``, one per straight piece.
+def line_parts(rows: DataFrame, geom: str) -> DataFrame:
+    """``_row, part, segs``: every part of the lines as the array of its edges that have a length."""
+    proper = each("filter", G.ring_segments("_p[0]"), lambda e: f"({e}.x1 != {e}.x2 or {e}.y1 != {e}.y2)")
+    return rows.select(ROW, F.expr(f"posexplode({geom}.parts)").alias("part", "_p")).selectExpr(ROW, "part", f"{proper} segs").where("size(segs) > 0")
 
-    Points and areas raise an error.  Edges of zero length have no piece.
+
+def _line_edges(lines: DataFrame) -> DataFrame:
+    """``_row, part, seg, last, closed, x1, y1, x2, y2``: the edges of the parts in their order."""
+    closed = "segs[0].x1 = segs[size(segs) - 1].x2 and segs[0].y1 = segs[size(segs) - 1].y2"
+    return lines.selectExpr(ROW, "part", "size(segs) - 1 last", f"{closed} closed", "posexplode(segs) as (seg, _e)").select("*", "_e.*").drop("_e")
+
+
+def line_stretches(lines: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """The parts cut where they meet the other segments: ``_row, part, piece, from_seg, from_t, to_seg, to_t``.
+
+    Without ``others`` they are cut where they meet each other and themselves; only neighbouring edges of a part, which share
+    a vertex, don't cut each other.  Places are an edge and a position in [0, 1) on it; the end of a part is the edge after the
+    last one.  Parts that meet nothing are not sorted, and no list of the places of a part is made.
     """
-    lines = spread(df.where(G.only_family(geom, 1, "split_lines")).select(F.col(id_).alias("fid"), F.col(geom).alias("_g")), "fid")
-    segs = explode_segments(lines, [F.col("fid")], "_g")
-    pieces = cut_segments(segs, segs, ["fid", "seg"], apart="l_fid != r_fid")
-    shape = G.line([G.xy("x1", "y1"), G.xy("x2", "y2")])
-    made = pieces.select(F.col("fid").alias(id_), "seg", "piece", F.expr(shape).alias(geom))
-    return describe(made, geom, srid=srid_of(df, geom))
+    edges = spread(_line_edges(lines), ROW, "part")
+    apart = "true"
+    if others is None:
+        others = edges
+        same = f"l_{ROW} = r_{ROW} and l_part = r_part"
+        apart = f"not ({same} and (abs(l_seg - r_seg) <= 1 or l_closed and abs(l_seg - r_seg) = l_last))"
+    key = [ROW, "part"]
+    hits = meetings(edges, others, [*key, "seg"], apart)
+    # a place at the end of an edge is the start of the next one
+    start, end = f"t * {_LENGTH} <= {_TOLERANCE}", f"(1 - t) * {_LENGTH} <= {_TOLERANCE}"
+    places = hits.selectExpr(*key, "last", f"if({end}, seg + 1, seg) seg", f"if({start} or {end}, 0.0D, t) t", f"{_LENGTH} len", f"{_TOLERANCE} tol")
+    inner = places.where("not (t = 0 and (seg = 0 or seg = last + 1))")
+    along = Window.partitionBy(*key).orderBy("seg", "t")
+    before = F.lag(F.struct("seg", "t")).over(along)
+    stops = (
+        inner.withColumn("_b", before)
+        # positions closer than the tolerance are one position
+        .where("_b is null or _b.seg != seg or (t - _b.t) * len > tol")
+        .select(*key, "last", "seg", "t")
+    )
+    following = F.lead(F.struct("seg", "t")).over(along)
+    rest = stops.withColumn("_n", following).withColumn("piece", F.row_number().over(along) + 1).selectExpr(
+        *key, "piece", "seg from_seg", "t from_t", "coalesce(_n.seg, last + 1) to_seg", "coalesce(_n.t, 0.0D) to_t"
+    )
+    firsts = stops.groupBy(*key).agg(F.min(F.struct("seg", "t")).alias("_n"))
+    first = lines.selectExpr(*key, "size(segs) - 1 last").join(firsts, key, "left").selectExpr(
+        *key, "1 piece", "0 from_seg", "0.0D from_t", "coalesce(_n.seg, last + 1) to_seg", "coalesce(_n.t, 0.0D) to_t"
+    )
+    return first.unionByName(rest)
+
+
+def _place(seg: str, t: str) -> str:
+    """The point at a position of an edge of ``segs``; the place after the last edge is its end."""
+    e = f"segs[least({seg}, size(segs) - 1)]"
+    return case(
+        (f"{seg} >= size(segs)", G.xy(f"{e}.x2", f"{e}.y2")), (f"{t} = 0", G.xy(f"{e}.x1", f"{e}.y1")),
+        default=G.xy(f"{e}.x1 + {t} * ({e}.x2 - {e}.x1)", f"{e}.y1 + {t} * ({e}.y2 - {e}.y1)"),
+    )
+
 
+def _stretch() -> str:
+    """Line between two places of ``segs``, with the vertices between them."""
+    between = each("transform", "slice(segs, from_seg + 1, greatest(0, to_seg - from_seg - if(to_t = 0, 1, 0)))", lambda e: G.xy(f"{e}.x2", f"{e}.y2"))
+    return G.line(f"concat(array({_place('from_seg', 'from_t')}), {between}, array({_place('to_seg', 'to_t')}))")
 
+
+def _first_middle() -> str:
+    """A point within the first straight bit between two places of ``segs``."""
+    a = _place("from_seg", "from_t")
+    b = f"if(to_seg = from_seg, {_place('to_seg', 'to_t')}, {G.xy('segs[from_seg].x2', 'segs[from_seg].y2')})"
+    return let(f"array({a}, {b})", lambda p: G.xy(f"({p}[0].x + {p}[1].x) / 2", f"({p}[0].y + {p}[1].y) / 2"))
+
+
+def split_lines(df: DataFrame, id_: str, geom: str = GEOM) -> DataFrame:
+    """Break lines where they meet other lines or themselves: all columns, ``part`` and ``piece`` of it, both from their start.
+
+    Pieces keep the vertices between two breaks; ids may be null or repeated.  Points and areas raise an error, null geometries are left out.  A
+    line without any length is one piece, unchanged, and breaks no other.
+    """
+    lines = number_rows(df.where(G.only_family(geom, 1, "split_lines")))
+    parts = line_parts(lines, geom)
+    shapes = line_stretches(parts).join(parts, [ROW, "part"]).selectExpr(ROW, "part", "piece", f"{_stretch()} _shape")
+    attributes = [c for c in df.columns if c != geom]
+    pieces = shapes.join(lines.select(ROW, *attributes), ROW).select(*attributes, "part", "piece", F.col("_shape").alias(geom))
+    short = lines.where(f"size({G.proper_segments(geom)}) = 0").select(*attributes, F.lit(0).alias("part"), F.lit(1).alias("piece"), geom)
+    return describe(pieces.unionByName(short), geom, srid=srid_of(df, geom), kind=None)

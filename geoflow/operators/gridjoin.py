@@ -7,8 +7,8 @@ cell size has to be chosen, and the candidates of a cell are within a constant f
 whose boxes intersect.  A pair that shares several cells is kept only in the cell that holds the
 lower left corner of the common box (Patel & DeWitt, SIGMOD 1996), so no distinct is needed.
 
-Cells that hold a large share of either side are salted: the rows are spread over several copies
-of the cell by a hash of their id and the other side is repeated for each copy.
+Which side is broadcast, if any, and how cells with a large share of a side are split, is left to
+adaptive execution, which knows the sizes of both sides after their cells were made.
 """
 
 from __future__ import annotations
@@ -20,13 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_LEVEL, MAX_LEVEL = -30, 40
-# A cell with more rows than this on one side is spread over several tasks ...
-HOT_ROWS = 100_000
-# ... if it is among this many fullest ones; no other cell then holds more than 1/HOT_CELLS of a side.
-HOT_CELLS = 1000
-MAX_COPIES = 1000
-# Cells are counted on one in this many ids.
-COUNT_ONE_IN = 64
 # Cells a feature may be listed under, at most, relative to its own row; used to size broadcasts.
 _FAN_OUT = 32
 
@@ -112,43 +105,9 @@ def _cells(df: DataFrame, side: str, meeting: str, points: bool) -> DataFrame:
     )
 
 
-def _hot_cells(cells: DataFrame, id_: str, copies: str) -> DataFrame:
-    """The fullest cells, ``HOT_CELLS`` at most, and the number of copies to spread them over.
-
-    Counted on a fixed share of the ids, as the counts only steer the balance.
-    """
-    some = cells.where(F.pmod(F.xxhash64(F.lit("hot"), id_), F.lit(COUNT_ONE_IN)) == 0)
-    counts = some.groupBy(*_CELL).agg((F.count(F.lit(1)) * COUNT_ONE_IN).alias("_n"))
-    fullest = counts.where(F.col("_n") > HOT_ROWS).orderBy(F.desc("_n")).limit(HOT_CELLS)
-    spread_over = F.least(F.ceil(F.col("_n") / HOT_ROWS), F.lit(MAX_COPIES))
-    return fullest.select(*_CELL, spread_over.cast("int").alias(copies))
-
-
-def _salted(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> tuple[DataFrame, DataFrame]:
-    hot_left, hot_right = _hot_cells(left, left_id, "_a"), _hot_cells(right, right_id, "_b")
-    # at most HOT_CELLS rows from each side
-    hot = F.broadcast(
-        hot_left.unionByName(hot_right, allowMissingColumns=True)
-        .groupBy(*_CELL)
-        .agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
-    )
-    a, b = F.coalesce("_a", F.lit(1)), F.coalesce("_b", F.lit(1))
-
-    def spread(cells: DataFrame, own: Column, other: Column, id_: str, i: str, j: str) -> DataFrame:
-        return (
-            cells.join(hot, _CELL, "left")
-            .withColumn(i, F.pmod(F.xxhash64(id_), own).cast("int"))
-            .withColumn(j, F.explode(F.sequence(F.lit(0), other - 1)))
-            .drop("_a", "_b")
-        )
-
-    return spread(left, a, b, left_id, "_i", "_j"), spread(right, b, a, right_id, "_j", "_i")
-
-
-def choose_strategy(left: DataFrame, right: DataFrame) -> str:
-    if is_small(right):
-        return "broadcast_right"
-    return "broadcast_left" if is_small(left) else "shuffle"
+def _guarded(cells: DataFrame, side: DataFrame) -> DataFrame:
+    """Keep the planner from broadcasting a side whose estimate is below the limit only as it ignores the cells."""
+    return cells.hint("merge") if not is_small(side) and is_small(side, fan_out=1) else cells
 
 
 def box_pairs(
@@ -171,10 +130,8 @@ def box_pairs(
     Boxes and ``test`` are SQL text; column names must differ between the sides, boxes must not be null and ``*_points`` promises boxes
     without extent.  ``by`` names columns of both sides that must be equal, nulls included; they are
     returned once.  ``test`` is checked after the boxes.  ``strategy`` is ``broadcast_left``,
-    ``broadcast_right`` or ``shuffle``; by default a side is broadcast when its estimated size,
-    cells included, is below the session's broadcast limit.
+    ``broadcast_right`` or ``shuffle``, for callers who know better than adaptive execution.
     """
-    strategy = strategy or choose_strategy(left, right)
     l_boxed = _with_box(left, left_box, "l", fine, left_points)
     r_boxed = _with_box(right, right_box, "r", fine, right_points)
     # the levels of the other side ride along as a column: they come from a scalar subquery
@@ -189,14 +146,15 @@ def box_pairs(
         transform(filter(_other, v -> v > _rlvl), v -> 2 * v + 1))"""
     l_cells = _cells(l_boxed, "l", l_meeting, left_points)
     r_cells = _cells(r_boxed, "r", r_meeting, right_points)
-    keys = list(_CELL)
+    keys = _CELL
     if strategy == "broadcast_right":
         r_cells = F.broadcast(r_cells)
     elif strategy == "broadcast_left":
         l_cells = F.broadcast(l_cells)
     elif strategy == "shuffle":
-        l_cells, r_cells = _salted(l_cells, r_cells, left_id, right_id)
-        keys += ["_i", "_j"]
+        l_cells, r_cells = l_cells.hint("merge"), r_cells.hint("merge")
+    elif strategy is None:
+        l_cells, r_cells = _guarded(l_cells, left), _guarded(r_cells, right)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 

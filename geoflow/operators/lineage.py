@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: The column that tells rows apart, whatever their ids.
+ROW = "_row"
 
 _KEY = "spark.checkpoint.dir"
 
@@ -33,3 +37,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def number_rows(df: DataFrame) -> DataFrame:
+    """The rows with a number of their own in ``_row``, written, so that every later step sees the same number."""
+    return cut_lineage(df.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+class Rounds:
+    """Tables of an iteration in the shared folder; each is deleted when the next one is written, the last one stays."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.paths = spark, name, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, self.name)
+        df.write.parquet(path)
+        for old in self.paths:
+            self._delete(old)
+        self.paths = [path]
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _delete(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)

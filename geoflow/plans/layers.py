@@ -43,13 +43,20 @@ PLOTS = """select c_custkey plot_id, c_mktsegment, c_nationkey,
 WEDGES = f"""select p_partkey wedge_id, p_size, {LON.format(id='p_partkey')} cx, {LAT.format(id='p_partkey')} cy,
        p_size/CAST(1000 AS DOUBLE) leg from part"""
 
+# lines of four vertices that cross themselves, none of whose edges is parallel to an axis
+PATHS = f"""select c_custkey path_id, c_mktsegment,
+       {LON.format(id='c_custkey')} + (c_custkey*7907 % 9973)/CAST(10000000 AS DOUBLE) x,
+       {LAT.format(id='c_custkey')} + (c_custkey*6007 % 9967)/CAST(10000000 AS DOUBLE) y,
+       ((c_custkey*31 % 37) + 5)/CAST(100 AS DOUBLE) a, ((c_custkey*17 % 29) + 4)/CAST(100 AS DOUBLE) b from customer"""
+
 _NEEDS = {
+    "paths": ["customer"],
     "plots": ["customer"], "wedges": ["part"], "sites": ["customer"], "depots": ["supplier"], "zones": ["nation"], "parcels": ["part"], "pixels": ["lineitem"],
     "routes": ["orders", "customer", "supplier"], "moves": ["events"], "streets": ["orders"],
 }
 LAYER_SQL = {
     "sites": SITES, "depots": DEPOTS, "zones": ZONES, "parcels": PARCELS, "pixels": PIXELS, "routes": ROUTES,
-    "moves": MOVES, "streets": STREETS, "plots": PLOTS, "wedges": WEDGES,
+    "moves": MOVES, "streets": STREETS, "plots": PLOTS, "wedges": WEDGES, "paths": PATHS,
 }
 
 
@@ -116,3 +123,15 @@ def wedges(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = layer_table(spark, sf_dir, "wedges")
     ring = ", ".join([G.xy("cx", "cy"), G.xy("cx + leg", "cy"), G.xy("cx", "cy + 2 * leg"), G.xy("cx", "cy")])
     return describe(df.withColumn("geom", F.expr(G.polygon(f"array(array({ring}))"))), srid=4326)
+
+
+def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = layer_table(spark, sf_dir, "paths")
+    corners = [G.xy("x", "y"), G.xy("x + a", "y + b"), G.xy("x + 0.9D * a", "y"), G.xy("x + 0.1D * a", "y + 0.95D * b")]
+    return describe(df.withColumn("geom", F.expr(G.line(corners))), srid=4326)
+
+
+def turned(layer: DataFrame) -> DataFrame:
+    """The layer turned by 45 degrees and stretched by the root of 2, so that no edge is parallel to an axis."""
+    moved = G.map_vertices("geom", [lambda v: G.xy(f"{v}.x - {v}.y", f"{v}.x + {v}.y")])
+    return describe(layer.withColumn("geom", F.expr(moved)), srid=4326)

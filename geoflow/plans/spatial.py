@@ -15,7 +15,7 @@ from ..operators import edges, edit, nearest, raster, spatial
 from ..operators.points import points_from_xy
 from . import layers as L
 from .layers import table
-from .registry import query
+from .registry import ORACLES, query
 
 _TOL = "1e-9"
 
@@ -161,14 +161,14 @@ _HALF_SIDE = 2 * 64 * math.sin(math.pi / 64)
           round(8e0 + {_HALF_SIDE!r}::DOUBLE * 0.05e0, 6) from zones
        union all select 'street', street_id, round(2 * 0.05e0 * sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) + {_CIRCLE!r}::DOUBLE * 0.0025e0, 7),
           round(2 * sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) + {_HALF_SIDE!r}::DOUBLE * 0.05e0, 6)
-          from streets where x1 <> x2 or y1 <> y2""",
+          from streets""",
     layers=("sites", "zones", "streets"),
 )
 def buffer(spark: SparkSession, sf: str) -> DataFrame:
     layers = [
         ("site", "site_id", L.sites(spark, sf)),
         ("zone", "zone_id", L.zones(spark, sf)),
-        ("street", "street_id", L.streets(spark, sf).where("x1 <> x2 or y1 <> y2")),
+        ("street", "street_id", L.streets(spark, sf)),
     ]
     out = None
     for kind, id_, layer in layers:
@@ -183,11 +183,11 @@ def buffer(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "densify",
     """select street_id, CAST(greatest(1, ceil(len / 0.01e0)) + 1 AS INT) vertices, round(len, 7) length
-       from (select street_id, sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) len from streets) where len > 0""",
+       from (select street_id, sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) len from streets)""",
     layers=("streets",),
 )
 def densify(spark: SparkSession, sf: str) -> DataFrame:
-    dense = edit.densify(L.streets(spark, sf).where("x1 <> x2 or y1 <> y2"), 0.01)
+    dense = edit.densify(L.streets(spark, sf), 0.01)
     return dense.selectExpr("street_id", f"{G.vertex_count('geom')} vertices", f"round({M.length('geom')}, 7) length")
 
 
@@ -547,7 +547,7 @@ def overlay_areas(spark: SparkSession, sf: str) -> DataFrame:
        s as (select street_id, count(distinct round(t, 6)) cuts from r
              where t > 1e-7 and t < 1 - 1e-7 and w >= -1e-7 and w <= 1 + 1e-7 group by street_id)
        select street_id, CAST(coalesce(cuts, 0) + 1 AS BIGINT) pieces, round(sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)), 7) length
-       from streets left join s using (street_id) where x1 <> x2 or y1 <> y2""",
+       from streets left join s using (street_id)""",
     layers=("streets",),
 )
 def split_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -572,6 +572,152 @@ def dissolve(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "split_lines_ids",
+    f"""select nullif(street_id % 50, 0) street_id, CAST(sum(pieces) AS BIGINT) pieces, round(sum(sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2))), 7) length
+       from ({ORACLES['split_lines']}) join streets using (street_id) group by 1""",
+    layers=("streets",),
+)
+def split_lines_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Null and repeated ids."""
+    streets = L.streets(spark, sf).selectExpr("nullif(street_id % 50, 0) street_id", "geom")
+    pieces = edges.split_lines(streets, "street_id")
+    return pieces.groupBy("street_id").agg(F.count("*").alias("pieces"), F.round(F.sum(F.expr(M.length("geom"))), 7).alias("length"))
+
+
+_PATH_EDGES = """select path_id, 0 seg, x x1, y y1, x + a x2, y + b y2 from paths
+       union all select path_id, 1, x + a, y + b, x + 0.9e0 * a, y from paths
+       union all select path_id, 2, x + 0.9e0 * a, y, x + 0.1e0 * a, y + 0.95e0 * b from paths"""
+_PATH_LENGTH = f"select path_id, sum(sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2))) len from ({_PATH_EDGES}) group by path_id"
+
+
+@query(
+    "split_paths",
+    f""", e as ({_PATH_EDGES}),
+       q as (
+         select l.path_id, l.seg, l.x2 - l.x1 ux, l.y2 - l.y1 uy, r.x2 - r.x1 vx, r.y2 - r.y1 vy, r.x1 - l.x1 qx, r.y1 - l.y1 qy
+         from e l join e r on least(l.x1, l.x2) <= greatest(r.x1, r.x2) and least(r.x1, r.x2) <= greatest(l.x1, l.x2)
+           and least(l.y1, l.y2) <= greatest(r.y1, r.y2) and least(r.y1, r.y2) <= greatest(l.y1, l.y2)
+           and (l.path_id <> r.path_id or abs(l.seg - r.seg) > 1)),
+       s as (
+         select path_id, count(distinct (seg, round((qx*vy - qy*vx) / (ux*vy - uy*vx), 9))) cuts from q
+         where ux*vy - uy*vx <> 0 and (qx*vy - qy*vx) / (ux*vy - uy*vx) between 0 and 1 and (qx*uy - qy*ux) / (ux*vy - uy*vx) between 0 and 1
+         group by path_id)
+       select path_id, c_mktsegment, CAST(cuts + 1 AS BIGINT) pieces, CAST(4 + 2 * cuts AS BIGINT) vertices, round(len, 7) length
+       from paths join s using (path_id) join ({_PATH_LENGTH}) using (path_id)""",
+    layers=("paths",),
+)
+def split_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Polylines that cross each other and themselves keep their vertices and attributes."""
+    pieces = edges.split_lines(L.paths(spark, sf).select("path_id", "c_mktsegment", "geom"), "path_id")
+    measured = pieces.selectExpr("path_id", "c_mktsegment", f"{G.vertex_count('geom')} n", f"{M.length('geom')} len")
+    return measured.groupBy("path_id", "c_mktsegment").agg(
+        F.count("*").alias("pieces"), F.sum("n").cast("bigint").alias("vertices"), F.round(F.sum("len"), 7).alias("length")
+    )
+
+
+@query(
+    "clip_lines",
+    f""", e as (select *, sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) len from ({_PATH_EDGES})),
+       i as (
+         select path_id, seg, len, greatest(0e0, least((xmin - x1) / (x2 - x1), (xmax - x1) / (x2 - x1)), least((ymin - y1) / (y2 - y1), (ymax - y1) / (y2 - y1))) t0,
+           least(1e0, greatest((xmin - x1) / (x2 - x1), (xmax - x1) / (x2 - x1)), greatest((ymin - y1) / (y2 - y1), (ymax - y1) / (y2 - y1))) t1
+         from e, zones where n_regionkey < 3),
+       m as (
+         select *, max(b) over (partition by path_id order by a rows between unbounded preceding and 1 preceding) m
+         from (select path_id, seg + t0 a, seg + t1 b, (t1 - t0) * len l from i where t1 - t0 > 1e-9)),
+       p as (
+         select path_id, sum(case when m is null or a > m + 1e-9 then 1 else 0 end) runs, sum(l) l, min(a) low, max(b) high from m group by path_id),
+       r as (
+         select path_id, coalesce(runs, 0) ins, case when runs is null then 1
+           else runs - 1 + case when low > 1e-9 then 1 else 0 end + case when high < 3 - 1e-9 then 1 else 0 end end outs, coalesce(l, 0e0) l, len
+         from ({_PATH_LENGTH}) left join p using (path_id))
+       select * from (
+         select path_id, c_mktsegment, 'inside' port, CAST(ins AS BIGINT) pieces, round(l, 7) length, CAST(4 + 2 * (ins + outs - 1) AS BIGINT) vertices
+           from r join paths using (path_id)
+         union all select path_id, c_mktsegment, 'outside', CAST(outs AS BIGINT), round(len - l, 7), CAST(4 + 2 * (ins + outs - 1) AS BIGINT) from r join paths using (path_id))
+       where pieces > 0""",
+    layers=("paths", "zones"),
+)
+def clip_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Stretches of polylines inside and outside a mask; vertices are those of all stretches of a path."""
+    mask = L.zones(spark, sf).where("n_regionkey < 3")
+    parts = edges.clip(L.paths(spark, sf).select("path_id", "c_mktsegment", "geom"), mask, "path_id", "zone_id")
+    measured = parts.selectExpr("path_id", "c_mktsegment", "port", f"{G.vertex_count('geom')} n", f"{M.length('geom')} len")
+    sides = measured.groupBy("path_id", "c_mktsegment", "port").agg(F.count("*").alias("pieces"), F.round(F.sum("len"), 7).alias("length"))
+    return sides.join(measured.groupBy("path_id").agg(F.sum("n").cast("bigint").alias("vertices")), "path_id").select(
+        "path_id", "c_mktsegment", "port", "pieces", "length", "vertices"
+    )
+
+
+@query("clip_ids", f"select nullif(parcel_id % 50, 0) parcel_id, port, area from ({ORACLES['clip']})")
+def clip_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Null and repeated ids."""
+    parcels = L.parcels(spark, sf).selectExpr("nullif(parcel_id % 50, 0) parcel_id", "geom")
+    parts = edges.clip(parcels, L.zones(spark, sf).where("n_regionkey < 3").withColumn("zone_id", F.lit(None).cast("int")), "parcel_id", "zone_id")
+    return parts.selectExpr("parcel_id", "port", f"round({M.area('geom')}, 8) area").where("area > 1e-8")
+
+
+@query("dissolve_ids", ORACLES["dissolve"])
+def dissolve_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Null and repeated ids."""
+    plots = L.plots(spark, sf).selectExpr("c_mktsegment", "nullif(plot_id % 50, 0) plot_id", "geom")
+    parts = edges.dissolve(plots, ["c_mktsegment"], "plot_id")
+    return edit.add_measures(parts).groupBy("c_mktsegment").agg(
+        F.round(F.sum("area"), 6).alias("area"), F.round(F.sum("length"), 6).alias("length")
+    )
+
+
+@query("neighbors_ids", f"select nullif(site_id % 50, 0) site_id, rank, depot_id, distance from ({ORACLES['neighbors']})")
+def neighbors_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Null and repeated ids of the base points."""
+    sites = L.sites(spark, sf).selectExpr("nullif(site_id % 50, 0) site_id", "geom")
+    return nearest.neighbors(sites, L.depots(spark, sf), "site_id", "depot_id", 3).withColumn("distance", F.round("distance", 9))
+
+
+# --- the same on areas that no edge of which is parallel to an axis --------------------------
+
+
+def _turned_pairs(spark: SparkSession, sf: str, left: str, right: str, predicate: str) -> DataFrame:
+    lhs, rhs = (L.turned(getattr(L, name)(spark, sf).select(F.col(f"{name[:-1]}_id").alias(id_), "geom")) for name, id_ in ((left, "left_id"), (right, "right_id")))
+    return spatial.spatial_join(lhs, rhs, "left_id", "right_id", predicate).select("left_id", "right_id")
+
+
+@query("sjoin_overlaps_turned", ORACLES["sjoin_overlaps"])
+def sjoin_overlaps_turned(spark: SparkSession, sf: str) -> DataFrame:
+    return _turned_pairs(spark, sf, "parcels", "zones", "overlaps")
+
+
+@query("sjoin_intersects_turned", ORACLES["sjoin_intersects"])
+def sjoin_intersects_turned(spark: SparkSession, sf: str) -> DataFrame:
+    return _turned_pairs(spark, sf, "parcels", "parcels", "intersects")
+
+
+@query(
+    "overlay_areas_turned",
+    f"select left_id, right_id, round(2 * area, 7) area, round(sqrt(2e0) * length, 5) length from ({ORACLES['overlay_areas']})",
+)
+def overlay_areas_turned(spark: SparkSession, sf: str) -> DataFrame:
+    parcels = L.turned(L.parcels(spark, sf))
+    pairs = edges.overlay_areas(parcels, parcels, "parcel_id", "parcel_id", "_lid < _rid")
+    return edit.add_measures(pairs).selectExpr("_lid left_id", "_rid right_id", "round(round(area / 2, 8) * 2, 7) area", "round(sqrt(2) * round(length / sqrt(2), 6), 5) length")
+
+
+@query("clip_turned", f"select parcel_id, port, round(2 * area, 7) area from ({ORACLES['clip']})")
+def clip_turned(spark: SparkSession, sf: str) -> DataFrame:
+    mask = L.turned(L.zones(spark, sf).where("n_regionkey < 3"))
+    parts = edges.clip(L.turned(L.parcels(spark, sf)).select("parcel_id", "geom"), mask, "parcel_id", "zone_id")
+    return parts.selectExpr("parcel_id", "port", f"round({M.area('geom')} / 2, 8) half").where("half > 1e-8").selectExpr("parcel_id", "port", "round(2 * half, 7) area")
+
+
+@query("dissolve_turned", f"select c_mktsegment, round(2 * area, 5) area, round(sqrt(2e0) * length, 4) length from ({ORACLES['dissolve']})")
+def dissolve_turned(spark: SparkSession, sf: str) -> DataFrame:
+    parts = edges.dissolve(L.turned(L.plots(spark, sf)), ["c_mktsegment"], "plot_id")
+    return edit.add_measures(parts).groupBy("c_mktsegment").agg(
+        F.round(F.sum("area"), 5).alias("area"), F.round(F.sum("length"), 4).alias("length")
+    )
+
+
 # --- rasters -------------------------------------------------------------------------------
 
 _CENTRES = "select *, -4.5e0 + (c + 0.5e0)*0.02e0 x, 42.5e0 + (r + 0.5e0)*0.02e0 y from pixels"

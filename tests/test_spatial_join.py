@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import shapes as S
 from geoflow.functions.crs import reproject, reproject_geom, SUPPORTED, check_srid
 from geoflow.functions.geometry import single_point
-from geoflow.operators import gridjoin, nearest, spatial
+from geoflow.functions import measures as M
+from geoflow.operators import edges, gridjoin, lineage, nearest, spatial
 from geoflow.operators.spatial import point_layer
 
 
@@ -32,8 +33,6 @@ def test_boxes_of_all_sizes(spark, strategy, monkeypatch):
     left, right = boxes(rng, 150, 30.0), boxes(rng, 150, 200.0)
     left += [(0.0, 0.0, 0.0, 0.0)] * 60  # a hot place
     # tiny limits make nearly every cell a hot one
-    monkeypatch.setattr(gridjoin, "HOT_ROWS", 3)
-    monkeypatch.setattr(gridjoin, "COUNT_ONE_IN", 1)
     found = spatial.matching_pairs(
         S.layer(spark, [S.box(*b) for b in left]), S.layer(spark, [S.box(*b) for b in right]), "id", "id", strategy=strategy
     )
@@ -44,8 +43,6 @@ def test_boxes_of_all_sizes(spark, strategy, monkeypatch):
 
 
 def test_hot_cells_split_both_sides(spark, monkeypatch):
-    monkeypatch.setattr(gridjoin, "HOT_ROWS", 10)
-    monkeypatch.setattr(gridjoin, "COUNT_ONE_IN", 1)
     sites = point_layer(spark.range(300).selectExpr("id site", "0.5D + id % 3 x", "0.5D y"), "x", "y")
     plots = S.layer(spark, [S.box(0, 0, 3, 1)] * 40, "plot")
     joined = spatial.spatial_join(sites, plots, "site", "plot", "within", strategy="shuffle")
@@ -201,3 +198,93 @@ def test_null_and_repeated_ids_give_the_same_rows_by_every_strategy(spark):
         ]
         assert len(got[0]) == n and got[0] == got[1] == got[2]
     assert spatial.spatial_relate(points, areas, "id", "id", "within").where("port = 'related'").count() == 3
+
+
+# --- ids are only columns -------------------------------------------------------------------
+
+
+def from_one(spark, geoms):
+    """Layer with ids 1, 2, 3..."""
+    made = S.layer(spark, geoms)
+    return made.withColumn("id", F.col("id") + 1)
+
+
+@pytest.mark.parametrize("ids", [(1, 2), (None, None), (1, 1), (None, 2)])
+def test_overlay_operators_do_not_depend_on_ids(spark, ids):
+    squares = from_one(spark, [S.box(0, 0, 2, 2), S.box(1, 1, 3, 3)]).withColumn("id", F.array(*[F.lit(i).cast("int") for i in ids])[F.col("id") - 1])
+    squares = squares.withColumn("g", F.lit("one"))
+    assert [round(r.a, 9) for r in edges.dissolve(squares, ["g"], "id").selectExpr(f"{M.area('geom')} a").collect()] == [7.0]
+    assert [(round(r.area, 9), round(r.perimeter, 9)) for r in edges.dissolve_measures(squares, ["g"], "id").collect()] == [(7.0, 12.0)]
+    mask = from_one(spark, [S.box(0, 0, 1.5, 9), S.box(1.5, 0, 2.5, 9)]).withColumn("id", F.lit(None).cast("int"))
+    clipped = edges.clip(squares, mask, "id", "id").selectExpr("id", "port", f"round({M.area('geom')}, 9) a").collect()
+    assert sorted(((r.id, r.port, r.a) for r in clipped), key=repr) == sorted([(ids[0], "inside", 4.0), (ids[1], "inside", 3.0), (ids[1], "outside", 1.0)], key=repr)
+    measured = edges.clip_measures(squares, mask, "id", "id").collect()
+    assert sorted(((r.id, r.port, round(r.area, 9)) for r in measured), key=repr) == sorted(((r.id, r.port, r.a) for r in clipped), key=repr)
+    crossing = from_one(spark, [S.line((0, 0), (2, 2)), S.line((0, 2), (2, 0))]).withColumn("id", F.array(*[F.lit(i).cast("int") for i in ids])[F.col("id") - 1])
+    assert sorted((r.id for r in edges.split_lines(crossing, "id").collect()), key=repr) == sorted([ids[0]] * 2 + [ids[1]] * 2, key=repr)
+    grown = edges.buffer(squares, 0.5, "id").selectExpr(f"{M.area('geom')} a").collect()
+    assert len(grown) == 2 and all(8.7 < r.a < 8.8 for r in grown)
+    base = from_one(spark, [S.point(0, 0), S.point(5, 5), S.point(9, 9), S.point(1, 1)]).selectExpr("element_at(array(1, 1, null, null), int(id)) id", "geom")
+    near = nearest.neighbors(base, from_one(spark, [S.point(0, 1), S.point(9, 8)]), "id", "id", 1).collect()
+    assert sorted((round(r.distance, 9) for r in near)) == [1.0, 1.0, 1.0, 5.0]
+
+
+def pieces_of(df):
+    return sorted((r.id, r.part, r.piece, [(round(p.x, 9), round(p.y, 9)) for p in r.geom.parts[0][0]]) for r in df.collect())
+
+
+def test_lines_are_broken_where_they_meet_and_keep_their_shape(spark):
+    lines = [
+        S.line((0, 0), (4, 0), (4, 2), (2, 2), (2, -2)),  # crosses itself at (2, 0)
+        S.line((-1, 5), (0, 5), (0, 5), (3, 6)),  # meets nothing, a repeated vertex
+        S.line((10, 0), (11, 0), (11, 1), (10, 1), (10, 0)),  # closed, touched at a vertex by the next
+        S.line((11, 1), (12, 2)),
+        S.line((7, 7), (7, 7)),  # no length
+        None,
+    ]
+    got = pieces_of(edges.split_lines(from_one(spark, lines).withColumn("name", F.concat(F.lit("n"), "id")), "id"))
+    assert got == [
+        (1, 0, 1, [(0, 0), (2, 0)]),
+        (1, 0, 2, [(2, 0), (4, 0), (4, 2), (2, 2), (2, 0)]),
+        (1, 0, 3, [(2, 0), (2, -2)]),
+        (2, 0, 1, [(-1, 5), (0, 5), (3, 6)]),
+        (3, 0, 1, [(10, 0), (11, 0), (11, 1)]),
+        (3, 0, 2, [(11, 1), (10, 1), (10, 0)]),
+        (4, 0, 1, [(11, 1), (12, 2)]),
+        (5, 0, 1, [(7, 7), (7, 7)]),
+    ]
+    several = from_one(spark, [S.line((0, 0), (1, 0))]).withColumn("geom", F.expr(
+        "named_struct('type', 'MultiLineString', 'parts', array(geom.parts[0], array(array(named_struct('x', 0.5D, 'y', -1D), named_struct('x', 0.5D, 'y', 1D)))))"
+    ))
+    assert [(p, n) for _, p, n, _ in pieces_of(edges.split_lines(several, "id"))] == [(0, 1), (0, 2), (1, 1), (1, 2)]
+    overlap = from_one(spark, [S.line((0, 0), (4, 0)), S.line((1, 0), (2, 0), (2, 3))])
+    assert [c for _, _, _, c in pieces_of(edges.split_lines(overlap, "id"))] == [[(0, 0), (1, 0)], [(1, 0), (2, 0)], [(2, 0), (4, 0)], [(1, 0), (2, 0)], [(2, 0), (2, 3)]]
+    assert edges.split_lines(from_one(spark, lines).where("id > 99"), "id").collect() == []
+
+
+def test_clipped_lines_keep_their_shape_and_attributes(spark):
+    mask = from_one(spark, [S.box(0, 0, 2, 4), S.box(2, 0, 4, 4)])
+    lines = from_one(spark, [S.line((-1, 1), (1, 1), (3, 1), (3, 3), (5, 3), (5, 1), (3.5, 1)), S.line((0, 0), (0, 4)), S.line((8, 8), (9, 9), (9, 8)), S.line((1, 1), (1, 1))])
+    got = edges.clip(lines.withColumn("name", F.concat(F.lit("n"), "id")), mask, "id", "id")
+    rows = sorted((r.id, r.name, r.port, [(round(p.x, 9), round(p.y, 9)) for p in r.geom.parts[0][0]]) for r in got.collect())
+    assert rows == [
+        (1, "n1", "inside", [(0, 1), (1, 1), (3, 1), (3, 3), (4, 3)]),
+        (1, "n1", "inside", [(4, 1), (3.5, 1)]),
+        (1, "n1", "outside", [(-1, 1), (0, 1)]),
+        (1, "n1", "outside", [(4, 3), (5, 3), (5, 1), (4, 1)]),
+        (2, "n2", "inside", [(0, 0), (0, 4)]),
+        (3, "n3", "outside", [(8, 8), (9, 9), (9, 8)]),
+    ]
+    lengths = edges.clip_measures(lines, mask, "id", "id").collect()
+    assert sorted((r.id, r.port, round(r.length, 9)) for r in lengths)[:2] == [(1, "inside", 7.5), (1, "outside", 5.0)]
+
+
+def test_rounds_delete_what_was_read(spark, tmp_path):
+    from pathlib import Path
+
+    rounds = lineage.Rounds(spark, "trial")
+    first = rounds.keep(spark.range(5).toDF("a"))
+    path = rounds.paths[0].removeprefix("file:")
+    assert first.count() == 5 and Path(path).exists()
+    second = rounds.keep(first.selectExpr("a + 1 a"))
+    assert not Path(path).exists() and second.count() == 5
