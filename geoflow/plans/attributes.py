@@ -246,14 +246,13 @@ def join_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "feature_merge",
-    """with r as (select o_custkey k, o_orderkey from orders where o_orderstatus <> 'F'),
-            s as (select c_custkey k, c_name from customer where c_mktsegment <> 'BUILDING')
+    """with r as (select nullif(o_custkey, 7) - 5 k, o_orderkey from orders), s as (select c_custkey k, c_name from customer)
        select coalesce(r.k, s.k) k, o_orderkey, c_name, case when s.k is null then 'unmerged_request'
-         when r.k is null then 'unmerged_supplier' else 'merged' end port from r full join s on r.k = s.k""",
+         when o_orderkey is null then 'unmerged_supplier' else 'merged' end port from r full join s on r.k = s.k""",
 )
 def feature_merge(spark: SparkSession, sf: str) -> DataFrame:
-    request = table(spark, sf, "orders").where("o_orderstatus <> 'F'").selectExpr("o_custkey k", "o_orderkey")
-    supplier = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").selectExpr("c_custkey k", "c_name")
+    request = table(spark, sf, "orders").selectExpr("nullif(o_custkey, 7) - 5 k", "o_orderkey")
+    supplier = table(spark, sf, "customer").selectExpr("c_custkey k", "c_name")
     return joins.feature_merge(request, supplier, ["k"])
 
 

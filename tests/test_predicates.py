@@ -125,7 +125,8 @@ def test_clip_splits_the_input(spark, random_layers):
     mask = S.layer(spark, [S.box(0, 0, 5, 5), S.box(5, 0, 10, 5), S.box(0, 5, 5, 12)])
     whole = jts.read(S.polygon([(0, 0), (10, 0), (10, 5), (5, 5), (5, 12), (0, 12), (0, 0)]))
     layer = S.layer(spark, random_layers)
-    parts = edges.clip(layer, mask, "id", "id").selectExpr("id", "port", f"{M.area('geom')} a", f"{M.length('geom')} l")
+    # lines are one row for each stretch
+    parts = edges.clip(layer, mask, "id", "id").groupBy("id", "port").agg(F.expr(f"sum({M.area('geom')}) a"), F.expr(f"sum({M.length('geom')}) l"))
     got = {(r.id, r.port): r for r in parts.collect()}
     for i, g in enumerate(random_layers):
         shape = jts.read(g)
