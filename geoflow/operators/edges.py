@@ -619,10 +619,12 @@ def buffer(
 # --- lines ---------------------------------------------------------------------------------
 
 
-def line_parts(rows: DataFrame, geom: str) -> DataFrame:
-    """``_row, part, segs``: every part of the lines as the array of its edges that have a length."""
+def line_parts(rows: DataFrame, geom: str, keep: list[str] | None = None) -> DataFrame:
+    """``_row, part, segs`` and the kept columns in ``_own``: every part of the lines as the array of its edges that have a length."""
+    kept = [F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("_own")] if keep is not None else []
     proper = each("filter", G.ring_segments("_p[0]"), lambda e: f"({e}.x1 != {e}.x2 or {e}.y1 != {e}.y2)")
-    return rows.select(ROW, F.expr(f"posexplode({geom}.parts)").alias("part", "_p")).selectExpr(ROW, "part", f"{proper} segs").where("size(segs) > 0")
+    parts = rows.select(ROW, *kept, F.expr(f"posexplode({geom}.parts)").alias("part", "_p"))
+    return parts.select(ROW, "part", F.expr(proper).alias("segs"), *(["_own"] if kept else [])).where("size(segs) > 0")
 
 
 def _line_edges(lines: DataFrame) -> DataFrame:
@@ -641,7 +643,8 @@ def line_stretches(lines: DataFrame, others: DataFrame | None = None) -> DataFra
     edges = spread(_line_edges(lines), ROW, "part")
     apart = "true"
     if others is None:
-        others = edges
+        # both sides of the join and the levels of its grid read them
+        edges = others = cut_lineage(edges)
         same = f"l_{ROW} = r_{ROW} and l_part = r_part"
         apart = f"not ({same} and (abs(l_seg - r_seg) <= 1 or l_closed and abs(l_seg - r_seg) = l_last))"
     key = [ROW, "part"]
@@ -698,9 +701,10 @@ def split_lines(df: DataFrame, id_: str, geom: str = GEOM) -> DataFrame:
     line without any length is one piece, unchanged, and breaks no other.
     """
     lines = number_rows(df.where(G.only_family(geom, 1, "split_lines")))
-    parts = line_parts(lines, geom)
-    shapes = line_stretches(parts).join(parts, [ROW, "part"]).selectExpr(ROW, "part", "piece", f"{_stretch()} _shape")
     attributes = [c for c in df.columns if c != geom]
-    pieces = shapes.join(lines.select(ROW, *attributes), ROW).select(*attributes, "part", "piece", F.col("_shape").alias(geom))
+    stretches = line_stretches(line_parts(lines, geom)).withColumnsRenamed({"part": "_part", ROW: "_of"})
+    own = line_parts(lines, geom, attributes).withColumnsRenamed({ROW: "_l", "part": "_n"})
+    met = stretches.join(own, (F.col("_of") == F.col("_l")) & (F.col("_part") == F.col("_n")))
+    pieces = met.select(*[F.col("_own")[c].alias(c) for c in attributes], F.col("_part").alias("part"), "piece", F.expr(_stretch()).alias(geom))
     short = lines.where(f"size({G.proper_segments(geom)}) = 0").select(*attributes, F.lit(0).alias("part"), F.lit(1).alias("piece"), geom)
     return describe(pieces.unionByName(short), geom, srid=srid_of(df, geom), kind=None)

@@ -276,7 +276,7 @@ def test_clipped_lines_keep_their_shape_and_attributes(spark):
         (3, "n3", "outside", [(8, 8), (9, 9), (9, 8)]),
     ]
     lengths = edges.clip_measures(lines, mask, "id", "id").collect()
-    assert sorted((r.id, r.port, round(r.length, 9)) for r in lengths)[:2] == [(1, "inside", 6.5), (1, "outside", 6.5)]
+    assert sorted((r.id, r.port, round(r.length, 9)) for r in lengths)[:2] == [(1, "inside", 6.5), (1, "outside", 5.0)]
 
 
 def test_rounds_delete_what_was_read(spark, tmp_path):
