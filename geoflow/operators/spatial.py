@@ -33,7 +33,7 @@ def tolerant(box: str) -> str:
     )
 
 
-def _same_crs(left: DataFrame, right: DataFrame, geom: str) -> DataFrame:
+def same_crs(left: DataFrame, right: DataFrame, geom: str) -> DataFrame:
     target = srid_of(left, geom)
     source = srid_of(right, geom)
     if target is None or source is None or target == source:
@@ -111,7 +111,7 @@ def matching_pairs(
     geom: str = GEOM,
 ) -> DataFrame:
     """Ids and geometries (``_lid, _lg, _rid, _rg``) of the pairs for which the predicate holds."""
-    right = _same_crs(left, right, geom)
+    right = same_crs(left, right, geom)
     return matched(
         left.select(F.col(left_id).alias("_lid"), F.col(geom).alias("_lg")),
         right.select(F.col(right_id).alias("_rid"), F.col(geom).alias("_rg")),
@@ -153,7 +153,7 @@ def spatial_join(
     if kind is None:
         raise ValueError(f"unknown join type {how!r}; known: {sorted(JOIN_TYPES)}")
     _check(predicate, distance)
-    right = _same_crs(left, right, geom)
+    right = same_crs(left, right, geom)
     clash = (set(left.columns) & set(right.columns)) - {geom}
     l_out = [(c, c + "_left" if c in clash else c) for c in left.columns if kind != "right" or c != geom]
     r_out = [(c, c + "_right" if c in clash else c) for c in right.columns if kind == "right" or c != geom]

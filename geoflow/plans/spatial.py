@@ -489,6 +489,58 @@ def neighbors(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("distance", F.round("distance", 9))
 
 
+def _to_square(x1: str, y1: str, x2: str, y2: str) -> str:
+    """Distance of a line of two vertices to the square ``pxmin, pymin, pxmax, pymax``: 0 where they meet, which is so where their
+    boxes do and the corners are not all on one side of the line; else from a corner to the line or from an end to the square."""
+    dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
+    corners = [(x, y) for x in ("pxmin", "pxmax") for y in ("pymin", "pymax")]
+    sides = ", ".join(f"{dx} * ({y} - {y1}) - {dy} * ({x} - {x1})" for x, y in corners)
+
+    def from_corner(x: str, y: str) -> str:
+        t = f"coalesce(greatest(0e0, least(1e0, (({x} - {x1}) * {dx} + ({y} - {y1}) * {dy}) / nullif({dx} * {dx} + {dy} * {dy}, 0))), 0e0)"
+        return f"pow({x} - {x1} - {t} * {dx}, 2) + pow({y} - {y1} - {t} * {dy}, 2)"
+
+    def from_end(x: str, y: str) -> str:
+        return f"pow(greatest(pxmin - {x}, 0e0, {x} - pxmax), 2) + pow(greatest(pymin - {y}, 0e0, {y} - pymax), 2)"
+
+    apart = ", ".join([from_corner(*c) for c in corners] + [from_end(x1, y1), from_end(x2, y2)])
+    return f"""case when least({x1}, {x2}) <= pxmax and greatest({x1}, {x2}) >= pxmin and least({y1}, {y2}) <= pymax
+        and greatest({y1}, {y2}) >= pymin and least({sides}) <= 0 and greatest({sides}) >= 0 then 0e0 else sqrt(least({apart})) end"""
+
+
+_PATH_CORNERS = [("x", "y"), ("(x + a)", "(y + b)"), ("(x + 0.9e0 * a)", "y"), ("(x + 0.1e0 * a)", "(y + 0.95e0 * b)")]
+
+
+@query(
+    "neighbors_lines",
+    f"""select path_id, CAST(rank AS INT) rank, parcel_id, round(d, 9) distance from (
+         select path_id, parcel_id, d, row_number() over (partition by path_id order by d, parcel_id) rank from (
+           select path_id, parcel_id, least({', '.join(f'd{i}' for i in range(3))}) d from (
+             select path_id, parcel_id, {', '.join(f'{_to_square(*a, *b)} d{i}' for i, (a, b) in enumerate(zip(_PATH_CORNERS, _PATH_CORNERS[1:], strict=False)))}
+             from (select path_id, x, y, a, b from paths), ({_PARCEL_BOX}))))
+       where rank <= 3""",
+    layers=("paths", "parcels"),
+)
+def neighbors_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of four vertices to areas."""
+    found = nearest.neighbors(L.paths(spark, sf), L.parcels(spark, sf), "path_id", "parcel_id", 3)
+    return found.withColumn("distance", F.round("distance", 9))
+
+
+@query(
+    "neighbors_streets",
+    f"""select street_id, CAST(rank AS INT) rank, round(d, 9) distance from (
+         select street_id, d, row_number() over (partition by street_id order by d) rank from (
+           select street_id, {_to_square('x1', 'y1', 'x2', 'y2')} d from streets, ({_PARCEL_BOX})))
+       where rank <= 3 and d <= 0.25e0""",
+    layers=("streets", "parcels"),
+)
+def neighbors_streets(spark: SparkSession, sf: str) -> DataFrame:
+    """Many short lines on the lattice of the areas, with ties, up to a distance."""
+    found = nearest.neighbors(L.streets(spark, sf), L.parcels(spark, sf), "street_id", "parcel_id", 3, 0.25)
+    return found.select("street_id", "rank", F.round("distance", 9).alias("distance"))
+
+
 # --- overlay -------------------------------------------------------------------------------
 
 _ZONE_OVERLAP = """greatest(0e0, least(pxmax, xmax) - greatest(pxmin, xmin)) * greatest(0e0, least(pymax, ymax) - greatest(pymin, ymin))"""

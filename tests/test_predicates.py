@@ -192,10 +192,6 @@ def test_layers_of_mixed_families_lose_no_rows_unseen(spark, other):
         raises(lambda: edges.overlay_measures(plain, areas, "id", "id"), "areas")
     if other["type"] != "LineString":
         raises(lambda: edges.split_lines(S.layer(spark, [S.line((0, 0), (4, 4)), other]), "id"), "lines")
-    if other["type"] != "Point":
-        places, mixed = S.layer(spark, [S.point(0, 0), S.point(2, 2)]), S.layer(spark, [S.point(0, 0), other])
-        raises(lambda: nearest.neighbors(mixed, places.withColumnRenamed("id", "cid"), "id", "cid"), "single points")
-        raises(lambda: nearest.neighbors(places, mixed.withColumnRenamed("id", "cid"), "id", "cid"), "single points")
 
 
 def test_null_geometries_have_no_part(spark):

@@ -156,6 +156,47 @@ def test_neighbors_like_brute_force(spark, monkeypatch, k, limit):
     assert got == brute(base, places, k, limit if limit is not None else float("inf"))
 
 
+def shapes_of_all_kinds(rng, n):
+    """Points, lines, areas with holes, several of a kind, some of them alike, null and empty ones."""
+    out = []
+    for i in range(n):
+        x, y, w = rng.uniform(-10, 10), rng.uniform(-10, 10), 10 ** rng.uniform(-2, 0.7)
+        ring = [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+        hole = [(x + 0.2 * w, y + 0.2 * w), (x + 0.2 * w, y + 0.8 * w), (x + 0.8 * w, y + 0.8 * w), (x + 0.8 * w, y + 0.2 * w), (x + 0.2 * w, y + 0.2 * w)]
+        far = [(a + 7, b - 3) for a, b in ring]
+        out.append([
+            S.point(x, y), S.multipoint((x, y), (x + w, y + w)), S.line((x, y), (x + w, y), (x, y + w)), S.polygon(ring),
+            S.polygon(ring, hole), S.multipolygon([ring], [far]), S.line((3, 3), (4, 4)), None, {"type": "LineString", "parts": []},
+        ][i % 9])
+    return out
+
+
+@pytest.mark.parametrize("k,limit", [(1, None), (3, None), (4, 1.5)])
+def test_neighbors_of_all_kinds_like_jts(spark, monkeypatch, k, limit):
+    rng = random.Random(5)
+    monkeypatch.setattr(nearest, "LEAF_POINTS", 6)
+    monkeypatch.setattr(nearest, "SPLIT", 3)
+    base, others = shapes_of_all_kinds(rng, 45), shapes_of_all_kinds(rng, 90)
+    jts = S.Jts(spark)
+    read = [[jts.read(g) if g and g["parts"] else None for g in layer] for layer in (base, others)]
+    want = set()
+    for i, g in enumerate(read[0]):
+        ranked = sorted((round(g.distance(h), 9), j) for j, h in enumerate(read[1]) if h is not None) if g is not None else []
+        want |= {(i, r + 1, j, d) for r, (d, j) in enumerate(ranked[:k]) if limit is None or d <= limit}
+    found = nearest.neighbors(S.layer(spark, base), S.layer(spark, others).withColumnRenamed("id", "cid"), "id", "cid", k, limit)
+    assert {(r.id, r["rank"], r.cid, round(r.distance, 9)) for r in found.collect()} == want
+
+
+def test_neighbors_of_one_middle(spark, monkeypatch):
+    """Different areas around one place can't be told apart by tiles; chunks hold them all."""
+    monkeypatch.setattr(nearest, "LEAF_POINTS", 4)
+    monkeypatch.setattr(nearest, "SPLIT", 2)
+    monkeypatch.setattr(nearest, "MAX_LEVELS", 3)
+    rings = S.layer(spark, [S.box(-w, -w, w, w) for w in range(1, 41)]).withColumnRenamed("id", "cid")
+    found = nearest.neighbors(S.layer(spark, [S.point(50, 0), S.point(0, 0)]), rings, "id", "cid", 2).collect()
+    assert sorted((r.id, r["rank"], r.cid, r.distance) for r in found) == [(0, 1, 39, 10.0), (0, 2, 38, 11.0), (1, 1, 0, 0.0), (1, 2, 1, 0.0)]
+
+
 def test_neighbors_of_nothing(spark):
     base = point_layer(spark.createDataFrame([(1, 0.0, 0.0)], "id bigint, x double, y double"), "x", "y")
     assert nearest.neighbors(base, base.withColumnRenamed("id", "cid").limit(0), "id", "cid").count() == 0
