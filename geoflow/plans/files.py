@@ -309,6 +309,68 @@ def scan_kml_mixed(spark: SparkSession, sf: str) -> DataFrame:
     return kml.parse_kml_files(files).selectExpr("bigint(name) site_id", "geom.type kind", f"int({G.vertex_count('geom')}) vertices")
 
 
+@query(
+    "scan_kml_folders",
+    """select site_id, case when site_id % 3 = 0 then 'top' when site_id % 3 = 1 then 'A & B' else 'inner' end layer, round(lon, 9) x, round(lat, 9) y
+       from sites where site_id % 3 <> 0
+       union all select site_id, 'only', round(lon, 9), round(lat, 9) from sites where site_id % 3 = 1""",
+    layers=("sites",),
+)
+def scan_kml_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """Folders inside folders: the layer of every placemark, and the placemarks of one layer."""
+    mark = F.format_string(
+        "<Placemark><name>%s</name><Point><coordinates>%s,%s</coordinates></Point></Placemark>",
+        F.col("site_id"), F.col("lon").cast("string"), F.col("lat").cast("string"),
+    )
+    held = [F.array_join(F.collect_list(F.when(F.expr(f"site_id % 3 = {i}"), mark)), "") for i in range(3)]
+    texts = ["<kml><Document><name>top</name>", "<Folder><name>A &amp; B</name>", "<Folder><name>inner</name>", "</Folder>", "</Folder></Document></kml>"]
+    top, first, inner, end, foot = (F.lit(t) for t in texts)
+    files = (
+        L.layer_table(spark, sf, "sites")
+        .groupBy(F.expr(f"string(site_id div {FILE_ROWS})").alias("path"))
+        .agg(F.concat(top, held[0], first, inner, held[2], end, held[1], foot).cast("binary").alias("content"))
+    )
+    p = G.single_point("geom")
+    every = kml.parse_kml_files(files).where("layer <> 'top'")
+    one = kml.parse_kml_files(files, layer="A & B").withColumn("layer", F.lit("only"))
+    return every.unionByName(one).selectExpr("bigint(name) site_id", "layer", f"round({p}.x, 9) x", f"round({p}.y, 9) y")
+
+
+@query(
+    "scan_dxf_curves",
+    f"""select handle, entity, round(area, 9) area, round(length, 7) length, reason from (
+         select CAST(parcel_id AS VARCHAR) handle, 'LWPOLYLINE' entity, half * half * (4 + 32 * sin(pi() / 32)) area,
+           half * (4 + 128 * sin(pi() / 64)) length, null reason from parcels
+         union all select CAST(parcel_id AS VARCHAR), 'POLYLINE', half * half * (4 + 32 * sin(pi() / 32)), half * (4 + 128 * sin(pi() / 64)), null from parcels
+         union all select CAST(parcel_id AS VARCHAR), 'ARC', 0e0, half * 32 * sin(pi() / 64), null from parcels
+         union all select CAST(parcel_id AS VARCHAR), 'TEXT', null, null, 'TEXT is not read' from parcels)""",
+    layers=("parcels",),
+)
+def scan_dxf_curves(spark: SparkSession, sf: str) -> DataFrame:
+    """Squares with half circles on two sides as polylines of both forms, quarter circles, and entities that are rejected."""
+
+    def entity(kind: str, *pairs: tuple[int, str]) -> str:
+        codes = [(0, f"'{kind}'"), (5, "string(parcel_id)"), (8, "p_brand"), *pairs]
+        return "concat_ws('\\n', " + ", ".join(f"'{c}', {v}" for c, v in codes) + ")"
+
+    corners = [("cx - half", "cy - half", 0), ("cx + half", "cy - half", 1), ("cx + half", "cy + half", 0), ("cx - half", "cy + half", 1)]
+    at = [[(10, f"string({x})"), (20, f"string({y})"), (42, f"'{bulge}'")] for x, y, bulge in corners]
+    light = entity("LWPOLYLINE", (70, "'1'"), *[pair for corner in at for pair in corner])
+    members = ", ".join(entity("VERTEX", *corner) for corner in at)
+    old = f"concat_ws('\\n', {entity('POLYLINE', (66, chr(39) + '1' + chr(39)), (70, chr(39) + '1' + chr(39)))}, {members}, {entity('SEQEND')})"
+    arc = entity("ARC", (10, "string(cx)"), (20, "string(cy)"), (40, "string(half)"), (50, "'315'"), (51, "'45'"))
+    note = entity("TEXT", (10, "string(cx)"), (20, "string(cy)"), (1, "'note'"))
+    head, foot = "0\nSECTION\n2\nENTITIES\n", "\n0\nENDSEC\n0\nEOF\n"
+    drawings = (
+        L.layer_table(spark, sf, "parcels")
+        .selectExpr(f"concat('parcels', parcel_id div {FILE_ROWS}, '.dxf') path", f"concat_ws('\\n', {light}, {old}, {arc}, {note}) entity")
+        .groupBy("path")
+        .agg(F.concat(F.lit(head), F.array_join(F.collect_list("entity"), "\n"), F.lit(foot)).cast("binary").alias("content"))
+    )
+    layer = edit.add_measures(dxf.parse_dxf_files(drawings, keep_rejected=True))
+    return layer.select("handle", "entity", F.round("area", 9).alias("area"), F.round("length", 7).alias("length"), F.col("reject_reason").alias("reason"))
+
+
 @query(
     "scan_dxf",
     """select CAST(parcel_id AS VARCHAR) handle, p_brand layer, 'LWPOLYLINE' entity, round(4 * half * half, 9) area,
@@ -392,6 +454,28 @@ def file_type_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return inventory.summarize_types(inventory.classify_files(files, "name", "head", "archive_ok"), "n_chars")
 
 
+@query(
+    "folder_inventory",
+    f"""with d as (select c_custkey // {FILE_ROWS} doc, string_agg(c_name, '|') names from customer group by 1)
+       select 'csv' file_type, 'csv_reader' reader, count(*) files, CAST(sum(length(names) + 1) AS BIGINT) bytes from d
+       union all select 'geojson', 'geojson_reader', count(*), CAST(sum(length(names) + length('{{"type":"FeatureCollection","n":""}}') + 1) AS BIGINT) from d
+       union all select null, null, 2 * count(*), CAST(sum(2 * length(names) + length('{{"n":""}}') + 2) AS BIGINT) from d""",
+)
+def folder_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of files by type: tables, layers, and texts that no reader takes."""
+    path = scratch_path(spark, "folder")
+    documents = (
+        table(spark, sf, "customer")
+        .groupBy(F.expr(f"c_custkey div {FILE_ROWS}").alias("doc"))
+        .agg(F.array_join(F.collect_list("c_name"), "|").alias("n"))
+    )
+    documents.write.partitionBy("doc").csv(f"{path}/tables")
+    documents.write.partitionBy("doc").text(f"{path}/notes")
+    documents.write.partitionBy("doc").json(f"{path}/others")
+    documents.select("doc", F.lit("FeatureCollection").alias("type"), "n").write.partitionBy("doc").json(f"{path}/layers")
+    return inventory.inventory(spark, path)
+
+
 _EXTENSIONS = [".shp", ".SHX", ".dbf", ".prj", ".cpg", ".txt", ".sbn", ".qix", ".shp.xml"]
 
 

@@ -255,6 +255,51 @@ def test_dxf(spark):
     assert dxf.parse_dxf_files(files, layers="P , Q").count() == 1
 
 
+def test_dxf_curves_and_rejected_entities(spark):
+    def drawing(*codes):
+        return "\n".join(["0", "SECTION", "2", "ENTITIES", *map(str, codes), "0", "ENDSEC", "0", "EOF"]).encode()
+
+    good = drawing(
+        # a left-hand and a right-hand half circle, open; a circle of two vertices; an old polyline
+        0, "LWPOLYLINE", 5, "open", 70, 0, 10, 0, 20, 0, 42, 1, 10, 2, 20, 0, 42, -1, 10, 4, 20, 0,
+        0, "LWPOLYLINE", 5, "round", 70, 1, 10, 0, 20, 0, 42, 1, 10, 2, 20, 0, 42, 1,
+        0, "POLYLINE", 5, "old", 66, 1, 10, 0, 20, 0, 0, "VERTEX", 10, 1, 20, 1, 0, "VERTEX", 10, 2, 20, 5, 0, "SEQEND",
+        0, "ARC", 5, "arc", 10, 0, 20, 0, 40, 2, 50, 350, 51, 10,
+    )
+    files = spark.createDataFrame([("good", bytearray(good)), ("none", None), ("empty", bytearray())], "path string, content binary")
+    rows = {r.handle: [(round(p.x, 6), round(p.y, 6)) for p in r.geom.parts[0][0]] for r in dxf.parse_dxf_files(files).collect()}
+    assert len(rows["open"]) == 65 and rows["open"][16] == (1, -1) and rows["open"][32] == (2, 0) and rows["open"][48] == (3, 1)
+    assert len(rows["round"]) == 65 and rows["round"][0] == rows["round"][-1] and rows["round"][48] == (1, 1)
+    assert rows["old"] == [(1, 1), (2, 5)]
+    assert rows["arc"][0][1] == -rows["arc"][-1][1] and all(x > 1.96 for x, _ in rows["arc"])
+    bad = drawing(
+        0, "TEXT", 5, "a", 8, "L", 0, "POINT", 5, "b", 8, "L", 10, "x", 20, 1, 0, "LINE", 5, "c", 10, 1, 20, 1,
+        0, "LWPOLYLINE", 5, "d", 10, 1, 20, 1, 0, "POINT", 5, "e", 10, 1, 20, 1,
+    )
+    files = spark.createDataFrame([("bad", bytearray(bad))], "path string, content binary")
+    reasons = {r.handle: r.reject_reason for r in dxf.parse_dxf_files(files, keep_rejected=True).collect()}
+    assert reasons["a"] == "TEXT is not read" and "x" in reasons["b"] and reasons["c"] == "group 11 is missing"
+    assert reasons["d"] == "fewer than two vertices" and reasons["e"] is None
+    with pytest.raises(Exception, match="bad: POINT of layer L"):
+        dxf.parse_dxf_files(files).collect()
+
+
+def test_kml_folders(spark, tmp_path):
+    def mark(name):
+        return f"<Placemark id='{name}'><name>{name}</name><Point><coordinates>1,2</coordinates></Point></Placemark>"
+
+    body = (
+        f"<kml><Document><Style><name>s</name></Style><name>doc</name>{mark('a')}<Folder/><Folder>{mark('b')}<name>late</name>{mark('c')}"
+        f"<Folder><name><![CDATA[x & y]]></name>{mark('d')}</Folder>{mark('e')}</Folder>{mark('f')}</Document></kml>"
+    )
+    files = spark.createDataFrame([("a.kml", bytearray(body.encode())), ("none", None)], "path string, content binary")
+    layers = {r.name: r.layer for r in kml.parse_kml_files(files).collect()}
+    assert layers == {"a": "doc", "b": "doc", "c": "late", "d": "x & y", "e": "late", "f": "doc"}
+    (tmp_path / "a.kml").write_text(body)
+    assert [r.name for r in kml.read_kml(spark, str(tmp_path), layer="x & y").collect()] == ["d"]
+    assert kml.read_kml(spark, str(tmp_path)).count() == 6
+
+
 def test_inventory(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\n")
     (tmp_path / "b.json").write_text('{"type": "FeatureCollection", "features": [' + "1," * 50_000 + "1]}")
