@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_name
 from .gridjoin import is_small
 
-# Order values are cut into about this many ranges when a long sequence is numbered.
-COUNTER_RANGES = 512
+# Order values are cut into ranges of about this many rows when a long sequence is numbered, ...
+RANGE_ROWS = 1_000_000
+# ... but not into fewer ranges, so that all cores have work, nor into more, as the limits travel with the plan.
+MIN_RANGES, MAX_RANGES = 64, 65_536
 
 
 def edit_fields(df: DataFrame, operations: Sequence[Mapping[str, str]]) -> DataFrame:
@@ -79,15 +81,18 @@ def add_counter(
     """Number the rows in the order of a unique column, restarting for each combination of ``partition_by``.
 
     No single task ever sorts a whole group: the order column is cut into ranges at values taken
-    from a small sample, rows are numbered within (group, range), and the number of rows in the
-    ranges before is added.  Any cut points give the same result, so a lost executor is harmless.
+    from a small sample, whose size follows the number of rows, rows are numbered within (group, range),
+    and the number of rows in the ranges before is added.  Any cut points give the same result, so a lost executor is harmless.
     """
     groups = list(partition_by)
+    rows = df.count()
+    ranges = max(MIN_RANGES, min(MAX_RANGES, rows // RANGE_ROWS))
+    # a hash picks about one value a range, each task by itself
     sampled = (
         df.select(F.col(order_by).alias("v"))
         .where("v is not null")
-        .orderBy(F.xxhash64("v"), "v")
-        .limit(COUNTER_RANGES)
+        .where(F.pmod(F.xxhash64("v"), F.lit(max(1, rows // ranges))) == 0)
+        .distinct()
         .collect()
     )
     cuts = sorted({row.v for row in sampled})
@@ -108,7 +113,7 @@ def add_counter(
         .drop("_cuts", "_chunk", "_row")
     )
     sizes = ranged.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    # at most COUNTER_RANGES + 1 rows per group
+    # one row for each range of a group
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],

@@ -179,3 +179,16 @@ def test_code_item_sees_integers_beside_nulls(spark):
     assert [(r.kind, r.twice, r.reject_reason is None) for r in sorted(got)] == [("int", 10, True), (None, None, False), ("int", 14, True)]
     wrong = code.run_item(layer, lambda item: {"twice": "no number"}, "twice bigint").collect()
     assert all(r.twice is None and r.reject_reason for r in wrong)
+
+
+@pytest.mark.parametrize("range_rows,most", [(1_000_000, 65_536), (10, 65_536), (10, 100)])
+def test_counter_by_any_number_of_ranges(spark, monkeypatch, range_rows, most):
+    monkeypatch.setattr(fields, "RANGE_ROWS", range_rows)
+    monkeypatch.setattr(fields, "MAX_RANGES", most)
+    df = spark.range(3000).selectExpr("if(id = 7, null, id * 7919 % 10007) v", "if(id % 3 = 0, null, id % 2) g")
+    got = fields.add_counter(fields.add_counter(df, "n", "v"), "m", "v", 10, 2, ["g"]).collect()
+    place = sorted(got, key=lambda r: (r.v is not None, r.v))
+    assert [r.n for r in place] == list(range(1, 3001))
+    for g in (None, 0, 1):
+        assert [r.m for r in place if r.g == g] == [10 + 2 * i for i in range(sum(r.g == g for r in got))]
+    assert fields.add_counter(df.limit(0), "n", "v").count() == 0
