@@ -118,6 +118,14 @@ def scan_geojson_layouts(spark: SparkSession, sf: str) -> DataFrame:
     return layer.selectExpr("site_id", "c_mktsegment", f"round({p}.x, 9) x", f"round({p}.y, 9) y", "reject_reason")
 
 
+@query("scan_geojson_ranges", _SITES_BACK, layers=("sites",))
+def scan_geojson_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """One document for all features, read in byte ranges."""
+    path = scratch_path(spark, "sites")
+    geojson.write_geojson(_sites(spark, sf), path, layout="document")
+    return _back(geojson.read_geojson(spark, path, _SITE_PROPERTIES, layout="ranges"))
+
+
 _MOVED_BACK = "select site_id, round(lon, 6) x, round(lat, 6) y, format, system from sites, " + (
     "(values ('geojson'), ('shapefile'), ('gpkg')) f(format), (values (2154), (3857), (32631)) s(system)"
 )

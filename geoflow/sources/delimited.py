@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,7 +73,8 @@ def read_csv(
         if encoding is None and seen.utf8 is False and not seen.all_latin:
             # the paths alone, which the file index of the driver holds as well
             known = profile_files(spark, path).select("file", "utf8").collect()
-            files = {"UTF-8": [f.file for f in known if f.utf8], "ISO-8859-1": [f.file for f in known if not f.utf8]}
+            # the scan names files as URIs
+            files = {"UTF-8": [unquote(f.file) for f in known if f.utf8], "ISO-8859-1": [unquote(f.file) for f in known if not f.utf8]}
         elif encoding is None:
             files = {"ISO-8859-1" if seen.utf8 is False else "UTF-8": path}
     parts = []

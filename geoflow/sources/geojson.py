@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.layer import GEOM, describe, srid_of
+from ..operators.lineage import scratch_path
+from . import geojson_ranges
 
 _GEOMETRY = "struct<type:string,coordinates:string,geometries:array<struct<type:string,coordinates:string>>>"
 
@@ -89,8 +93,9 @@ def _profile(spark: SparkSession, path: str) -> tuple[list[str], list[str], str
     names = {n for f in files for n in (f.low, f.high) if n}
     if len({_srid(n) for n in names}) > 1:
         raise ValueError(f"the files under {path} have different coordinate systems: {sorted(names)}")
-    lines = [f.file for f in files if f.whole and not f.started]
-    return lines, [f.file for f in files if not f.whole or f.started], min(names, default=None)
+    # the scan names files as URIs
+    lines = [unquote(f.file) for f in files if f.whole and not f.started]
+    return lines, [unquote(f.file) for f in files if not f.whole or f.started], min(names, default=None)
 
 
 def _line_features(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
@@ -122,6 +127,25 @@ def _document_crs(spark: SparkSession, path: str | list[str]) -> str | None:
     return named and named.n
 
 
+def _files(spark: SparkSession, path: str | list[str], larger: int = -1) -> list[str]:
+    """Files above a size, by the listing alone."""
+    listed = spark.read.format("binaryFile").load(path).where(F.col("length") > larger)
+    return sorted(r.path for r in listed.select("path").collect())
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    """What Spark puts into one range of a file at most."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def _range_features(texts: DataFrame, ddl: str) -> DataFrame:
+    """Features of texts that hold one each, with a reason for each broken one."""
+    corrupt = {"columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = texts.select(F.from_json("value", f"{ddl}, _corrupt_record string", corrupt).alias("f"))
+    return parsed.select("f.type", "f.properties", "f.geometry", F.expr("if(f._corrupt_record is not null, 'unreadable feature', null)").alias("_bad"))
+
+
 def read_geojson(
     spark: SparkSession,
     path: str,
@@ -134,43 +158,79 @@ def read_geojson(
     """Read a layer.
 
     ``lines``: files with one feature or collection per line, or collections whose features stand
-    on their own lines; these are split across tasks.  ``document``: each file is one JSON value and
-    one task.  Without ``layout`` a pass over the text chooses for each file.  ``properties`` gives
-    the attributes as DDL fields (``a:int,b:string``) and saves the pass that infers them, ``srid``
-    the look for a ``crs`` member.  Features with unreadable geometries, broken lines and files that
-    are no GeoJSON raise an error; with ``keep_rejected`` each is a row with a ``reject_reason``.
+    on their own lines; these are split across tasks.  ``document``: each file is one JSON value; a
+    collection larger than ``spark.sql.files.maxPartitionBytes`` is read in byte ranges, other files by
+    one task each.  ``ranges``: collections of any size are read in byte ranges.  Without ``layout`` a
+    pass over the text chooses for each file.  ``properties`` gives the attributes as DDL fields
+    (``a:int,b:string``) and saves the pass that infers them, ``srid`` the look for a ``crs`` member.
+    Features with unreadable geometries, broken lines and files that are no GeoJSON raise an error; with
+    ``keep_rejected`` each is a row with a ``reject_reason``.  In byte ranges a document whose brackets
+    don't close is one such row, and a broken feature between sound brackets another.
     """
-    if layout not in (None, "lines", "document"):
-        raise ValueError(f"unknown layout {layout!r}; known: lines, document")
-    lines, documents, name = [], [], None
-    if layout is None:
+    if layout not in (None, "lines", "document", "ranges"):
+        raise ValueError(f"unknown layout {layout!r}; known: lines, document, ranges")
+    ranged, refused, path = _by_ranges(spark, path, layout) if layout != "lines" else ([], 0, path)
+    lines, documents, names = [], [], {d.crs for d in ranged if d.crs}
+    if path and layout is None:
         lines, documents, name = _profile(spark, path)
+        names |= {name} if name else set()
         # a folder of one layout is read as a whole
         lines, documents = (lines if documents else path), (documents if lines else path if documents else [])
-    elif layout == "lines":
+    elif path and layout == "lines":
         lines = path
         if srid is None:
             head = spark.read.text(path).select(F.regexp_extract("value", _CRS_MEMBER, 1).alias("n")).where("n != ''").first()
-            name = head and head.n
-    else:
+            names |= {head.n} if head else set()
+    elif path:
         documents = path
     if srid is None:
-        srid = _srid(name or (_document_crs(spark, documents) if documents else None))
+        name = _document_crs(spark, documents) if documents and layout else None
+        names |= {name} if name else set()
+        if len({_srid(n) for n in names}) > 1:
+            raise ValueError(f"the files under {path} have different coordinate systems: {sorted(names)}")
+        srid = _srid(min(names, default=None))
+    texts = geojson_ranges.feature_texts(spark, ranged) if ranged else None
     if properties is None:
         found = {}
+        if ranged:
+            # line breaks in a feature are white space
+            written = scratch_path(spark, "features")
+            texts.select(F.translate("value", "\r\n", "  ").alias("value")).write.text(written)
+            texts = spark.read.text(written)
+            found |= _infer_properties(spark, written, False)
         for files, multiline in ((documents, True), (lines, False)):
             found |= _infer_properties(spark, files, multiline) if files else {}
         properties = ",".join(f"`{n}`:{kind}" for n, kind in found.items())
     ddl = _feature_ddl(properties)
     parts = [_line_features(spark, lines, ddl)] if lines else []
     parts += [_document_features(spark, documents, ddl)] if documents else []
-    features = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+    parts += [_range_features(texts, ddl)] if ranged else []
+    if refused:
+        bad = spark.range(refused).select(F.from_json(F.lit("{}"), ddl).alias("f"), F.lit("unreadable document").alias("_bad"))
+        parts.append(bad.select("f.*", "_bad"))
+    features = reduce(DataFrame.union, parts)
     layer = features_to_layer(features.where("type = 'Feature' or _bad is not null"), ["_bad"], srid, geom)
     layer = layer.withColumn("reject_reason", F.coalesce("_bad", "reject_reason")).drop("_bad")
     if keep_rejected:
         return layer
-    refused = "raise_error(concat('GeoJSON that can not be read: ', reject_reason))"
-    return layer.where(F.expr(f"if(reject_reason is null, true, {refused})")).drop("reject_reason")
+    stop = "raise_error(concat('GeoJSON that can not be read: ', reject_reason))"
+    return layer.where(F.expr(f"if(reject_reason is null, true, {stop})")).drop("reject_reason")
+
+
+def _by_ranges(
+    spark: SparkSession, path: str | list[str], layout: str | None
+) -> tuple[list[geojson_ranges.Document], int, str | list[str]]:
+    """Collections to be read in byte ranges, number of documents that don't close, and what is left for the other ways."""
+    large = _files(spark, path, -1 if layout == "ranges" else _split_bytes(spark))
+    large = [f for f in large if not f.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy", ".xz", ".deflate"))]
+    known = geojson_ranges.documents(spark, large) if large else []
+    ranged = [d for d in known if d.collection]
+    # without a layout, what does not close may be a file of lines
+    broken = [d for d in known if layout and not d.closed]
+    if not ranged and not broken:
+        return [], 0, path
+    taken = {d.path for d in ranged + broken}
+    return ranged, len(broken), [f for f in _files(spark, path) if f not in taken]
 
 
 def parse_documents(

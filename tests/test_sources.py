@@ -15,7 +15,7 @@ from geoflow.functions.crs import SUPPORTED
 from geoflow.operators.filters import filter_rows
 from geoflow.operators.points import points_from_xy
 from geoflow.plans.files import workbook_bytes
-from geoflow.sources import delimited, dxf, geojson, gpkg, inventory, jdbc, kml, prj, shapefile, sinks, wkb, workbook
+from geoflow.sources import delimited, dxf, geojson, geojson_ranges, gpkg, inventory, jdbc, kml, prj, shapefile, sinks, wkb, workbook
 
 LIGHTS = """id;commune;type_equipement;latitude;longitude;puissance_w
 EP-001;Lyon;LED;45.764043;4.835659;120
@@ -426,3 +426,70 @@ def test_csv_files_of_both_encodings(spark, tmp_path):
     assert sorted((r.id, r.ville) for r in rows) == [("1", "Orléans"), ("2", "Évry"), ("x3", "Nîmes")]
     typed = delimited.read_csv(spark, str(tmp_path), schema="id string, ville string")
     assert typed.where("ville = 'Orléans'").count() == 1
+
+
+def _odd_collection(n):
+    texts = ["plain", "br}ace{", 'qu"ote', "back\\", '\\"', "[x]", '"features":[', 'é}"]}', "", None]
+    shapes_ = [
+        lambda i: None,
+        lambda i: {"type": "Point", "coordinates": [i / 7, i]},
+        lambda i: {"type": "LineString", "coordinates": [[i, 0], [1, 2], [3, 4]]},
+        lambda i: {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [i, 1]}, {"type": "Point", "coordinates": [0, 0]}]},
+    ]
+    feature = lambda i: {
+        "type": "Feature", "properties": {"id": i, "t": texts[i % 10], "o": {"a": [{"b": 1}, {}]}}, "geometry": shapes_[i % 4](i),
+    }
+    other = {"type": "Feature", "properties": {"id": -1}, "geometry": None}
+    crs = {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::2154"}}
+    return {"type": "FeatureCollection", "crs": crs, "before": [other], "features": [feature(i) for i in range(n)], "after": [other, []]}
+
+
+@pytest.fixture
+def small_ranges(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_geojson_documents_in_byte_ranges(spark, tmp_path, small_ranges):
+    folder = tmp_path / "a b%41"
+    folder.mkdir()
+    document = _odd_collection(150)
+    (folder / "indented.json").write_text(json.dumps(document, indent=1, ensure_ascii=False) + "\n", encoding="utf-8")
+    (folder / "one_line.json").write_bytes(b"\xef\xbb\xbf" + json.dumps(document).encode())
+    (folder / "empty.json").write_text('{"type":"FeatureCollection","features":[' + " " * 9000 + "]}")
+    (folder / "single.json").write_text(json.dumps({"type": "Feature", "properties": {"id": 7}, "geometry": None, "more": "x" * 9000}))
+    known = {Path(d.path).name: d for d in geojson_ranges.documents(spark, str(folder))}
+    assert len(known["indented.json"].ranges) > 10 and known["indented.json"].crs == known["one_line.json"].crs is not None
+    assert [known[n].collection for n in ("indented.json", "one_line.json", "empty.json", "single.json")] == [True, True, True, False]
+    want = geojson.parse_documents(
+        spark.createDataFrame([(json.dumps(document),)] * 2, "doc string"), "doc", "id:bigint,t:string", [], 2154
+    ).drop("reject_reason").collect()
+    want = sorted(repr(r) for r in want) + ["single"]
+    for layout, ddl in (("ranges", "id:bigint,t:string"), ("document", "id:bigint,t:string"), ("document", None)):
+        layer = geojson.read_geojson(spark, str(folder), ddl, layout=layout)
+        assert layer.schema["geom"].metadata["srid"] == 2154
+        got = layer.select("id", "t", "geom").collect()
+        assert sorted("single" if r.id == 7 and r.t is None and r.geom is None else repr(r) for r in got) == sorted(want)
+
+
+def test_geojson_ranges_of_broken_documents(spark, tmp_path, small_ranges):
+    good = json.dumps(_odd_collection(60))
+    cases = {
+        "cut": good[: len(good) // 2], "no_brace": good[:-1], "twice": good + good, "closed_early": "}" + good, "text": "no json" * 900,
+        "broken": good.replace('"id": 33,', '"id" 33,'),
+    }
+    for name, text in cases.items():
+        path = tmp_path / f"{name}.json"
+        path.write_text(text)
+        layer = geojson.read_geojson(spark, str(path), "id:bigint", layout="ranges", keep_rejected=True)
+        reasons = [r.reject_reason for r in layer.collect() if r.reject_reason]
+        assert reasons == (["unreadable feature"] if name == "broken" else ["unreadable document"] if name != "twice" else []), name
+        if name == "broken":
+            assert layer.where("reject_reason is null").select("id").distinct().count() == 59
+            with pytest.raises(Exception, match="unreadable feature"):
+                geojson.read_geojson(spark, str(path), "id:bigint", layout="ranges").count()
