@@ -23,6 +23,8 @@ _BRACE, _QUOTE, _BACKSLASH, _LIST = b"}", ord('"'), ord("\\"), ord("[")
 _STEP = np.zeros(256, np.int8)
 _STEP[[ord("{"), ord("[")]] = 1
 _STEP[[ord("}"), ord("]")]] = -1
+_MARK = _STEP != 0
+_MARK[[_QUOTE, _BACKSLASH]] = True
 _FEATURES = re.compile(rb'"features"\s*:\s*\Z')
 _COLLECTION = re.compile(rb'"type"\s*:\s*"FeatureCollection"')
 _CRS = re.compile(rb'"crs"\s*:\s*\{[^{}]*\{[^{}]*"name"\s*:\s*"([^"]*)"')
@@ -82,21 +84,30 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, bytes]]
             begin, size = i, 0
 
 
-def _quotes(data: np.ndarray) -> np.ndarray:
-    """Where quotes are that no backslash takes away."""
-    quotes = data == _QUOTE
-    slashes = data == _BACKSLASH
-    if slashes.any():
-        # an odd run of backslashes in front
-        last_other = np.maximum.accumulate(np.where(slashes, -1, np.arange(len(data))))
-        before = np.concatenate([[-1], last_other[:-1]])
-        quotes &= (np.arange(len(data)) - 1 - before) % 2 == 0
-    return quotes
+class _Marks:
+    """Places of the brackets and quotes of a text; quotes that a backslash takes away don't count."""
 
-
-def _steps(data: np.ndarray, quotes: np.ndarray, inside: int) -> np.ndarray:
-    """+1 and -1 for brackets outside quotes."""
-    return np.where((np.cumsum(quotes) + inside) & 1, 0, _STEP[data]).astype(np.int8)
+    def __init__(self, text: bytes):
+        data = np.frombuffer(text, np.uint8)
+        self.at = np.flatnonzero(_MARK[data])
+        marks = data[self.at]
+        self.step = _STEP[marks]
+        quotes = marks == _QUOTE
+        slashes = marks == _BACKSLASH
+        if slashes.any():
+            # an odd run of backslashes right in front
+            follows = np.concatenate([[False], np.diff(self.at) == 1])
+            goes_on = slashes & follows & np.concatenate([[False], slashes[:-1]])
+            place = np.arange(len(marks))
+            begin = np.maximum.accumulate(np.where(goes_on, 0, place))
+            odd = slashes & ((place - begin) % 2 == 0)
+            quotes &= ~(follows & np.concatenate([[False], odd[:-1]]))
+        self.inside = np.cumsum(quotes) & 1
+        self.turns = int(self.inside[-1]) if len(self.inside) else 0
+
+    def steps(self, inside: int) -> np.ndarray:
+        """+1 and -1 for brackets outside quotes."""
+        return np.where(self.inside ^ inside, 0, self.step)
 
 
 def _opens_features(text: bytes, at: int) -> bool:
@@ -107,24 +118,23 @@ class _Course:
     """What a stretch of text does to the depth, if it begins outside (0) or inside (1) of quotes."""
 
     def __init__(self, text: bytes):
-        data = np.frombuffer(text, np.uint8)
-        quotes = _quotes(data)
-        self.turns = int(quotes.sum() & 1)
+        marks = _Marks(text)
+        self.turns = marks.turns
         self.typed = _COLLECTION.search(text) is not None
         # neither match has a closing brace, so none lies across two stretches
         named = [(m.start(), m.group(1).decode(errors="replace")) for m in _CRS.finditer(text)] if b'"crs"' in text else []
         self.depth, self.lowest, self.opens, self.names = [], [], [], []
         for inside in (0, 1):
-            step = _steps(data, quotes, inside)
+            step = marks.steps(inside)
             depth = np.cumsum(step, dtype=np.int64)
             opened = np.flatnonzero(step > 0)[::-1]
             depths, last, times = np.unique(depth[opened], return_index=True, return_counts=True)
             self.depth.append(int(depth[-1]))
             self.lowest.append(min(0, int(depth.min())))
             # how often each depth is reached, and whether the last bracket that does opens the features
-            opens = zip(depths.tolist(), times.tolist(), opened[last].tolist(), strict=True)
+            opens = zip(depths.tolist(), times.tolist(), marks.at[opened[last]].tolist(), strict=True)
             self.opens.append({d: (n, _opens_features(text, at)) for d, n, at in opens})
-            self.names.append({int(depth[at]): name for at, name in reversed(named)})
+            self.names.append({int(depth[np.searchsorted(marks.at, at)]): name for at, name in reversed(named)})
 
     def extend(self, more: _Course) -> None:
         for i in (0, 1):
@@ -235,29 +245,29 @@ def _cut(states: dict[tuple[str, int], Range]):
                     state = Range(known.start, known.inside, known.depth, known.listed)
                     cut = state.listed and state.depth > 2
                     waiting, kind = ([], _HEAD) if cut else (None, _WHOLE)
-                data = np.frombuffer(text, np.uint8)
-                quotes = _quotes(data)
-                step = _steps(data, quotes, state.inside)
+                marks = _Marks(text)
+                step = marks.steps(state.inside)
                 depth = state.depth + np.cumsum(step, dtype=np.int64)
                 lists = np.flatnonzero((step > 0) & (depth == 2))
-                listed = np.array([state.listed] + [_opens_features(text, int(a)) for a in lists])
+                listed = np.array([state.listed] + [_opens_features(text, int(a)) for a in marks.at[lists]])
                 begins = np.flatnonzero((step > 0) & (depth == 3))
                 begins = begins[listed[np.searchsorted(lists, begins)]]
                 ends = np.flatnonzero((step < 0) & (depth == 2))
+                last = np.searchsorted(ends, begins)
+                begins, ends = marks.at[begins], marks.at[ends]
                 if waiting is not None:
                     stop = int(ends[0]) + 1 if len(ends) else len(text)
                     waiting.append(text[:stop])
                     if len(ends):
                         out.append((*key, kind, b"".join(waiting)))
                         waiting = None
-                last = np.searchsorted(ends, begins)
                 for a, e in zip(begins.tolist(), last.tolist(), strict=True):
                     if e < len(ends):
                         out.append((*key, _WHOLE, text[a : int(ends[e]) + 1]))
                     else:
                         waiting, kind = [text[a:]], _WHOLE
                 state.depth, state.listed = int(depth[-1]), bool(listed[-1])
-                state.inside = (state.inside + int(quotes.sum())) & 1
+                state.inside ^= marks.turns
             if out:
                 yield _rows(out)
         if key is not None and left():
