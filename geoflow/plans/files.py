@@ -51,6 +51,14 @@ def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
     return delimited.read_csv(spark, path, schema=ddl)
 
 
+@query("scan_csv_quoted", "select doc_id, nullif(text, '') text, nullif(lang, '') lang from documents")
+def scan_csv_quoted(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with line breaks, quotes and separators in them, read in byte ranges; an empty text comes back as null."""
+    path = scratch_path(spark, "texts")
+    delimited.write_csv(table(spark, sf, "documents").select("doc_id", "text", "lang"), path)
+    return delimited.read_csv(spark, path, ",", "utf-8", schema="doc_id bigint, text string, lang string", multiline="ranges")
+
+
 @query(
     "detect_text_profile",
     """select doc_id, case when greatest(s, t, p, c) = 0 then ',' when s = greatest(s, t, p, c) then ';'

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.layer import GEOM
 from ..functions.text import best_separator, separator_counts
+from . import csv_ranges, listing
 
 SEPARATOR_LABELS = {";": "semicolon", "\t": "tab", "|": "pipe", ",": "comma"}
 BOM = "\ufeff"
@@ -47,7 +50,7 @@ def read_csv(
     encoding: str | None = None,
     header: bool = True,
     schema: str | None = None,
-    multiline: bool = False,
+    multiline: bool | str = False,
 ) -> DataFrame:
     """Read one or many delimited files of the same shape.
 
@@ -55,8 +58,13 @@ def read_csv(
     frequent candidate of the header lines, and files that are not valid UTF-8 are read as Latin-1.
     Where files of both encodings lie together, columns inferred differently become text.
     Separators and doubled quotes inside quotes belong to the value.  With ``multiline`` line breaks
-    inside quotes do too; a file is then read by one task.
+    inside quotes do too.  Then files are read in byte ranges if one is larger than
+    ``spark.sql.files.maxPartitionBytes``, or with ``multiline="ranges"`` in any case, and otherwise by
+    one task each.  In byte ranges lines end with a line feed, a carriage return before it or not; files
+    with a quote that never closes, or in other encodings than UTF-8 and Latin-1, go by one task.
     """
+    if multiline not in (False, True, "ranges"):
+        raise ValueError(f"unknown multiline {multiline!r}; known: False, True, ranges")
     delimiter = (delimiter or "").strip(" ") or None
     encoding = (encoding or "").strip() or None
     files = {encoding or "UTF-8": path}
@@ -82,9 +90,10 @@ def read_csv(
         name = "UTF-8" if name.lower() in ("utf-8-sig", "utf8", "utf-8") else name
         reader = spark.read.option("header", header).option("sep", delimiter).option("encoding", name)
         # a quote inside quotes is doubled, as other programs write it
-        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multiline)
+        reader = reader.option("quote", '"').option("escape", '"').option("multiLine", bool(multiline))
         reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-        parts.append((reader, part))
+        known = _ranges(spark, part, delimiter, name, multiline) if multiline else []
+        parts.append((_RangeReader(spark, known, delimiter, header, name, schema) if known else reader, part))
     df = parts[0][0].csv(parts[0][1])
     for reader, part in parts[1:]:
         more = reader.csv(part)
@@ -99,6 +108,48 @@ def read_csv(
     return df.withColumnRenamed(first, first.lstrip(BOM)) if first.startswith(BOM) else df
 
 
+def _ranges(spark: SparkSession, path: str | list[str], delimiter: str, encoding: str, multiline: bool | str) -> list[csv_ranges.File]:
+    """The files in byte ranges; none if they are to be read by one task each."""
+    large = multiline == "ranges" or listing.files(spark, path, listing.split_bytes(spark))
+    if not large or encoding.upper() not in csv_ranges.ENCODINGS:
+        return []
+    known = csv_ranges.files(spark, path, delimiter)
+    return [] if any(f.open or f.header is None for f in known) else known
+
+
+class _RangeReader:
+    """Reads records of byte ranges as the reader of Spark reads files."""
+
+    def __init__(self, spark: SparkSession, known: list[csv_ranges.File], delimiter: str, header: bool, encoding: str, schema: str | T.StructType | None):
+        self.spark, self.known, self.delimiter, self.header, self.encoding, self._schema = spark, known, delimiter, header, encoding, schema
+
+    def schema(self, schema: T.StructType) -> _RangeReader:
+        return _RangeReader(self.spark, self.known, self.delimiter, self.header, self.encoding, schema)
+
+    def csv(self, _: str | list[str]) -> DataFrame:
+        texts = csv_ranges.record_texts(self.spark, self.known, self.delimiter, self.header, self.encoding)
+        options = {"sep": self.delimiter, "quote": '"', "escape": '"', "multiLine": "true"}
+        schema = self._schema
+        if schema is None:
+            inferred = self.spark.read.options(inferSchema=True, **options).csv(texts.rdd.map(lambda r: r.value)).schema
+            names = self._names()
+            kinds = [f.dataType for f in inferred] + [T.StringType()] * (len(names) - len(inferred))
+            schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=False)])
+        ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+        return texts.select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+
+    def _names(self) -> list[str]:
+        """Column names of the first file's header; empty and repeated ones get their place, as Spark does it."""
+        first = self.known[0].header.decode(self.encoding).rstrip("\r")
+        named = next(csv.reader(io.StringIO(first, newline=""), delimiter=self.delimiter), [])
+        if not self.header:
+            return [f"_c{i}" for i in range(len(named))]
+        low = [n.lower() for n in named]
+        return [f"_c{i}" if not n else f"{n}{i}" if low.count(n.lower()) > 1 else n for i, n in enumerate(named)]
+
+
 def write_csv(df: DataFrame, path: str, delimiter: str = ",", geom: str = GEOM, mode: str = "errorifexists") -> None:
     """Attributes without the geometry; rows without coordinates are written too."""
-    df.drop(geom).write.mode(mode).option("header", True).option("sep", delimiter).option("escape", '"').csv(path)
+    writer = df.drop(geom).write.mode(mode).option("header", True).option("sep", delimiter).option("escape", '"')
+    # white space around a text belongs to it
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

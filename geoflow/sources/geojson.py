@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions.layer import GEOM, describe, srid_of
 from ..operators.lineage import scratch_path
-from . import geojson_ranges
+from . import geojson_ranges, listing
 
 _GEOMETRY = "struct<type:string,coordinates:string,geometries:array<struct<type:string,coordinates:string>>>"
 
@@ -127,18 +127,6 @@ def _document_crs(spark: SparkSession, path: str | list[str]) -> str | None:
     return named and named.n
 
 
-def _files(spark: SparkSession, path: str | list[str], larger: int = -1) -> list[str]:
-    """Files above a size, by the listing alone."""
-    listed = spark.read.format("binaryFile").load(path).where(F.col("length") > larger)
-    return sorted(r.path for r in listed.select("path").collect())
-
-
-def _split_bytes(spark: SparkSession) -> int:
-    """What Spark puts into one range of a file at most."""
-    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
-    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
-
-
 def _range_features(texts: DataFrame, ddl: str) -> DataFrame:
     """Features of texts that hold one each, with a reason for each broken one."""
     corrupt = {"columnNameOfCorruptRecord": "_corrupt_record"}
@@ -221,7 +209,7 @@ def _by_ranges(
     spark: SparkSession, path: str | list[str], layout: str | None
 ) -> tuple[list[geojson_ranges.Document], int, str | list[str]]:
     """Collections to be read in byte ranges, number of documents that don't close, and what is left for the other ways."""
-    large = _files(spark, path, -1 if layout == "ranges" else _split_bytes(spark))
+    large = listing.files(spark, path, -1 if layout == "ranges" else listing.split_bytes(spark))
     large = [f for f in large if not f.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy", ".xz", ".deflate"))]
     known = geojson_ranges.documents(spark, large) if large else []
     ranged = [d for d in known if d.collection]
@@ -230,7 +218,7 @@ def _by_ranges(
     if not ranged and not broken:
         return [], 0, path
     taken = {d.path for d in ranged + broken}
-    return ranged, len(broken), [f for f in _files(spark, path) if f not in taken]
+    return ranged, len(broken), [f for f in listing.files(spark, path) if f not in taken]
 
 
 def parse_documents(

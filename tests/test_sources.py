@@ -15,7 +15,7 @@ from geoflow.functions.crs import SUPPORTED
 from geoflow.operators.filters import filter_rows
 from geoflow.operators.points import points_from_xy
 from geoflow.plans.files import workbook_bytes
-from geoflow.sources import delimited, dxf, geojson, geojson_ranges, gpkg, inventory, jdbc, kml, prj, shapefile, sinks, wkb, workbook
+from geoflow.sources import csv_ranges, delimited, dxf, geojson, geojson_ranges, gpkg, inventory, jdbc, kml, prj, shapefile, sinks, wkb, workbook
 
 LIGHTS = """id;commune;type_equipement;latitude;longitude;puissance_w
 EP-001;Lyon;LED;45.764043;4.835659;120
@@ -317,7 +317,7 @@ def test_inventory(spark, tmp_path):
 def test_csv_quotes_and_line_breaks_come_back(spark, tmp_path):
     from geoflow.sources import delimited
 
-    rows = [(1, 'a "b"; c'), (2, "two\nlines, and a comma"), (3, "plain")]
+    rows = [(1, 'a "b"; c'), (2, "two\nlines, and a comma"), (3, "plain"), (4, "  a "), (5, " \t"), (6, "\n x\\")]
     path = str(tmp_path / "quoted")
     delimited.write_csv(spark.createDataFrame(rows, "id int, t string"), path)
     back = delimited.read_csv(spark, path, ",", "utf-8", schema="id int, t string", multiline=True)
@@ -446,7 +446,7 @@ def _odd_collection(n):
 
 @pytest.fixture
 def small_ranges(spark):
-    names = {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "0"}
+    names = {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "1"}
     before = {name: spark.conf.get(name) for name in names}
     for name, value in names.items():
         spark.conf.set(name, value)
@@ -493,3 +493,62 @@ def test_geojson_ranges_of_broken_documents(spark, tmp_path, small_ranges):
             assert layer.where("reject_reason is null").select("id").distinct().count() == 59
             with pytest.raises(Exception, match="unreadable feature"):
                 geojson.read_geojson(spark, str(path), "id:bigint", layout="ranges").count()
+
+
+def test_csv_in_byte_ranges(spark, tmp_path, small_ranges):
+    import csv as python_csv
+
+    values = ["plain", "a\nb", "a\r\n,;b", 'say "so"', '"', '""\n""', "", "\n\n\n", 'x" , "y', "é\nü", "x" * 900 + "\n" + "y" * 900]
+    rows = [(str(i), values[i % 11], values[(i * 7) % 11], i / 4) for i in range(300)]
+    folder = tmp_path / "a b"
+    folder.mkdir()
+    for name, end, encoding in (("unix.csv", "\n", "utf-8"), ("windows.csv", "\r\n", "utf-8"), ("latin.csv", "\n", "latin-1")):
+        with open(folder / name, "w", newline="", encoding=encoding) as file:
+            writer = python_csv.writer(file, lineterminator=end)
+            writer.writerows([("id", "a\nb", "b", "n"), *rows])
+    known = csv_ranges.files(spark, str(folder), ",")
+    assert all(len(f.ranges) > 5 and not f.open for f in known) and any(v for f in known for v in f.ranges.values())
+    ranged = delimited.read_csv(spark, str(folder), multiline=True)
+    assert ranged.columns == ["id", "a\nb", "b", "n"] and dict(ranged.dtypes)["n"] == "double" and dict(ranged.dtypes)["id"] == "int"
+    got = sorted(tuple(r) for r in ranged.fillna("").collect())
+    assert got == sorted([(int(i), a, b, n) for i, a, b, n in rows] * 3)
+    for layout in ("ranges", True):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m" if layout is True else "3000")
+        typed = delimited.read_csv(spark, str(folder), schema="id string, a string, b string, n double", multiline=layout)
+        assert sorted(tuple(r) for r in typed.fillna("").collect()) == sorted(rows * 3)
+
+
+def test_csv_ranges_of_odd_files(spark, tmp_path, small_ranges):
+    lines = ['k;v', '1;ab"c', '2;"x"y', '3;"q;""r"""', ';', '', '4;"two', 'lines"', '5;"" ', "6"]
+    cases = {"odd": "\n".join(lines), "one": "k;v\n", "none": "", "open": "k;v\n1;\"never\nends\n" + "2;x\n" * 2000}
+    for name, text in cases.items():
+        path = tmp_path / f"{name}.csv"
+        path.write_text(text)
+        read = [delimited.read_csv(spark, str(path), ";", "utf-8", schema="k string, v string", multiline=m).collect() for m in ("ranges", True)]
+        assert sorted(map(repr, read[0])) == sorted(map(repr, read[1])), name
+    with pytest.raises(ValueError, match="unknown multiline"):
+        delimited.read_csv(spark, str(tmp_path), multiline="lines")
+
+
+@pytest.mark.parametrize("delimiter", [",", "||"])
+def test_lines_end_inside_quotes_as_a_reader_of_single_characters_says(delimiter):
+    import random
+
+    def brute(line, inside):
+        state, i = ("quoted" if inside else "begin"), 0
+        while i < len(line):
+            if state == "quoted" and line[i : i + 2] == '""':
+                i += 2
+            elif state == "quoted":
+                state, i = ("value" if line[i] == '"' else "quoted"), i + 1
+            elif line.startswith(delimiter, i):
+                state, i = "begin", i + len(delimiter)
+            else:
+                state, i = ("quoted" if state == "begin" and line[i] == '"' else "value"), i + 1
+        return int(state == "quoted")
+
+    kind, rng = csv_ranges._Lines(delimiter), random.Random(5)
+    for _ in range(5000):
+        line = "".join(rng.choices(['"', "a", delimiter, "\r", "|"], k=rng.randrange(12)))
+        for inside in (0, 1):
+            assert kind.ends_inside(line.encode(), inside) == brute(line, inside), (line, inside)
