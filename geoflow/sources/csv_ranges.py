@@ -60,8 +60,7 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], bytes]]:
     for batch in batches:
         places = zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True)
-        for place, line in zip(places, batch.column("line"), strict=True):
-            yield place, line.as_py()
+        yield from zip(places, batch.column("line").to_pylist(), strict=True)
 
 
 def _summaries(delimiter: str):
@@ -123,7 +122,7 @@ def _joined(states: dict[tuple[str, int], int], delimiter: str, header: bool):
             inside = kind.ends_inside(line, inside)
             if not inside:
                 if not skip:
-                    out.append((*key, part, b"\n".join(waiting)))
+                    out.append((*key, part, b"\n".join(waiting).removesuffix(b"\r")))
                 waiting, part, skip = [], _WHOLE, False
             if len(out) >= _ROWS:
                 yield _rows(out)
@@ -155,5 +154,5 @@ def record_texts(spark: SparkSession, known: list[File], delimiter: str, header:
     whole = "aggregate(parts, cast(null as binary), (text, p) -> if(text is null, p.value, concat(text, X'0A', p.value)))"
     glued = joined.select(F.expr(whole).alias("value"))
     texts = cut.where(F.col("part") == _WHOLE).select("value").union(glued)
-    text = F.regexp_replace(F.decode("value", encoding), r"\r\z", "")
+    text = F.col("value").cast("string") if encoding.upper() == "UTF-8" else F.decode("value", encoding)
     return texts.select(text.alias("value")).where("value <> ''")
