@@ -11,7 +11,11 @@ from .scratch import Scratch
 
 def star_edges(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The smallest member of the component of each of n nodes, given links between them."""
-    root = np.arange(n)
+    return hooked(np.arange(n), left, right)
+
+
+def hooked(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The smallest members after more links; root, those found so far, may be changed."""
     while len(left):
         # only roots are hooked, so that no tree comes apart; a link goes when both its ends have the same root
         a, b = root[left], root[right]

@@ -1,4 +1,4 @@
-"""Near copies by the similarity of their shingles: candidates by bands of least hashes, every link verified on the texts."""
+"""Near copies by the similarity of their shingles: candidates by tiles of SimHash fingerprints, every link verified on the texts."""
 
 from __future__ import annotations
 
@@ -11,22 +11,23 @@ from pyspark.sql import functions as F
 
 from .components import connected
 from .scratch import Scratch
+from .simhash import SET_TILE, set_fingerprints, set_links, size_classes
 from .wordbytes import mixed, slices, split_words, word_hashes
 
 SHINGLE = 5
 #: Texts are near copies if their sets of shingles agree in 4 of 5 (shared over all).
 SHARED, OF = 4, 5
-#: A pair at similarity 0.8 has no band in common with probability (1 - 0.8**6)**40 = 5e-6.
-BANDS, ROWS = 40, 6
+#: Words of 64 bits of a fingerprint. At similarity 0.8 or more a bit differs with probability 0.1875 at most if one set has 4
+#: shingles, 0.1612 otherwise, so candidates may differ in that many bits of the first two words, three and all four: a pair has
+#: more with probability 3e-6 at most (3e-7 if both have hundreds). An unrelated pair has no more in all with one of 2e-9, 2e-12.
+WORDS = 4
+LIMITS_FEW, LIMITS = (46, 64, 81), (42, 57, 73)
+FEW = 5
 #: A tile of a group of candidates has about so many texts and bytes at most.
 TILE = 1024
 TILE_BYTES = 16 << 20
 
-_DRAWN = np.random.Generator(np.random.PCG64(20240917))
-_TIMES = _DRAWN.integers(0, 2**32, (BANDS * ROWS, 1), np.uint32) | np.uint32(1)
-_PLUS = _DRAWN.integers(0, 2**32, (BANDS * ROWS, 1), np.uint32)
-_PLACE = _DRAWN.integers(0, 2**64, max(SHINGLE, ROWS), np.uint64) | np.uint64(1)
-_CHUNK = 1024
+_PLACE = np.random.Generator(np.random.PCG64(20240917)).integers(0, 2**64, SHINGLE, np.uint64) | np.uint64(1)
 
 
 def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -47,15 +48,9 @@ def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]
     return out
 
 
-def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of keys a set, one key a band: sets have a band's key in common if its least hashes agree."""
-    least = np.full((len(sets), BANDS * ROWS), np.uint32(0xFFFFFFFF), np.uint32)
-    for k, values in enumerate(sets):
-        short = (values >> np.uint64(32)).astype(np.uint32)
-        for lo in range(0, len(short), _CHUNK):
-            least[k] = np.minimum(least[k], (short[lo : lo + _CHUNK] * _TIMES + _PLUS).min(axis=1))
-    bands = (least.reshape(len(sets), BANDS, ROWS) * _PLACE[:ROWS]).sum(axis=2, dtype=np.uint64)
-    return mixed(bands + np.arange(BANDS, dtype=np.uint64) * _PLACE[0])
+def limits(cell: int) -> tuple[int, ...]:
+    """How many bits candidates may differ in if the larger set is of this size class."""
+    return LIMITS_FEW if cell <= FEW else LIMITS
 
 
 def similar_sets(sets: list[np.ndarray]) -> np.ndarray:
@@ -91,18 +86,22 @@ def similar_sets(sets: list[np.ndarray]) -> np.ndarray:
     return root
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, sha, size, keys): the keys of every text's bands."""
+def _printed(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, sha, size, n, cell, fps): the number of every text's different shingles, its size class, the fingerprint of the set."""
     docs = docs.select("doc_id", "sha", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"), "text")
+    more = ["n", "cell", "fps"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in slices(batches):
-            keys = band_keys(shingle_sets(texts)).view(np.int64)
-            offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([*map(rows.column, ("doc_id", "sha", "size")), lists], ["doc_id", "sha", "size", "keys"])
+            sets = shingle_sets(texts)
+            sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+            offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * WORDS)
+            fps = pa.ListArray.from_arrays(offsets, pa.array(set_fingerprints(sets, WORDS).view(np.int64).ravel()))
+            columns = [*map(rows.column, ("doc_id", "sha", "size")), pa.array(sizes), pa.array(size_classes(sizes)), fps]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sha", "size", *more])
 
-    return docs.mapInArrow(run, docs.select("doc_id", "sha", "size", F.array(F.lit(0).cast("bigint")).alias("keys")).schema)
+    zero = F.lit(0).cast("bigint")
+    return docs.mapInArrow(run, docs.select("doc_id", "sha", "size", *[x.alias(c) for x, c in zip((zero, zero, F.array(zero)), more, strict=True)]).schema)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,29 +127,28 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links()
 
 
-def near_copies(docs: DataFrame, tile: int = TILE, tile_bytes: int = TILE_BYTES) -> DataFrame:
+def near_copies(docs: DataFrame, tile: int = TILE, tile_bytes: int = TILE_BYTES, set_tile: int = SET_TILE) -> DataFrame:
     """Rows (doc_id, sha) of the texts that stay: one of each component of texts whose shingles agree in 4 of 5.
 
     docs: columns doc_id, text and sha, which tells texts apart; others are not read. Equal texts are one node. Texts without
     words and null texts are alike. Of a component the first by doc_id, nulls last, then sha stays. An empty table gives no rows.
 
-    Texts with a band in common are candidates. Each component of candidates is cut into tiles, its texts are sent to every
-    pair of tiles they are in, and all pairs of sets found there are compared exactly; only a spanning forest of the links
-    between similar sets goes on. So a pair is linked only if it is similar, and is missed only if its candidates' bands miss it
-    and no other pair links them.
+    Candidates are texts with near SimHash fingerprints of their sets of shingles; tiles of fingerprints are compared exactly, and
+    only those of sizes that differ too much for the similarity are skipped. Each component of candidates is cut into tiles, its
+    texts are sent to every pair of tiles they are in, and all pairs of sets found there are compared exactly; only a spanning
+    forest of the links between similar sets goes on. So a pair is linked only if it is similar, and is missed only if its
+    fingerprints differ in more bits than LIMITS allow and no other pair links them.
     """
     scratch = Scratch(docs.sparkSession, "near")
     nodes = scratch.keep(
-        _keyed(docs)
+        _printed(docs)
         .groupBy("sha")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")).alias("lead"), F.max("size").alias("size"), F.first("keys").alias("keys"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")).alias("lead"), F.max("size").alias("size"), *[F.first(c).alias(c) for c in ("n", "cell", "fps")])
         .withColumn("node", F.monotonically_increasing_id())
     )
-    hashed = nodes.select("node", F.explode("keys").alias("key"))
-    firsts = hashed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
-    # the keys come out of one array a text, so their estimated size would make them a broadcast at any scale
-    candidates = connected(hashed.join(firsts.hint("merge"), "key").select(F.col("node").alias("u"), F.col("first").alias("v")), scratch)
-    members = scratch.keep(candidates.join(nodes.drop("keys"), "node"))
+    prints = nodes.select("node", "n", "cell", "fps")
+    candidates = connected(set_links(prints, scratch, limits, SHARED, OF, WORDS, set_tile), scratch)
+    members = scratch.keep(candidates.join(nodes.select("node", "sha", "lead", "size"), "node"))
     by_count, by_bytes = F.ceil(F.count("*") / F.lit(tile)), F.ceil(F.sum("size") / F.lit(tile_bytes))
     tiles = members.groupBy("root").agg(F.greatest(F.lit(1), by_count, by_bytes).cast("int").alias("tiles"))
     placed = members.join(tiles, "root").select(
@@ -164,5 +162,5 @@ def near_copies(docs: DataFrame, tile: int = TILE, tile_bytes: int = TILE_BYTES)
     )
     links = sent.repartition("root", "one", "two").sortWithinPartitions("root", "one", "two").mapInArrow(_verified, "u bigint, v bigint")
     roots = connected(links, scratch)
-    grouped = nodes.drop("keys").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
+    grouped = nodes.select("node", "sha", "lead").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
     return grouped.agg(F.min(F.struct("lead", "sha")).alias("kept")).select(F.col("kept.lead.doc_id").alias("doc_id"), F.col("kept.sha").alias("sha"))

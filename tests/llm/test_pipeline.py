@@ -3,11 +3,13 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from geoflow.llm import mixing, near_copies
+from geoflow.llm import mixing, near_copies, simhash
+from geoflow.llm.components import star_edges
 from geoflow.llm.scratch import Scratch, clean
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +129,40 @@ def test_clean_deletes_scratch(spark):
     clean(spark)
     assert not spark.catalog.databaseExists(table.split(".")[0])
     assert pytest is not None
+
+
+def test_near_dedup_takes_its_candidates_from_simhash_tiles(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(words), " ".join(words[:-3]), " ".join(words[3:])]
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert [r.doc_id for r in cp.drop_near_copies(spark, docs, SF).collect()] == [0]
+    monkeypatch.setattr(simhash, "_linked", lambda limits, width: lambda batches: iter(()))
+    assert sorted(r.doc_id for r in cp.drop_near_copies(spark, docs, SF).collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("tile", [1 << 14, 3])
+def test_tiles_of_sets_find_all_near_fingerprints(spark, tile):
+    rng = np.random.default_rng(3)
+    sets = [np.empty(0, np.uint64)] * 2
+    for n in [4, 5, 8, 30, 33, 100, 101, 500] * 12:  # the larger ones cross classes
+        base = rng.integers(0, 2**64, n + n // 3, np.uint64)
+        sets += [base[:n], base[n // 8 : n], base[: n + n // 10], base[n // 12 :]]
+    sizes = np.array([len(x) for x in sets])
+    prints, cells = simhash.set_fingerprints(sets), simhash.size_classes(sizes)
+    rows = [(i, int(n), int(c), fp) for i, (n, c, fp) in enumerate(zip(sizes, cells, prints.view(np.int64).tolist()))]
+    nodes = spark.createDataFrame(rows, "node bigint, n bigint, cell bigint, fps array<bigint>")
+    scratch = Scratch(spark, "sets")
+    links = simhash.set_links(nodes, scratch, near_copies.limits, 4, 5, tile=tile).collect()
+    differ = np.cumsum(np.bitwise_count(prints[:, None] ^ prints[None]), axis=2, dtype=int)[:, :, 1:]
+    near = (differ <= [[near_copies.limits(max(a, b)) for b in cells] for a in cells]).all(axis=2)
+    lowest = {c: sizes[cells == c].min() for c in set(cells)}
+    most = {c: sizes[cells == c].max() for c in set(cells)}
+    allowed = np.array([[4 * lowest[max(a, b)] <= 5 * most[min(a, b)] for b in cells] for a in cells])
+    want, got = star_edges(len(sets), *np.nonzero(near & allowed)), star_edges(len(sets), *np.array([(r.u, r.v) for r in links]).T)
+    assert got.tolist() == want.tolist() and len(set(want.tolist())) < len(sets) - 100
+    for i, a in enumerate(sets):
+        for j in range(i):
+            shared = len(np.intersect1d(a, sets[j]))
+            if 5 * shared >= 4 * (len(a) + len(sets[j]) - shared):
+                assert near[i, j] and allowed[i, j]
