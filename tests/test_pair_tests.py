@@ -101,3 +101,26 @@ def test_points_by_boxes(spark):
     for n in ("intersects", "within", "covered_by", "touches"):
         differ = pairs.where(f"({P.point_holds(n, 'p', 'g', 'b')}) != ({P.point_holds(n, 'p', 'g')})")
         assert differ.count() == 0, n
+
+
+def test_gap_of_an_edge_and_a_box(spark):
+    """The very numbers of the general way, so that equal distances stay equal."""
+    rng = random.Random(4)
+    made = [(S.line((rng.uniform(3, 9), rng.uniform(-5, 9)), (rng.uniform(3, 9), rng.uniform(-5, 9))), S.box(0, 0, rng.uniform(1, 2.9), rng.uniform(1, 3))) for _ in range(300)]
+    made += [(S.line((4, i), (4, i + 1)), S.box(0, 0, 3, 3)) for i in range(-3, 5)]
+    pairs = S.layer(spark, [a for a, _ in made]).selectExpr("id", "geom a").join(S.layer(spark, [b for _, b in made]).selectExpr("id", "geom b"), "id")
+    found = pairs.selectExpr("*", f"{P.plain_edge('a')} e").selectExpr(f"{P.edge_box_gap('e', 'b')} quick", f"{P.gap('a', 'b')} general")
+    assert found.where("quick = general").count() == len(made)
+
+
+def test_neighbors_do_not_deal_out_pairs(spark):
+    from geoflow.operators import nearest
+
+    lines = S.layer(spark, [S.line((i, 0), (i + 1, 2)) for i in range(6)], "a")
+    areas = S.layer(spark, [S.box(i, 3, i + 1, 4) for i in range(6)], "b")
+    found = nearest.neighbors(lines, areas, "a", "b", 2)
+    lines_of_plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    d = next(i for i, line in enumerate(lines_of_plan) if "Generate explode" in line)
+    join = next(i for i, line in enumerate(lines_of_plan) if i > d and "Join" in line)
+    assert not any("Repartition" in line for line in lines_of_plan[:join])
+    assert {(r.a, r.b, r.distance) for r in found.where("rank = 1").collect()} == {(i, min(i, 5), 1.0) for i in range(6)}
