@@ -8,6 +8,7 @@ import shapes as S
 from geoflow.functions import measures as M
 from geoflow.functions import predicates as P
 from geoflow.operators import edges
+from geoflow.operators.gridjoin import estimated_bytes
 
 
 def optimized(df):
@@ -30,7 +31,7 @@ def test_overlay_pairs_are_not_shuffled(spark):
 
 def test_segments_meet_in_generated_code(spark):
     segments = spark.range(30).selectExpr("id _row", "double(id % 7) x1", "double(id % 5) y1", "double(id % 3) + 4 x2", "double(id % 4) y2")
-    plan = optimized(edges.meetings(segments, segments, ["_row"], "l__row != r__row")).splitlines()
+    plan = optimized(edges.meetings(segments, segments, ["_row"], "l__row != r__row", most=True)).splitlines()
     above = plan[: next(i for i, line in enumerate(plan) if "Join Inner" in line)]
     assert above and not any("lambdafunction" in line for line in above)
     # the start of a line is a place like the others: no join finds the first piece
@@ -68,3 +69,22 @@ def test_measures_of_short_rings(spark):
     twice = layer.selectExpr("geom", "named_struct('type', concat('Multi', geom.type), 'parts', concat(geom.parts, geom.parts)) two")
     lengths = twice.selectExpr(f"{M.length('geom')} a", f"{M.length('two')} b").where("abs(2 * a - b) > 1e-12 * b")
     assert lengths.count() == 0
+
+
+def test_edges_are_not_broadcast_by_file_sizes(spark, monkeypatch):
+    """Estimates of edges are those of the files their areas came from, far too low to broadcast by."""
+    guarded, seen = edges.guarded, []
+    monkeypatch.setattr(edges, "guarded", lambda side: seen.append(side) or guarded(side))
+    box = "named_struct('type', 'Polygon', 'parts', array(array(array({}))))".format(
+        ", ".join(f"named_struct('x', double({x}), 'y', double({y}))" for x, y in (("id", 0), ("id + 1", 0), ("id + 1", 1), ("id", 1), ("id", 0)))
+    )
+    areas = spark.range(50).selectExpr("id", "id % 2 g", f"{box} geom")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        edges.union_edges(areas, ["g"])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(int(estimated_bytes(seen[0])) + 1))
+        side = guarded(seen[0])
+        plan = seen[0].withColumnRenamed("way", "w").join(side, "_row")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
